@@ -14,7 +14,7 @@ from oracle.checks import check_sql, guard_sql, source_sql
 from oracle.compose import compose
 from oracle.marts import mart_sql
 from oracle.raw import raw_ctes
-from oracle.star import star_ctes
+from oracle.star import shown, star_ctes
 from shopledger import Lakehouse
 from shopledger.operators.report import date_range, top_n
 from shopledger.quality import checks, expectations
@@ -60,11 +60,6 @@ TABLES = {
     "gold_dim_store_alt": ("gold_dim_store_alt", "ag_store"),
     "gold_fact_sale_alt": ("gold_fact_sale_alt", "ag_sale"),
 }
-MONEY_COLUMNS = {
-    "unit_cost", "unit_price", "line_cost", "line_total", "allocated_line_discount", "net_line_revenue",
-    "net_line_profit", "discount_value", "transaction_subtotal", "transaction_discount_applied",
-    "transaction_total", "transaction_cost",
-}
 
 
 def lakehouse(spark: SparkSession, sf_dir: str, dirt: bool = True) -> Lakehouse:
@@ -118,12 +113,8 @@ def _sink_roundtrip(spark, sf_dir):
 def _mart_row_counts(spark, sf_dir):
     lake = lakehouse(spark, sf_dir)
     # The marts read the star schema many times over; compute it once.
-    lake.store(lake.names("gold")[: -len(lake.names("gold"))] or _standard(lake, "gold"))
-    return row_counts(lake.table, _standard(lake, "mart"), "v", "n")
-
-
-def _standard(lake: Lakehouse, layer: str) -> list[str]:
-    return [name for name in lake.names(layer) if not name.endswith("_alt")]
+    lake.store(lake.standard("gold"))
+    return row_counts(lake.table, lake.standard("mart"), "v", "n")
 
 
 def _top_products(spark, sf_dir):
@@ -204,13 +195,9 @@ def oracle_sql() -> dict[str, str]:
     ctes = raw_ctes() | star_ctes(AS_OF_SQL)
     clean = raw_ctes(dirt=False) | star_ctes(AS_OF_SQL)
     marts = mart_sql(AS_OF_SQL)
-    as_double = f"columns(c -> c in ({', '.join(repr(c) for c in sorted(MONEY_COLUMNS))}))::DOUBLE"
-    others = f"columns(c -> c not in ({', '.join(repr(c) for c in sorted(MONEY_COLUMNS))}))"
-    tables = {}
-    for key, (_, cte) in TABLES.items():
-        tables[key] = f"select * from {cte}"
+    tables = {key: shown(cte) for key, (_, cte) in TABLES.items()}
     statements = source_sql() | tables | marts | check_sql()
-    statements["sink_roundtrip"] = "select * from s_transaction"
+    statements["sink_roundtrip"] = shown("s_transaction")
     statements["mart_row_counts"] = "\nunion all ".join(
         f"select '{name}' as v, count(*) as n from ({sql})" for name, sql in marts.items() if not name.endswith("_alt")
     )

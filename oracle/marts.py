@@ -185,7 +185,7 @@ def _standard() -> dict[str, str]:
             )
         },
         "bi_campaign_performance": f"""
-            select campaign_id, campaign_name, campaign_channel, {count("coalesce(a, 0)", "sessions")},
+            select campaign_id::BIGINT as campaign_id, campaign_name, campaign_channel, {count("coalesce(a, 0)", "sessions")},
                    {count("coalesce(n, 0)", "attributed_orders")}, {money("coalesce(rev, 0)", "attributed_revenue")},
                    {share("p", "a")} as conversion_rate_pct
             from s_campaign
@@ -194,7 +194,7 @@ def _standard() -> dict[str, str]:
             left join (select campaign_id, {ids("transaction_id")} as n, sum(transaction_total) {DONE} as rev
                        from s_transaction group by 1) using (campaign_id)""",
         "bi_promotion_performance": f"""
-            select promo_id, promo_name, promo_type, discount_type, {count("n", "promo_orders")},
+            select promo_id::BIGINT as promo_id, promo_name, promo_type, discount_type, {count("n", "promo_orders")},
                    {money("rev", "promo_revenue")}, {money("off", "discount_given")},
                    {aov("rev", "n")} as avg_revenue_per_promo_txn
             from (select promo_id, promo_name, promo_type, discount_type,

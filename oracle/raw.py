@@ -34,7 +34,7 @@ def raw_ctes(dirt: bool = True) -> dict[str, str]:
                    (['Female', 'MALE'])[k % 2 + 1] as gender,
                    (['bargain hunter', 'LOYAL FAN', 'Window shopper', 'impulse Buyer'])[k % 4 + 1]
                        as customer_persona,
-                   birth_date, year(birth_date) as birth_year,
+                   birth_date, year(birth_date)::INT as birth_year,
                    {soil("k % 83 = 5", "99", "c_nationkey")} as location_id,
                    signup_date, {day_id("signup_date")} as signup_date_id,
                    (['Mobile App', 'Online', 'In-Store', 'Partner'])[k % 4 + 1] as signup_channel,

@@ -137,3 +137,36 @@ def star_ctes(as_of: str) -> dict[str, str]:
                   from (select {line}, {parent}, o.transaction_subtotal, o.transaction_discount_applied
                         from raw_sale l left join raw_transaction o on l.transaction_id = o.transaction_id))""",
     }
+
+
+_LINE = ["unit_cost", "unit_price", "line_cost", "line_total"]
+_NET_LINE = [*_LINE, "allocated_line_discount", "net_line_revenue", "net_line_profit"]
+_ORDER = ["transaction_subtotal", "transaction_discount_applied", "transaction_total", "transaction_cost"]
+_PRICE = ["unit_cost", "unit_price"]
+
+# Columns shown as DOUBLE (money), and ids shown as BIGINT.
+SHOWN_AS = {
+    "s_brand": ([], ["brand_id"]),
+    "s_campaign": ([], ["campaign_id", "promo_id"]),
+    "s_category": ([], ["category_id"]),
+    "s_subcategory": ([], ["subcategory_id", "category_id"]),
+    "s_customer": ([], ["location_id"]),
+    "s_location": ([], ["location_id"]),
+    "s_product": (_PRICE, ["category_id", "subcategory_id", "brand_id"]),
+    "s_promotion": (["discount_value"], ["promo_id"]),
+    "s_store": ([], ["location_id"]),
+    "s_sale": (_LINE, []),
+    "s_transaction": (_ORDER, []),
+    "a_promotion": (["discount_value"], []),
+    "g_product": (_PRICE, ["category_id", "subcategory_id", "brand_id"]),
+    "g_sale": (_NET_LINE, []),
+    "ag_product": (_PRICE, []),
+    "ag_sale": (_NET_LINE, []),
+}
+
+
+def shown(cte: str, condition: str = "true") -> str:
+    money, ids = SHOWN_AS.get(cte, ([], []))
+    casts = [f"{c}::DOUBLE as {c}" for c in money] + [f"{c}::BIGINT as {c}" for c in ids]
+    replace = f" replace ({', '.join(casts)})" if casts else ""
+    return f"select *{replace} from {cte} where {condition}"

@@ -1,4 +1,4 @@
-"""Writing tables: full rebuilds, repeatable, optionally bucketed on a join key."""
+"""Writing tables: full rebuilds, repeatable, clustered or bucketed where that helps the readers."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 def write_table(
     df: DataFrame,
     path: str,
+    cluster_by: Sequence[str] = (),
     table: str | None = None,
     bucket_by: Sequence[str] = (),
     buckets: int = 0,
@@ -17,10 +18,17 @@ def write_table(
 ) -> DataFrame:
     """Replace the table at ``path`` by ``df`` and return a reader of it.
 
-    With ``table`` it is also entered in the session catalogue, which bucketing needs: orders and
-    their lines bucketed alike on the order id join, and group by order id, without a shuffle.
+    ``cluster_by`` brings rows with equal values into the same file, in files of the session's
+    advisory size; a value too large for one file is spread over several, so no task writes an
+    outsized share.
+
+    With ``table`` it is also entered in the session catalogue, which ``bucket_by`` needs.  Tables
+    bucketed alike on a key join and group on it without a shuffle, but one task reads a whole
+    bucket: use it for keys without a dominant value.
     """
     spark = df.sparkSession
+    if cluster_by:
+        df = df.hint("rebalance", *cluster_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
