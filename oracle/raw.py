@@ -18,7 +18,7 @@ def raw_ctes(dirt: bool = True) -> dict[str, str]:
 
     mobile = " mobile " if dirt else "mobile"
     closing = "starting_stock + received_stock - sold_units - shrinkage_loss"
-    unit = "((2 * cents + pieces) // (2 * pieces))"
+    unit = "((2 * cents + pieces) // (2 * nullif(pieces, 0)))"
     return {
         "raw_location": """
             select n_nationkey as location_id, lower(r_name) as country, lower(n_name) as state_province,
@@ -93,7 +93,7 @@ def raw_ctes(dirt: bool = True) -> dict[str, str]:
                    ends as campaign_end_date, {day_id("ends")} as campaign_end_date_id
             from (select k, (DATE '1996-01-01' + 60 * k)::TIMESTAMP as starts,
                          (DATE '1996-01-01' + 60 * k + 45)::TIMESTAMP as ends
-                  from (select distinct p_brand[7:]::INT as k from part))""",
+                  from (select distinct try_cast(p_brand[7:] as INT) as k from part) where k is not null)""",
         "raw_promotion": f"""
             select {soil("k = 49", "1", "k")} as promo_id, 'promo ' || k as promo_name,
                    (['seasonal', 'CLEARANCE', 'loyalty'])[k % 3 + 1] as promo_type,
@@ -157,7 +157,7 @@ def raw_ctes(dirt: bool = True) -> dict[str, str]:
                   from (select user_id, min(event_id) as k, count(*) as pages,
                                min(ts) + to_months((user_id % 6)::INT) as starts,
                                max(ts) + to_months((user_id % 6)::INT) as ends,
-                               min(regexp_extract(props, '[0-9]+')::INT) as prop,
+                               min(try_cast(regexp_extract(props, '[0-9]+') as INT)) as prop,
                                bool_or(event_type = 'view') as viewed, bool_or(event_type = 'click') as clicked,
                                bool_or(event_type = 'purchase') as bought
                         from events group by user_id, ts::DATE))""",

@@ -95,14 +95,20 @@ class Lakehouse:
         layer = "bronze" if name.startswith("bronze.") else DATASETS[name].layer
         return f"{self.root}/{layer}/{name.removeprefix('bronze.')}"
 
-    def store(self, names: Iterable[str]) -> "Lakehouse":
+    def store(
+        self, names: Iterable[str], prepare: Callable[[str, DataFrame], DataFrame] | None = None
+    ) -> "Lakehouse":
         """Write datasets as Parquet tables; from then on their name means the stored table.
 
         Order matters only for speed: a table stored earlier is read, not recomputed, by the next.
+        ``prepare(name, df)`` may attach something to the rows on their way, such as expectations.
         """
         for name in names:
+            df = self.table(name)
             self._built[name] = write_table(
-                self.table(name), self.path(name), cluster_by=STORED_CLUSTERING.get(name, ())
+                prepare(name, df) if prepare else df,
+                self.path(name),
+                cluster_by=STORED_CLUSTERING.get(name, ()),
             )
         return self
 
@@ -112,14 +118,14 @@ class Lakehouse:
             self._built[key] = write_table(self.raw(name), self.path(key))
         return self
 
-    def build(self) -> "Lakehouse":
+    def build(self, prepare: Callable[[str, DataFrame], DataFrame] | None = None) -> "Lakehouse":
         """Full rebuild: every cleaned table, then every dimension and the order lines.
 
         The other facts are their cleaned tables under another name, so they are not written twice.
         """
-        self.store(self.standard("silver"))
+        self.store(self.standard("silver"), prepare)
         copies = {name for name in self.standard("gold") if name.startswith("gold_fact") and name != "gold_fact_sale"}
-        return self.store(name for name in self.standard("gold") if name not in copies)
+        return self.store((name for name in self.standard("gold") if name not in copies), prepare)
 
     def standard(self, layer: str) -> list[str]:
         return [name for name in self.names(layer) if not name.endswith("_alt")]

@@ -40,7 +40,7 @@ LOCATION_COLUMNS = ["location_id", "country", "state_province", "city", "locatio
 
 
 def _as_loaded(silver_name, raw_name, *dropped):
-    dataset(silver_name, "silver")(lambda lake: normalise_headers(lake.raw(raw_name)).drop(RESCUED, *dropped))
+    dataset(silver_name, "silver")(lambda lake: normalise_headers(lake.raw(raw_name).drop(RESCUED)).drop(*dropped))
 
 
 _as_loaded("silver_dim_brand_alt", "dim_brand")

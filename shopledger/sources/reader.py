@@ -16,17 +16,6 @@ def load_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-class ParquetLanding:
-    """Raw tables that lie as ``<root>/<table>.parquet`` (each a file or a folder)."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def __call__(self, table: str) -> DataFrame:
-        return load_parquet(self.spark, f"{self.root}/{table}.parquet")
-
-
 def snake_case(header: str) -> str:
     return re.sub(r"[^0-9a-z]+", "_", header.strip().lower()).strip("_")
 
@@ -58,6 +47,25 @@ def rescue(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     )
 
 
+class ParquetLanding:
+    """Raw tables that lie as ``<root>/<table>.parquet`` (each a file or a folder).
+
+    With ``declared`` (table -> columns and types) every table is fitted to its declaration, and what
+    does not fit is kept in ``_rescued_data``.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, declared: Mapping[str, Mapping[str, str]] | None = None
+    ):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.declared = declared or {}
+
+    def __call__(self, table: str) -> DataFrame:
+        loaded = load_parquet(self.spark, f"{self.root}/{table}.parquet")
+        return rescue(loaded, self.declared[table]) if table in self.declared else loaded
+
+
 def row_counts(
     table: Callable[[str], DataFrame],
     names: Iterable[str],

@@ -198,7 +198,8 @@ class SampleRetail:
         """One campaign per brand; the last one is linked to no fact."""
         return (
             self.read("part")
-            .selectExpr("CAST(substr(p_brand, 7) AS INT) AS k")
+            .selectExpr("try_cast(substr(p_brand, 7) AS INT) AS k")
+            .filter("k IS NOT NULL")
             .distinct()
             .selectExpr(
                 "k",
@@ -270,10 +271,8 @@ class SampleRetail:
                 f"{day_id('o_orderdate')} AS transaction_date_id",
                 self.soil(f"{k} % 61 = 0", "NULL", "o_custkey") + " AS customer_id",
                 "store_id",
-                choose(
-                    "CAST(substr(o_orderpriority, 1, 1) AS INT) DIV 2", *text("In-Store", "Web", "MOBILE")
-                )
-                + " AS sales_channel",
+                "CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'In-Store' WHEN '2' THEN 'Web'"
+                " WHEN '3' THEN 'Web' ELSE 'MOBILE' END AS sales_channel",
                 f"CASE WHEN {k} % 2 = 0 THEN {k} END AS session_id",
                 f"CASE WHEN {k} % 3 = 0 THEN 1 + {k} % {LINKED_PROMOTIONS} END AS promo_id",
                 f"CASE WHEN {k} % 4 = 1 THEN 1 + {k} % {LINKED_CAMPAIGNS} END AS campaign_id",
@@ -295,7 +294,7 @@ class SampleRetail:
             "CAST(l_quantity AS BIGINT) AS pieces",
         )
         orders = self.read("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-        unit_cents = "(2 * cents + pieces) DIV (2 * pieces)"
+        unit_cents = "(2 * cents + pieces) DIV (2 * nullif(pieces, 0))"
         return lines.join(orders, "l_orderkey").selectExpr(
             key_id("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cents") + " AS sale_id",
             "l_orderkey AS transaction_id",
@@ -313,7 +312,7 @@ class SampleRetail:
 
     def fact_clickstream(self) -> DataFrame:
         """One session per user and day of events, moved by 0 to 5 months to cover half a year."""
-        key = "CAST(regexp_extract(props, '[0-9]+', 0) AS INT)"
+        key = "try_cast(regexp_extract(props, '[0-9]+', 0) AS INT)"
         days = (
             self.read("events")
             .groupBy("user_id", F.col("ts").cast("date").alias("day"))

@@ -4,6 +4,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from conftest import AS_OF, SMALL
+from shopledger import Lakehouse
 from shopledger.quality import checks, expectations
 from shopledger.quality.checks import Referential, Unique, accepted_values, not_null
 from test_marts import session
@@ -151,3 +153,34 @@ def test_enforced_counts(tiny):
         "silver_fact_sale": 1,
         "silver_dim_date": 0,
     }
+
+
+def test_a_run_rebuilds_checks_and_counts_warnings(spark):
+    from shopledger.plans import pipeline
+    from shopledger.sources.sample import SampleRetail
+
+    clean = Lakehouse(spark, SampleRetail(spark, SMALL, dirt=False), AS_OF)
+    report = pipeline.run(clean)
+    assert report.rows["silver_fact_sale"] == report.rows["gold_fact_sale"] == 6000
+    assert set(report.violations.values()) == {0} | {report.violations["silver_fact_transaction", "valid_transaction_total"]}
+    assert len(report.violations) == 9
+    assert {r["status"] for r in report.checks.collect()} == {"✅ PASS"}
+
+
+def test_a_run_over_empty_tables_ends(tiny):
+    from shopledger.plans import pipeline
+
+    report = pipeline.run(tiny())
+    assert set(report.rows.values()) == {0}
+
+
+def test_a_run_over_defects_stops_at_the_guard_and_keeps_the_rows(spark):
+    from shopledger.plans import pipeline
+    from shopledger.sources.sample import SampleRetail
+
+    lake = Lakehouse(spark, SampleRetail(spark, SMALL), AS_OF)
+    orphans = checks.REFERENTIAL_CHECKS[0]
+    with pytest.raises(PySparkException, match="Data quality FAILED"):
+        pipeline.run(lake, keep_failures=[orphans])
+    kept = spark.read.parquet(f"{lake.root}/_test_failures/fact_transaction_customer_id_dim_customer")
+    assert kept.count() == orphans.failing_rows(lake).count() > 0

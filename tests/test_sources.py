@@ -160,3 +160,13 @@ def test_as_of_is_the_only_clock(tiny):
         for day in (dt.date(2000, 5, 31), dt.date(2000, 6, 1))
     ]
     assert ages == [19, 20]
+
+
+def test_a_declared_landing_keeps_what_does_not_fit(spark, tmp_path):
+    rows = spark.createDataFrame([("7", "x", "y"), ("bad", "z", None)], "category_id string, category_name string, note string")
+    rows.write.parquet(str(tmp_path / "dim_category.parquet"))
+    lake = Lakehouse(spark, ParquetLanding(spark, str(tmp_path), RAW_TABLES), AS_OF)
+    kept = {r["category_name"]: r["_rescued_data"] for r in lake.raw("dim_category").collect()}
+    assert kept == {"x": '{"note":"y"}', "z": '{"category_id":"bad"}'}
+    assert lake.table("silver_dim_category").columns == ["category_id", "category_name"]
+    assert lake.table("silver_dim_category_alt").columns == ["category_id", "category_name"]
