@@ -25,7 +25,11 @@ def _names(keys: str) -> str:
     return keys.split(" as ")[-1]
 
 
-# Quotients of sums of money keep 6 fraction digits, quotients of counts 14.
+# Quotients of sums of line money keep 6 fraction digits, of order money 12, of counts 14.
+def order_aov(revenue: str, orders: str) -> str:
+    return rounded(cents(revenue), f"({orders}) * 100", 12)
+
+
 def aov(revenue: str, orders: str) -> str:
     return rounded(cents(revenue), f"({orders}) * 100", 6)
 
@@ -130,7 +134,7 @@ def _standard() -> dict[str, str]:
             from (select category_name, sum(net_line_revenue) {BACK} as back, sum(net_line_revenue) as gross,
                          count(distinct transaction_id) {BACK} as returned from {product} group by all)""",
         "bi_sales_by_payment_type": f"""
-            select payment_type, {orders}, {rev}, {aov("rev", "orders")} as aov
+            select payment_type, {orders}, {rev}, {order_aov("rev", "orders")} as aov
             from (select payment_type, count(distinct transaction_id) {DONE} as orders,
                          sum(transaction_total) {DONE} as rev from s_transaction group by all)""",
         "bi_customer_summary": f"""
@@ -196,7 +200,7 @@ def _standard() -> dict[str, str]:
         "bi_promotion_performance": f"""
             select promo_id::BIGINT as promo_id, promo_name, promo_type, discount_type, {count("n", "promo_orders")},
                    {money("rev", "promo_revenue")}, {money("off", "discount_given")},
-                   {aov("rev", "n")} as avg_revenue_per_promo_txn
+                   {order_aov("rev", "n")} as avg_revenue_per_promo_txn
             from (select promo_id, promo_name, promo_type, discount_type,
                          count(distinct transaction_id) {DONE} as n, sum(transaction_total) {DONE} as rev,
                          sum(transaction_discount_applied) {DONE} as off

@@ -33,6 +33,8 @@ from shopledger.operators.funnel import funnel_stages
 from shopledger.operators.rollup import rollup_distinct, rollup_via
 
 ONE = Decimal("1.0")
+# Totals of order amounts; dividing one by a count keeps 12 fraction digits instead of 6.
+ORDER_TOTAL = "decimal(28,2)"
 
 # Funnel stage labels.
 STAGE_LABELS = ["Sessions", "Product views", "Add to cart", "Purchases"]
@@ -62,6 +64,11 @@ def _gold(lake, name, style):
     return lake.table(f"gold_{name}{style.suffix}")
 
 
+def _per_order(style, revenue, orders):
+    total = F.col(revenue).cast(ORDER_TOTAL) if style is STANDARD else F.col(revenue)
+    return style.ratio(total, F.col(orders))
+
+
 def _pick(mapping, *names):
     return {name: mapping[name] for name in names}
 
@@ -329,7 +336,7 @@ def sales_by_payment_type(lake, style):
         money=["net_revenue"],
         orders=None,
         net_revenue=None,
-        aov=style.ratio(F.col("net_revenue"), F.col("orders")),
+        aov=_per_order(style, "net_revenue", "orders"),
     )
 
 
@@ -571,7 +578,7 @@ def promotion_performance(lake, style):
         promo_orders=None,
         promo_revenue=None,
         discount_given=None,
-        avg_revenue_per_promo_txn=style.ratio(F.col("promo_revenue"), F.col("promo_orders")),
+        avg_revenue_per_promo_txn=_per_order(style, "promo_revenue", "promo_orders"),
     )
 
 

@@ -39,9 +39,9 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_scratch.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="shopledger-")
-    )
+    if context.applicationId not in _local_scratch:
+        _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="shopledger-")
+    return _local_scratch[context.applicationId]
 
 
 def app_dir(spark: SparkSession) -> str:

@@ -99,3 +99,31 @@ def test_facts_are_their_cleaned_tables(tiny):
     lake = tiny(fact_transaction=[order("1", "0", transaction_timestamp=stamp, sales_channel="In-Store")])
     assert lake.table("gold_fact_transaction").first()["sales_channel"] == "store"
     assert lake.table("gold_fact_transaction_alt").first()["sales_channel"] == "In-Store"
+
+
+def test_allocation_does_not_depend_on_the_width_of_the_amounts(spark):
+    from pyspark.sql import functions as F
+
+    from shopledger.operators.allocate import allocate_by_rate, allocate_by_share
+
+    amounts = spark.range(200_000).select(
+        ((F.xxhash64("id", F.lit(1)) % 4_000_000 + 5_000_000) * Decimal("0.01")).cast("decimal(10,2)").alias("weight"),
+        ((F.xxhash64("id", F.lit(2)) % 9_000_000 + 40_000_000) * Decimal("0.01")).cast("decimal(10,2)").alias("total"),
+        ((F.xxhash64("id", F.lit(3)) % 900_000 + 2_000_000) * Decimal("0.01")).cast("decimal(10,2)").alias("amount"),
+    )
+    for allocate in (allocate_by_share, allocate_by_rate):
+        narrow = allocate(F.col("weight"), F.col("total"), F.col("amount"))
+        wide = allocate(F.col("weight"), F.col("total").cast("decimal(28,2)"), F.col("amount").cast("decimal(30,2)"))
+        assert amounts.filter(~narrow.eqNullSafe(wide)).count() == 0
+
+
+def test_allocation_keeps_thirteen_digits_of_the_quotient(spark):
+    from pyspark.sql import functions as F
+
+    from shopledger.operators.allocate import allocate_by_share
+
+    # 0.3333333333333 * 15,000,000,000,000.00
+    row = spark.sql("SELECT 1.00BD AS w, 3.00BD AS t, 15000000000000.00BD AS a").select(
+        allocate_by_share(F.col("w"), F.col("t"), F.col("a")).alias("x")
+    )
+    assert row.first()["x"] == Decimal("4999999999999.50")
