@@ -73,15 +73,15 @@ def _pick(mapping, *names):
     return {name: mapping[name] for name in names}
 
 
-def _finish(df, style, keys, money=(), **derived):
-    """Keys, then figures in the given order; names without a formula are taken as they are."""
-    return df.select(
-        *keys,
-        *[
-            (style.money(F.col(name)) if formula is None and name in money else F.col(name) if formula is None else formula).alias(name)
-            for name, formula in derived.items()
-        ],
-    )
+def _finish(df, style, keys, money=(), **figures):
+    """Keys, then the figures in the given order; one without a formula is the column of that name."""
+
+    def shown(name, formula):
+        if formula is not None:
+            return formula
+        return style.money(F.col(name)) if name in money else F.col(name)
+
+    return df.select(*keys, *[shown(name, formula).alias(name) for name, formula in figures.items()])
 
 
 # --- sales -----------------------------------------------------------------------------------------
