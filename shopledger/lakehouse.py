@@ -69,6 +69,7 @@ class Lakehouse:
         self._root = root
         self._run = uuid.uuid4().hex[:12]
         self._built: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         return self._memo(f"bronze.{name}", lambda: self._raw(name))
@@ -101,23 +102,32 @@ class Lakehouse:
         """Write datasets as Parquet tables; from then on their name means the stored table.
 
         Order matters only for speed: a table stored earlier is read, not recomputed, by the next.
-        ``prepare(name, df)`` may attach something to the rows on their way, such as expectations.
+        Storing a table again rebuilds it from its definition.  ``prepare(name, df)`` may attach
+        something to the rows on their way, such as expectations.
         """
         for name in names:
-            df = self.table(name)
-            self._built[name] = write_table(
-                prepare(name, df) if prepare else df,
-                self.path(name),
-                cluster_by=STORED_CLUSTERING.get(name, ()),
+            df = DATASETS[name].build(self)
+            self._keep(
+                name,
+                write_table(
+                    prepare(name, df) if prepare else df,
+                    self.path(name),
+                    cluster_by=STORED_CLUSTERING.get(name, ()),
+                ),
             )
         return self
 
     def store_raw(self, names: Iterable[str]) -> "Lakehouse":
         for name in names:
             key = f"bronze.{name}"
-            self._built[key] = write_table(self.raw(name), self.path(key))
+            self._keep(key, write_table(self._raw(name), self.path(key)))
         return self
 
+    def _keep(self, key: str, stored: DataFrame) -> None:
+        self._stored[key] = stored
+        # Plans made before now would still compute this table, or read its replaced files.
+        self._built.clear()
+
     def build(self, prepare: Callable[[str, DataFrame], DataFrame] | None = None) -> "Lakehouse":
         """Full rebuild: every cleaned table, then every dimension and the order lines.
 
@@ -144,6 +154,8 @@ class Lakehouse:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
 
     def _memo(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if key in self._stored:
+            return self._stored[key]
         if key not in self._built:
             self._built[key] = build()
         return self._built[key]

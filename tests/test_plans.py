@@ -9,7 +9,7 @@ from conftest import SMALL
 
 QUERIES = spec.queries()
 MARTS = [name for name in QUERIES if name.startswith("bi_")]
-EAGER = {"sink_roundtrip", "mart_row_counts"}
+EAGER = {"sink_roundtrip", "mart_row_counts", "dq_constraints", "dq_report", "dq_guard"}
 
 
 @pytest.fixture(scope="module")

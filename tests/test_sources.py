@@ -113,6 +113,20 @@ def test_stored_tables_are_read_from_then_on(spark, tiny):
     assert lake.table("silver_dim_brand").count() == 1
 
 
+def test_storing_again_rebuilds_and_reaches_plans_made_before(spark, tiny):
+    rows = {"dim_brand": [{"Brand_ID": 1, "Brand_Name": "x"}]}
+    lake = tiny(**rows)
+    before = lake.table("gold_dim_product")
+    for _ in range(2):
+        lake.store_raw(["dim_brand"]).store(["silver_dim_brand"])
+    assert lake.table("silver_dim_brand").count() == 1
+    assert lake.table("gold_dim_product") is not before
+    rows["dim_brand"].append({"Brand_ID": 2, "Brand_Name": "y"})
+    lake = tiny(**rows)
+    lake.store(["silver_dim_brand"]).store(["silver_dim_brand"])
+    assert lake.table("silver_dim_brand").count() == 2
+
+
 def test_full_build_and_views(spark, tiny):
     lake = tiny(fact_sale=[{"sale_id": 1, "transaction_id": 1}], fact_transaction=[{"transaction_id": 1}]).build()
     assert lake.table("gold_fact_sale").count() == 1
