@@ -22,6 +22,12 @@ from shopledger.sources.catalog import RAW_TABLES
 from shopledger.sources.reader import load_parquet, normalise_headers, rescue, row_counts
 from shopledger.sources.sample import SampleRetail
 
+try:
+    import corpus_pipeline
+    from shopledger.llm import queries as llm_queries
+except ImportError:  # the text operators are an optional part
+    corpus_pipeline = llm_queries = None
+
 AS_OF = dt.date(2002, 1, 1)
 AS_OF_SQL = f"DATE '{AS_OF}'"
 SHOWN_FROM, SHOWN_TO = dt.date(1996, 3, 1), dt.date(1996, 5, 31)
@@ -177,7 +183,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "device_type",
         ["desktop", "tablet"],
     )
-    return {
+    found = {
         "src_parquet_load": _parquet_load,
         "src_normalise_headers": _headers,
         "src_rescue_columns": _rescue,
@@ -200,6 +206,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "expect_warn_report": _warn_report,
         "expect_fail_pass": _fail_pass,
     }
+    if llm_queries:
+        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
@@ -221,4 +230,8 @@ def oracle_sql() -> dict[str, str]:
     )
     composed = {name: compose(ctes, sql) for name, sql in statements.items()}
     composed["dq_guard"] = compose(clean, guard_sql())
+    if llm_queries:
+        composed |= llm_queries.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            composed["pipeline"] = corpus_pipeline.ORACLE_SQL
     return composed
