@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopledger.llm import bit_codes, bpe
 from shopledger.llm.quality_rules import quality_rules
+from shopledger.llm.simhash import simhash_components
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +19,23 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir)).drop("clean_text")
 
 
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(_documents(spark, sf_dir))
+
+
+def op4_bit_code_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_codes.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(_documents(spark, sf_dir), shingle=3, max_bits=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op4_bit_code_neighbours": op4_bit_code_neighbours,
+    "op9_simhash_components": op9_simhash_components,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -1,26 +1,30 @@
-"""Intermediate tables in the folder that all executors share."""
+"""Intermediate tables in the folder that all executors share, and Arrow batches of bounded size."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopledger.session import app_dir
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a local session without the setting gets one of its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="shopledger-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+#: Rows in an Arrow batch of texts; Python then holds so many texts at a time, whole.
+BATCH_ROWS = 512
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    return f"{app_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """`df` as a stored Parquet table of a new name, so that a lost executor costs no more than reading it again."""
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Keep Arrow batches small for this session unless it sets a smaller size itself."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
+        spark.conf.set(key, str(rows))
