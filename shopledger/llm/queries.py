@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shopledger.llm import bit_codes, bpe
 from shopledger.llm.quality_rules import quality_rules
 from shopledger.llm.simhash import simhash_components
+from shopledger.llm.url_filter import UrlRule, judge_urls
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +28,19 @@ def op4_bit_code_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_codes.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+#: Rules on hosts and path prefixes, with what they decide.
+URL_RULES = [
+    UrlRule("net/", "block"),
+    UrlRule("example.net/en/", "allow"),
+    UrlRule("example.com/de/", "block"),
+    UrlRule("org/fr/", "allow"),
+]
+
+
+def op7_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+
+
 def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_documents(spark, sf_dir), shingle=3, max_bits=3)
 
@@ -35,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op4_bit_code_neighbours": op4_bit_code_neighbours,
+    "op7_url_templates": op7_url_templates,
     "op9_simhash_components": op9_simhash_components,
 }
 

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopledger.llm.tables import written
+
 
 @dataclass(frozen=True)
 class UrlRule:
@@ -91,20 +93,24 @@ def segments(path: Column, depth: int) -> list[Column]:
 
 
 def _close(part: Column, n: Column, rest: Column, n_rest: Column, z: float) -> Column:
-    """Whether part / n and rest / n_rest are shares of the same size, as far as so many rows can tell."""
-    pooled = (part + rest) / (n + n_rest)
-    gap = part / n - rest / n_rest
-    return gap * gap <= z * z * pooled * (1 - pooled) * (1 / n + 1 / n_rest)
+    """Whether part / n and rest / n_rest are shares of the same size, as far as so many rows can tell.
+
+    Two-proportion test, multiplied out: no division, so an empty rest divides nothing by zero.
+    """
+    both, total = part + rest, n + n_rest
+    gap = part * n_rest - rest * n
+    return gap * gap <= z * z * both * (total - both) * n * n_rest / total
 
 
 def merged_templates(paths: DataFrame, options: TemplateOptions) -> DataFrame:
     """`paths` (host, s0.., n, n_labelled, n_bad; one row for each distinct path) with template levels t0... added.
 
     A level's branches are summed first; only sums meet the sums of their siblings, so a host's share of the rows
-    doesn't matter, only its number of different paths.
+    doesn't matter, only its number of different paths. Every level is stored, as the next one reads it several times.
     """
+    spark = paths.sparkSession
     levels = options.depth + 1
-    tree = paths
+    tree = written(spark, paths, "url-paths")
     for level in range(levels):
         above = ["host", *(f"t{i}" for i in range(level))]
         segment = f"s{level}"
@@ -120,33 +126,28 @@ def merged_templates(paths: DataFrame, options: TemplateOptions) -> DataFrame:
             F.sum("_ended").alias("_all_ended"),
             F.count(segment).alias("_children"),
         )
-        both = branch.join(parent, _same(branch, parent, above)).select(
-            *[branch[c] for c in [*above, segment, "_n", "_bad", "_ended"]],
-            "_all",
-            "_all_bad",
-            "_all_ended",
-            "_children",
-        )
+        both = _joined(branch, parent, above)
         n, n_rest = F.col("_n").cast("double"), (F.col("_all") - F.col("_n")).cast("double")
-        alike = _close(F.col("_bad"), n, F.col("_all_bad") - F.col("_bad"), n_rest, options.z) & _close(
-            F.col("_ended"), n, F.col("_all_ended") - F.col("_ended"), n_rest, options.z
+        bad, ended_here = F.col("_bad").cast("double"), F.col("_ended").cast("double")
+        alike = _close(bad, n, F.col("_all_bad") - bad, n_rest, options.z) & _close(
+            ended_here, n, F.col("_all_ended") - ended_here, n_rest, options.z
         )
         variable = (F.col("_children") > options.max_children) & (n < options.rare * F.col("_all"))
         template = F.when(F.col(segment).isNotNull() & (n_rest > 0) & (variable | alike), WILDCARD).otherwise(
             F.col(segment)
         )
         chosen = both.select(*above, segment, template.alias(f"t{level}"))
-        tree = tree.join(chosen, _same(tree, chosen, [*above, segment])).select(
-            *[tree[c] for c in tree.columns], f"t{level}"
-        )
+        tree = written(spark, _joined(tree, chosen, [*above, segment]), "url-tree")
     return tree
 
 
-def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+def _joined(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+    """Inner join on `columns`, a null being equal to a null; the other columns have different names."""
+    theirs = right.select(*[F.col(c).alias(f"_r_{c}") if c in columns else F.col(c) for c in right.columns])
     same = F.lit(True)
     for c in columns:
-        same = same & left[c].eqNullSafe(right[c])
-    return same
+        same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return left.join(theirs, same).drop(*[f"_r_{c}" for c in columns])
 
 
 def judge_urls(
@@ -195,12 +196,13 @@ def judge_urls(
     template = ["host", *(f"t{i}" for i in levels)]
     stats = tree.groupBy(*template).agg(F.sum("n_labelled").alias("_labelled"), F.sum("n_bad").alias("_n_bad"))
     share = (F.col("_n_bad") + options.weight * options.prior) / (F.col("_labelled") + options.weight)
-    judged = tree.join(stats, _same(tree, stats, template)).select(
-        *[tree[c] for c in ["host", *steps]],
-        F.concat(F.lit("/"), F.concat_ws("/", *[tree[c] for c in template[1:]])).alias("template"),
+    judged = _joined(tree, stats, template).select(
+        "host",
+        *steps,
+        F.concat(F.lit("/"), F.concat_ws("/", *template[1:])).alias("template"),
         share.alias("bad_share"),
     )
     final = F.coalesce("_ruled", F.when(F.col("bad_share") >= options.reject, "block").otherwise("allow"))
-    return shaped.join(judged, _same(shaped, judged, ["host", *steps])).select(
-        "page_id", shaped["host"], "path", "rule", final.alias("verdict"), "template", "bad_share"
+    return _joined(shaped, judged, ["host", *steps]).select(
+        "page_id", "host", "path", "rule", final.alias("verdict"), "template", "bad_share"
     )
