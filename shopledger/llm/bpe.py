@@ -226,6 +226,19 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
+def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, length): ids of each text and one more for its end. Cases as for `encode`."""
+    picked = _picked(docs, id_col, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _loaded(None, LEAF_CHARS)
+        for batch in batches:
+            lengths = [len(ids) + 1 for ids in bpe.encode_all(batch.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lengths, pa.int64())], ["doc_id", "length"])
+
+    return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, length long")
+
+
 def round_trip(
     docs: DataFrame,
     id_col: str = "doc_id",

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopledger.llm import bit_codes, bpe
+from shopledger.llm import bit_codes, bpe, html_text, language_id, packing, secrets_crf
 from shopledger.llm.quality_rules import quality_rules
 from shopledger.llm.simhash import simhash_components
 from shopledger.llm.url_filter import UrlRule, judge_urls
@@ -24,10 +24,20 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_documents(spark, sf_dir))
 
 
+def op3_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return secrets_crf.scan(docs, secrets_crf.train(docs)).drop("redacted")
+
+
 def op4_bit_code_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_codes.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return language_id.identify(docs, language_id.train(docs))
+
+
 #: Rules on hosts and path prefixes, with what they decide.
 URL_RULES = [
     UrlRule("net/", "block"),
@@ -41,16 +51,28 @@ def op7_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.byte_lengths(_documents(spark, sf_dir)))
+
+
 def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_documents(spark, sf_dir), shingle=3, max_bits=3)
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_bpe_round_trip": op2_bpe_round_trip,
+    "op3_crf_secrets": op3_crf_secrets,
     "op4_bit_code_neighbours": op4_bit_code_neighbours,
+    "op5_language_id": op5_language_id,
     "op7_url_templates": op7_url_templates,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_components": op9_simhash_components,
+    "op10_main_text": op10_main_text,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopledger.session import app_dir
 
@@ -28,3 +29,13 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
         spark.conf.set(key, str(rows))
+
+
+def bounded_sample(df: DataFrame, rows: int, *key: str) -> DataFrame:
+    """About `rows` rows, and never more than twice as many, chosen by a hash of `key`; the same ones every time as
+    long as there are not many more than expected. For fitting models only."""
+    total = df.count()
+    if total <= rows:
+        return df
+    share = int(rows / total * (1 << 31))
+    return df.filter(F.pmod(F.xxhash64(*key), F.lit(1 << 31)) < share).limit(2 * rows)
