@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopledger.llm import bit_codes, bpe, html_text, language_id, packing, secrets_crf
+from shopledger.llm import bit_codes, bpe, html_text, language_id, packing, secrets_crf, token_files
 from shopledger.llm.quality_rules import quality_rules
 from shopledger.llm.simhash import simhash_components
+from shopledger.llm.tables import fresh_path
 from shopledger.llm.url_filter import UrlRule, judge_urls
 
 
@@ -38,6 +39,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.train(docs))
 
 
+def op6_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-ids")
+    token_files.write(_documents(spark, sf_dir), path)
+    return token_files.read_digests(spark, path)
+
+
 #: Rules on hosts and path prefixes, with what they decide.
 URL_RULES = [
     UrlRule("net/", "block"),
@@ -69,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_crf_secrets": op3_crf_secrets,
     "op4_bit_code_neighbours": op4_bit_code_neighbours,
     "op5_language_id": op5_language_id,
+    "op6_token_id_files": op6_token_id_files,
     "op7_url_templates": op7_url_templates,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_components": op9_simhash_components,
