@@ -193,6 +193,10 @@ def quality_rules(
     )
     lost = F.col("n_words") - F.size(_words(F.col("clean_text")))
     lossy = judged.withColumn("lost_words", F.when(F.col("n_lines_removed") == 0, F.lit(0)).otherwise(lost).cast("long"))
+    # A condition on the result must not be pushed below these projections, or the arrays that they compute once would
+    # be computed anew wherever they are used. The optimizer leaves conditions above what is not deterministic.
+    stop = F.monotonically_increasing_id() >= 0
     return lossy.withColumn(
-        "kept", ~F.col("base_failed") & (F.col("lost_words") * 100 <= F.col("n_words") * rules.max_lost_percent)
+        "kept",
+        ~F.col("base_failed") & (F.col("lost_words") * 100 <= F.col("n_words") * rules.max_lost_percent) & stop,
     )
