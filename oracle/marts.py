@@ -323,7 +323,9 @@ def _alternative() -> dict[str, str]:
         "bi_customer_summary_alt": f"""
             select {TRAITS}, {orders}, {money("rev", "lifetime_revenue")}, first_order_ts, last_order_ts,
                    (AS_OF - last_order_ts::DATE)::INT as days_since_last_order, orders >= 2 as is_repeat_customer
-            from ag_customer join {people} using (customer_id)""",
+            from (select {TRAITS}, max(orders) as orders, sum(rev) as rev, min(first_order_ts) as first_order_ts,
+                         max(last_order_ts) as last_order_ts
+                  from ag_customer join {people} using (customer_id) group by all)""",
         "bi_customer_loyalty_mix_alt": f"""
             select loyalty_status, {count("n", "active_customers")}, {count("again", "repeat_customers")},
                    {share_alt("again", "n")} as repeat_rate_pct, {money("total", "net_revenue")},
@@ -331,7 +333,9 @@ def _alternative() -> dict[str, str]:
                    {unrounded("every", "n", 16)} as avg_orders_per_customer
             from (select loyalty_status, count(*) as n, count(*) filter (where orders > 1) as again,
                          sum(rev) as total, sum(orders) as every
-                  from ag_customer join {people} using (customer_id) group by loyalty_status)""",
+                  from (select loyalty_status, customer_id, max(orders) as orders, sum(rev) as rev
+                        from ag_customer join {people} using (customer_id) group by all)
+                  group by loyalty_status)""",
         "bi_customer_new_vs_returning_by_month_alt": f"""
             select month_start,
                    {count(ids("customer_id", "month_start = debut"), "new_customers")},

@@ -8,10 +8,14 @@ def raw_ctes(dirt: bool = True) -> dict[str, str]:
         return f"(case when {condition} then {dirty} else {clean} end)" if dirt else f"({clean})"
 
     def name_id(column: str) -> str:
-        return f"('0x' || md5({column})[1:6])::INT"
+        letters = f"list_transform(string_split({column}, ''), lambda c: (ascii(c) - 64)::BIGINT)"
+        return f"list_reduce({letters}, lambda x, y: x * 27 + y)"
 
-    def key_id(*columns: str) -> str:
-        return f"('0x' || md5(concat_ws('-', {', '.join(columns)}))[1:15])::BIGINT"
+    def brand_number(column: str) -> str:
+        return f"replace({column}, 'Brand#', '')::BIGINT"
+
+    def digits(column: str, width: int) -> str:
+        return f"lpad(({column})::VARCHAR, {width}, '0')"
 
     def day_id(moment: str) -> str:
         return f"strftime({moment}, '%Y%m%d')::INT"
@@ -58,13 +62,13 @@ def raw_ctes(dirt: bool = True) -> dict[str, str]:
                    lower(p_type) || ' range ' || tier as subcategory_name, {name_id("p_type")} as category_id
             from part, (values (0), (1), (2)) t(tier)""",
         "raw_brand": f"""
-            select distinct {name_id("p_brand")} as brand_id, p_brand as brand_name from part
+            select distinct {brand_number("p_brand")} as brand_id, p_brand as brand_name from part
             """
         + ("union all select distinct 99000001, p_brand from part where p_brand = 'Brand#1'" if dirt else ""),
         "raw_product": f"""
             select p_partkey as product_id, unnest(names) as product_name, {name_id("p_type")} as category_id,
                    {name_id("p_type")} * 10 + p_size % 3 as subcategory_id,
-                   {soil("p_partkey % 200 = 3", "99000001", name_id("p_brand"))} as brand_id,
+                   {soil("p_partkey % 200 = 3", "99000001", brand_number("p_brand"))} as brand_id,
                    {soil("p_partkey % 150 = 9", "price",
                          soil("p_partkey % 170 = 11", "null", "round(price * 0.6, 2)"))}::DECIMAL(10, 2) as unit_cost,
                    price as unit_price, p_size % 4 as warranty_years,
@@ -128,7 +132,8 @@ def raw_ctes(dirt: bool = True) -> dict[str, str]:
                        from (select *, l_extendedprice::DECIMAL(10, 2) as price from lineitem)
                        group by l_orderkey) on k = l_orderkey""",
         "raw_sale": f"""
-            select {key_id("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cents")} as sale_id,
+            select (l_orderkey || {digits("l_linenumber", 2)} || {digits("l_partkey", 11)} || {digits("cents", 11)})::DECIMAL(38, 0)
+                       as sale_id,
                    l_orderkey as transaction_id, case when l_orderkey % 2 = 0 then l_orderkey end as session_id,
                    o_orderdate as transaction_timestamp, {day_id("o_orderdate")} as transaction_date_id,
                    l_partkey as product_id, l_quantity::INT as quantity,
@@ -162,7 +167,7 @@ def raw_ctes(dirt: bool = True) -> dict[str, str]:
                                bool_or(event_type = 'purchase') as bought
                         from events group by user_id, ts::DATE))""",
         "raw_inventory": f"""
-            select {key_id("product_id", "store_id", day_id("snapshot_month"))} as inventory_id, product_id, store_id,
+            select (product_id || {digits("store_id", 14)} || strftime(snapshot_month, '%Y%m%d'))::DECIMAL(38, 0) as inventory_id, product_id, store_id,
                    snapshot_month, starting_stock, received_stock, sold_units,
                    {closing if dirt else f"greatest({closing}, 0)"} as closing_stock,
                    sold_units > starting_stock as backorder_flag, shrinkage_loss

@@ -42,16 +42,21 @@ def star_ctes(as_of: str) -> dict[str, str]:
                     coalesce(map {{'mobile app': 'mobile', 'online': 'web', 'in-store': 'store'}}
                              [lower(signup_channel)], lower(signup_channel)) as signup_channel)
                 from raw_customer
-                qualify 1 = row_number() over (partition by lower(email_address)
-                                               order by signup_date nulls first, customer_id)),
+                qualify row_number() over (partition by lower(email_address)
+                                           order by signup_date nulls first, customer_id) = 1),
             aged as (
                 select *, (year({as_of}) - year(birth_date)
                            - (strftime({as_of}, '%m%d') < strftime(birth_date, '%m%d'))::INT)::INT as age from clean)
             select * exclude (estimated_annual_income),
-                   coalesce(list_filter(['18-24', '25-34', '35-44', '45-54'],
-                            lambda b: age between b[1:2]::INT and b[4:5]::INT)[1], '55+') as age_group,
-                   if(estimated_annual_income < 50000, 'Low Income',
-                      if(estimated_annual_income <= 100000, 'Middle Income', 'High Income')) as income_bracket
+                   -- fixed values: bands
+                   case when age between 18 and 24 then '18-24'
+                        when age between 25 and 34 then '25-34'
+                        when age between 35 and 44 then '35-44'
+                        when age between 45 and 54 then '45-54'
+                        else '55+' end as age_group,
+                   case when estimated_annual_income < 50000 then 'Low Income'
+                        when estimated_annual_income between 50000 and 100000 then 'Middle Income'
+                        else 'High Income' end as income_bracket
             from aged""",
         "s_date": "select *, day(last_day(date))::INT as days_in_month from raw_date",
         "s_location": f"""
@@ -67,8 +72,9 @@ def star_ctes(as_of: str) -> dict[str, str]:
                    replace ({title("promo_name")} as promo_name, {title("promo_type")} as promo_type,
                             {title("discount_type")} as discount_type)
             from (select * from raw_promotion
-                  qualify 1 = row_number() over (partition by promo_id
-                                                 order by promo_start_date nulls first, promo_end_date))
+                  qualify row_number() over (partition by promo_id
+                                             order by promo_start_date nulls first, promo_end_date nulls first,
+                                                      promo_name nulls first) = 1)
             where promo_start_date is not null""",
         "s_store": f"""
             select * replace ({title("store_name")} as store_name, {title("store_type")} as store_type)
@@ -116,6 +122,10 @@ def star_ctes(as_of: str) -> dict[str, str]:
         "a_promotion": f"""
             select * replace (promo_start_date::DATE <= {as_of} and {as_of} <= promo_end_date::DATE as is_active)
             from raw_promotion""",
+        "a_sale": "select * exclude (aov_category) from raw_sale",
+        "a_clickstream": "select * exclude (aov_category) from raw_clickstream",
+        "a_inventory": """
+            select *, year(snapshot_month) * 100 + month(snapshot_month) as snapshot_month_id from raw_inventory""",
         "ag_date": """
             select *, year * 100 + month as month_id, format('{}Q{}', year, quarter) as year_quarter from raw_date""",
         "ag_customer": """
@@ -144,7 +154,9 @@ _NET_LINE = [*_LINE, "allocated_line_discount", "net_line_revenue", "net_line_pr
 _ORDER = ["transaction_subtotal", "transaction_discount_applied", "transaction_total", "transaction_cost"]
 _PRICE = ["unit_cost", "unit_price"]
 
-# Columns shown as DOUBLE (money), and ids shown as BIGINT.
+_PRODUCT_IDS = ["category_id", "subcategory_id", "brand_id"]
+
+# Columns shown as DOUBLE (money), ids shown as BIGINT, and ids shown as text.
 SHOWN_AS = {
     "s_brand": ([], ["brand_id"]),
     "s_campaign": ([], ["campaign_id", "promo_id"]),
@@ -155,18 +167,28 @@ SHOWN_AS = {
     "s_product": (_PRICE, ["category_id", "subcategory_id", "brand_id"]),
     "s_promotion": (["discount_value"], ["promo_id"]),
     "s_store": ([], ["location_id"]),
-    "s_sale": (_LINE, []),
+    "s_sale": (_LINE, [], ["sale_id"]),
+    "s_inventory": ([], [], ["inventory_id"]),
     "s_transaction": (_ORDER, []),
+    "raw_brand": ([], ["brand_id"]),
+    "raw_campaign": ([], ["campaign_id", "promo_id"]),
+    "raw_category": ([], ["category_id"]),
+    "raw_subcategory": ([], ["subcategory_id", "category_id"]),
+    "raw_product": (_PRICE, _PRODUCT_IDS),
+    "raw_transaction": (_ORDER, []),
+    "a_sale": (_LINE, [], ["sale_id"]),
+    "a_inventory": ([], ["snapshot_month_id"], ["inventory_id"]),
     "a_promotion": (["discount_value"], []),
     "g_product": (_PRICE, ["category_id", "subcategory_id", "brand_id"]),
-    "g_sale": (_NET_LINE, []),
+    "g_sale": (_NET_LINE, [], ["sale_id"]),
     "ag_product": (_PRICE, []),
-    "ag_sale": (_NET_LINE, []),
+    "ag_sale": (_NET_LINE, [], ["sale_id"]),
 }
 
 
 def shown(cte: str, condition: str = "true") -> str:
-    money, ids = SHOWN_AS.get(cte, ([], []))
+    money, ids, *wide = SHOWN_AS.get(cte, ([], []))
     casts = [f"{c}::DOUBLE as {c}" for c in money] + [f"{c}::BIGINT as {c}" for c in ids]
+    casts += [f"{c}::VARCHAR as {c}" for c in (wide[0] if wide else [])]
     replace = f" replace ({', '.join(casts)})" if casts else ""
     return f"select *{replace} from {cte} where {condition}"

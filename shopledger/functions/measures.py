@@ -88,14 +88,17 @@ def session_flags() -> dict[str, Column]:
 
 
 def stock_sums() -> dict[str, Column]:
-    """Additive figures of stock snapshots; averages are kept as a sum and a count."""
-    level = (F.col("starting_stock") + F.col("closing_stock")) / F.lit(Decimal("2.0"))
+    """Additive figures of stock snapshots; averages are kept as a sum and a count.
+
+    The level of a snapshot is the mean of two whole numbers, so it is added up as a whole number of halves.
+    """
+    halves = F.col("starting_stock") + F.col("closing_stock")
     return {
         "sold_units": F.col("sold_units"),
         "received_stock": F.col("received_stock"),
         "shrinkage_loss": F.col("shrinkage_loss"),
-        "level_sum": level,
-        "level_count": F.when(level.isNotNull(), 1).otherwise(0),
+        "level_halves": halves,
+        "level_count": F.when(halves.isNotNull(), 1).otherwise(0),
         "closing_sum": F.col("closing_stock"),
         "closing_count": F.when(F.col("closing_stock").isNotNull(), 1).otherwise(0),
         "backorders": F.when(F.col("backorder_flag"), 1).otherwise(0),
@@ -109,9 +112,10 @@ def stock_turnover(style: Style) -> Column:
     if style.empty_as_zero:
         level = F.col("closing_sum").cast("double") / F.nullif(F.col("closing_count"), F.lit(0))
         return F.when(level > 0, sold / level).otherwise(F.lit(0.0))
-    # An average of DECIMAL(.,6) levels has 10 fraction digits.
-    level = (F.col("level_sum") / F.nullif(F.col("level_count"), F.lit(0))).cast("decimal(31,10)")
-    return F.round(sold / F.nullif(level, F.lit(0)), 2)
+    # An average of levels has 10 fraction digits. The quotient of these two widths has 19, however large the sums.
+    halves = F.col("level_halves").cast("decimal(19,0)")
+    level = F.round(halves / F.nullif(2 * F.col("level_count"), F.lit(0)).cast("decimal(20,0)"), 10)
+    return F.round(sold.cast("decimal(19,0)") / F.nullif(level, F.lit(0)).cast("decimal(30,10)"), 2)
 
 
 def backorder_percent(style: Style) -> Column:

@@ -343,6 +343,15 @@ def sales_by_payment_type(lake, style):
 # --- customers -------------------------------------------------------------------------------------
 
 
+def _repeated_customer():
+    return (
+        F.max("orders").alias("orders"),
+        F.sum("lifetime_revenue").alias("lifetime_revenue"),
+        F.min("first_order_ts").alias("first_order_ts"),
+        F.max("last_order_ts").alias("last_order_ts"),
+    )
+
+
 @mart("bi_customer_summary")
 def customer_summary(lake, style):
     if style is STANDARD:
@@ -365,6 +374,9 @@ def customer_summary(lake, style):
         "signup_channel", "country", "state_province", "city",
     ]
     known = _gold(lake, "dim_customer", style).select(*traits).join(activity, "customer_id", "inner")
+    if style is not STANDARD:
+        # These customers may be given several times, and revenue is added for each.
+        known = known.groupBy(*traits).agg(*_repeated_customer())
     return _finish(
         known,
         style,
@@ -382,6 +394,10 @@ def customer_summary(lake, style):
 @mart("bi_customer_loyalty_mix", order=["-net_revenue", "loyalty_status"])
 def customer_loyalty_mix(lake, style):
     customers = lake.table(f"bi_customer_summary{style.suffix}")
+    if style is not STANDARD:
+        # A customer who is given with different traits counts once.
+        customers = customers.groupBy("loyalty_status", "customer_id").agg(*_repeated_customer())
+        customers = customers.withColumn("is_repeat_customer", F.col("orders") > 1)
     totals = customers.groupBy("loyalty_status").agg(
         F.count(F.lit(1)).alias("active_customers"),
         F.count_if("is_repeat_customer").alias("repeat_customers"),

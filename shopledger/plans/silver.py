@@ -115,7 +115,9 @@ def silver_dim_promotion(lake):
         _titled("promo_name", "promo_type", "discount_type"),
         drop=["promo_duration"],
     )
-    first = keep_first(promotions, ["promo_id"], ["promo_start_date", "promo_end_date"])
+    dates = ["promo_start_date", "promo_end_date"]
+    rest = [c for c in promotions.columns if c not in ("promo_id", *dates)]
+    first = keep_first(promotions, ["promo_id"], [*dates, *rest])
     return first.filter(F.col("promo_start_date").isNotNull())
 
 

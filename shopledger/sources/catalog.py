@@ -8,6 +8,8 @@ the narrower types suffice.
 from __future__ import annotations
 
 ID = "bigint"
+# Ids of the finest facts, which a source may make of several numbers.
+WIDE_ID = "decimal(38,0)"
 DAY_ID = "int"
 MONEY = "decimal(10,2)"
 ORDER_MONEY = "decimal(18,2)"
@@ -119,7 +121,7 @@ RAW_TABLES: dict[str, dict[str, str]] = {
         "aov_category": "string",
     },
     "fact_sale": {
-        "sale_id": ID,
+        "sale_id": WIDE_ID,
         "transaction_id": ID,
         "session_id": ID,
         "transaction_timestamp": MOMENT,
@@ -151,7 +153,7 @@ RAW_TABLES: dict[str, dict[str, str]] = {
         "transaction_status": "string",
     },
     "inventory": {
-        "inventory_id": ID,
+        "inventory_id": WIDE_ID,
         "product_id": ID,
         "store_id": ID,
         "snapshot_month": "date",

@@ -27,13 +27,34 @@ UNDATED_PROMOTION = 50
 
 
 def name_id(column: str) -> str:
-    """A small id from a name."""
-    return f"CAST(conv(substr(md5({column}), 1, 6), 16, 10) AS INT)"
-
-
-def key_id(*columns: str) -> str:
-    """A 60-bit id from a composite key."""
-    return f"CAST(conv(substr(md5(concat_ws('-', {', '.join(columns)})), 1, 15), 16, 10) AS BIGINT)"
+    """An id from a name of up to 12 letters: the letters as digits of a number in base 27. Other names stop the load."""
+    number = (
+        f"aggregate(split({column}, ''), CAST(0 AS BIGINT), (sum, letter) -> sum * 27 + ascii(letter) - ascii('A') + 1)"
+    )
+    return (
+        f"CASE WHEN {column} RLIKE '^[A-Z]{{1,12}}$' THEN {number}"
+        f" WHEN {column} IS NOT NULL THEN raise_error(concat('no id for the name ', {column})) END"
+    )
+
+
+def brand_number(column: str) -> str:
+    """The number in a brand's name; other names stop the load."""
+    return (
+        f"CASE WHEN {column} RLIKE '^Brand#[1-9][0-9]{{0,6}}$' THEN CAST(substr({column}, 7) AS BIGINT)"
+        f" WHEN {column} IS NOT NULL THEN raise_error(concat('no id for the brand ', {column})) END"
+    )
+
+
+def key_id(*parts: tuple[str, int]) -> str:
+    """An id from a composite key, whose parts stand side by side as decimal digits: (column, digits). A part that has
+    more digits than that stops the load, so two keys never share an id."""
+    wide = " * CAST(1{} AS DECIMAL(38,0)) + "
+    total = ""
+    for column, digits in parts:
+        total = f"({total}{wide.format('0' * digits) if total else ''}CAST({column} AS DECIMAL(38,0)))"
+    fits = " AND ".join(f"{column} BETWEEN 0 AND {10**digits - 1}" for column, digits in parts)
+    known = " AND ".join(f"{column} IS NOT NULL" for column, _ in parts)
+    return f"CASE WHEN {fits} THEN CAST({total} AS DECIMAL(38,0)) WHEN {known} THEN raise_error('a key is too wide') END"
 
 
 def day_id(moment: str) -> str:
@@ -131,7 +152,7 @@ class SampleRetail:
 
     def dim_brand(self) -> DataFrame:
         brands = self.read("part").select("p_brand").distinct()
-        own = name_id("p_brand")
+        own = brand_number("p_brand")
         ids = self.soil(
             f"p_brand = '{DUPLICATED_BRAND}'", f"array({own}, {DUPLICATE_BRAND_ID})", f"array({own})"
         )
@@ -149,7 +170,7 @@ class SampleRetail:
             f"explode({names}) AS product_name",
             f"{name_id('p_type')} AS category_id",
             f"{name_id('p_type')} * 10 + p_size % 3 AS subcategory_id",
-            self.soil(f"{k} % 200 = 3", str(DUPLICATE_BRAND_ID), name_id("p_brand")) + " AS brand_id",
+            self.soil(f"{k} % 200 = 3", str(DUPLICATE_BRAND_ID), brand_number("p_brand")) + " AS brand_id",
             f"CAST({cost} AS DECIMAL(10,2)) AS unit_cost",
             "price AS unit_price",
             "p_size % 4 AS warranty_years",
@@ -296,7 +317,7 @@ class SampleRetail:
         orders = self.read("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
         unit_cents = "(2 * cents + pieces) DIV (2 * nullif(pieces, 0))"
         return lines.join(orders, "l_orderkey").selectExpr(
-            key_id("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cents") + " AS sale_id",
+            key_id(("l_orderkey", 14), ("l_linenumber", 2), ("l_partkey", 11), ("cents", 11)) + " AS sale_id",
             "l_orderkey AS transaction_id",
             "CASE WHEN l_orderkey % 2 = 0 THEN l_orderkey END AS session_id",
             "o_orderdate AS transaction_timestamp",
@@ -376,7 +397,7 @@ class SampleRetail:
         )
         closing = "starting_stock + received_stock - sold_units - shrinkage_loss"
         return stocked.selectExpr(
-            key_id("product_id", "store_id", day_id("snapshot_month")) + " AS inventory_id",
+            key_id(("product_id", 15), ("store_id", 14), (day_id("snapshot_month"), 8)) + " AS inventory_id",
             "product_id",
             "store_id",
             "snapshot_month",

@@ -6,7 +6,7 @@ from conftest import SMALL
 
 import __spark_entry__ as spec
 
-QUERIES = spec.queries()
+QUERIES = spec.library_queries()
 ORACLE = spec.oracle_sql()
 
 
@@ -16,7 +16,7 @@ def duck():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(ORACLE)
 
 
 @pytest.mark.parametrize("name", QUERIES)

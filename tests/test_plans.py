@@ -7,9 +7,8 @@ import pytest
 import __spark_entry__ as spec
 from conftest import SMALL
 
-QUERIES = spec.queries()
+QUERIES = spec.library_queries()
 MARTS = [name for name in QUERIES if name.startswith("bi_")]
-EAGER = {"sink_roundtrip", "mart_row_counts", "dq_constraints", "dq_report", "dq_guard"}
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +24,7 @@ def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in EAGER])
+@pytest.mark.parametrize("name", QUERIES)
 def test_no_python_and_no_cartesian_work(shuffled, name):
     df = QUERIES[name](shuffled, SMALL)
     plan = physical(df)
