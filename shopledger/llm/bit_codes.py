@@ -69,6 +69,16 @@ def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return total
 
 
+def _top(vectors: np.ndarray, query: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best and of all that rounding could have kept from being one of them."""
+    scores = vectors @ query
+    if len(scores) <= k:
+        return np.arange(len(scores))
+    least = np.partition(scores, -k)[-k]
+    slack = 1e-12 * np.sqrt((vectors * vectors).sum(axis=1) * (query @ query))
+    return np.flatnonzero(scores + slack >= least - slack.max())
+
+
 def _search(options: BitCodes):
     def run(key, candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
@@ -85,18 +95,19 @@ def _search(options: BitCodes):
         norms, correction = candidates["norm"].to_numpy(), candidates["correction"].to_numpy()
         out = []
         for start in range(0, len(asked), 64):
-            some = asked[start : start + 64]
+            some, some_ids = asked[start : start + 64], asked_ids[start : start + 64]
             guess, width = estimate(codes, norms, correction, some @ turn.T, dimension, options.epsilon)
+            own = ids[None, :] == some_ids[:, None]
             low, high = guess - width, guess + width
-            for k, query_id in enumerate(asked_ids[start : start + 64]):
-                others = ids != query_id
-                sure = low[k][others]
-                if len(sure) > options.neighbours:
-                    # the k-th best of what is certain: whoever can't reach it needs no second look
-                    least = np.partition(sure, -options.neighbours)[-options.neighbours]
-                    others &= high[k] >= least
-                picked = np.flatnonzero(others)
-                scores = exact(vectors[picked], some[k])
+            low[own] = high[own] = -np.inf
+            # the k-th best of what is certain: whoever can't reach it needs no second look
+            k = min(options.neighbours, low.shape[1])
+            least = np.partition(low, -k, axis=1)[:, -k]
+            maybe = (high >= least[:, None]) & ~own
+            for n, query_id in enumerate(some_ids):
+                picked = np.flatnonzero(maybe[n])
+                picked = picked[_top(vectors[picked], some[n], options.neighbours)]
+                scores = exact(vectors[picked], some[n])
                 best = np.lexsort((ids[picked], -scores))[: options.neighbours]
                 out.append((np.full(len(best), query_id), ids[picked][best], scores[best]))
         columns = [np.concatenate(x) for x in zip(*out)]
