@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from shopledger.session import app_dir, apply_runtime_defaults
-from shopledger.sources.writer import write_table
+from shopledger.sources.writer import current_version, enter, write_table
 
 LAYERS = ("bronze", "silver", "gold", "mart")
 
@@ -128,14 +128,19 @@ class Lakehouse:
         # Plans made before now would still compute this table, or read its replaced files.
         self._built.clear()
 
-    def build(self, prepare: Callable[[str, DataFrame], DataFrame] | None = None) -> "Lakehouse":
-        """Full rebuild: every cleaned table, then every dimension and the order lines.
+    def build(
+        self, prepare: Callable[[str, DataFrame], DataFrame] | None = None, alternative: bool = False
+    ) -> "Lakehouse":
+        """Full rebuild of a family: every cleaned table, then every dimension and the order lines.
 
-        The other facts are their cleaned tables under another name, so they are not written twice.
+        The other facts are their cleaned tables under another name, so they are not written twice, and
+        ``prepare`` does not see them.
         """
-        self.store(self.standard("silver"), prepare)
-        copies = {name for name in self.standard("gold") if name.startswith("gold_fact") and name != "gold_fact_sale"}
-        return self.store((name for name in self.standard("gold") if name not in copies), prepare)
+        suffix = "_alt" if alternative else ""
+        family = {layer: [n for n in self.names(layer) if n.endswith("_alt") == alternative] for layer in LAYERS}
+        self.store(family["silver"], prepare)
+        copies = [n for n in family["gold"] if n.startswith("gold_fact") and n != f"gold_fact_sale{suffix}"]
+        return self.store((name for name in family["gold"] if name not in copies), prepare)
 
     def standard(self, layer: str) -> list[str]:
         return [name for name in self.names(layer) if not name.endswith("_alt")]
@@ -149,6 +154,16 @@ class Lakehouse:
                 made.append(name)
         return made
 
+    def enter_tables(self) -> list[str]:
+        """Name every stored table in the catalogue, in the database of its layer, in place of the one before."""
+        made = []
+        for key in self._stored:
+            layer = "bronze" if key.startswith("bronze.") else DATASETS[key].layer
+            name = f"{layer}.{key.removeprefix('bronze.')}"
+            enter(self.spark, current_version(self.spark, self.path(key)), name)
+            made.append(name)
+        return made
+
     def create_schemas(self, schemas: Iterable[str] = ("bronze", "silver", "gold", "_test_failures")):
         for schema in schemas:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")

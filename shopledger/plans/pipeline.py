@@ -10,23 +10,38 @@ from pyspark.sql import DataFrame
 from shopledger.lakehouse import Lakehouse
 from shopledger.quality import checks, expectations
 from shopledger.sources.catalog import RAW_TABLES
+from shopledger.sources.writer import write_table
 
 
 @dataclass
 class RunReport:
-    """``violations`` maps (table, expectation) to its count; ``checks`` is the stored check report."""
+    """``violations`` maps (table, expectation) to its count; ``checks`` reads the stored check report."""
 
     rows: dict[str, int] = field(default_factory=dict)
     violations: dict[tuple[str, str], int] = field(default_factory=dict)
     checks: DataFrame | None = None
 
 
-def run(lake: Lakehouse, guard: bool = True, keep_failures: Iterable[checks.Check] = ()) -> RunReport:
+class ChecksFailed(RuntimeError):
+    """Some check found offending rows; ``report`` is that of the run."""
+
+    def __init__(self, message: str, report: RunReport):
+        super().__init__(message)
+        self.report = report
+
+
+def run(
+    lake: Lakehouse,
+    guard: bool = True,
+    keep_failures: Iterable[checks.Check] = checks.ALL_CHECKS,
+    alternative: bool = True,
+) -> RunReport:
     """Rebuild everything and return what was found; stop on a broken expectation or check.
 
     Violations of ``warn`` expectations are counted by the writes themselves, without another pass.
-    With ``guard`` a failing check raises after the report; the rows behind ``keep_failures`` are
-    stored first.
+    The results of the checks are stored once, and report and guard read them.  With ``guard`` a
+    failing check raises ``ChecksFailed``, which carries the report, after the rows behind
+    ``keep_failures`` are stored.
     """
     report = RunReport()
     watched = {}
@@ -41,13 +56,19 @@ def run(lake: Lakehouse, guard: bool = True, keep_failures: Iterable[checks.Chec
     lake.create_schemas()
     lake.store_raw(RAW_TABLES)
     lake.build(prepare=watch)
+    if alternative:
+        lake.build(prepare=watch, alternative=True)
+    lake.enter_tables()
     for name, seen in watched.items():
         counts = seen.get
         report.rows[name] = counts.pop("rows")
         report.violations.update({(name, expectation): n for expectation, n in counts.items()})
     for check in keep_failures:
         checks.store_failing_rows(lake, check)
-    report.checks = checks.report(checks.check_results(lake, checks.ALL_CHECKS))
+    results = write_table(checks.check_results(lake, checks.ALL_CHECKS), f"{lake.root}/_checks")
+    report.checks = checks.report(results)
     if guard:
-        checks.guard(report.checks.select("check_name", "failing_rows")).collect()
+        message = checks.complaint(results)
+        if message:
+            raise ChecksFailed(message, report)
     return report

@@ -20,6 +20,7 @@ from shopledger.sources.writer import write_table
 PASS = "✅ PASS"
 FAIL = "❌ FAIL"
 ALL_PASSED = "All data quality checks passed"
+FAILED = "Data quality FAILED for %d check(s); total offending rows = %d"
 
 
 @dataclass(frozen=True)
@@ -117,19 +118,24 @@ def report(results: DataFrame) -> DataFrame:
     return results.withColumn("status", status).orderBy(F.desc("failing_rows"), "check_name")
 
 
-def guard(results: DataFrame) -> DataFrame:
-    """One row saying that all passed; reading it fails the job if anything offends."""
+def _totals(results: DataFrame) -> DataFrame:
+    """(offending, complaint): rows that offend any check, and what there is to say about them."""
     totals = results.agg(
         F.sum("failing_rows").alias("offending"), F.count_if(F.col("failing_rows") > 0).alias("failed")
     )
-    complaint = F.concat(
-        F.lit("Data quality FAILED for "),
-        F.col("failed").cast("string"),
-        F.lit(" check(s); total offending rows = "),
-        F.col("offending").cast("string"),
-    )
-    verdict = F.when(F.col("offending") == 0, ALL_PASSED).otherwise(F.raise_error(complaint))
-    return totals.select(verdict.alias("result"))
+    return totals.select("offending", F.format_string(FAILED, "failed", "offending").alias("complaint"))
+
+
+def guard(results: DataFrame) -> DataFrame:
+    """One row saying that all passed; reading it fails the job if anything offends."""
+    verdict = F.when(F.col("offending") == 0, ALL_PASSED).otherwise(F.raise_error(F.col("complaint")))
+    return _totals(results).select(verdict.alias("result"))
+
+
+def complaint(results: DataFrame) -> str | None:
+    """What ``guard`` would say, without failing a job; None if nothing offends."""
+    row = _totals(results).first()
+    return row.complaint if row.offending else None
 
 
 def store_failing_rows(lake: Lakehouse, check: Check) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # A join whose skewed partition was split no longer has the hash layout that a following aggregate
@@ -15,9 +13,6 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_local_scratch: dict[str, str] = {}
-
-
 def apply_runtime_defaults(spark: SparkSession) -> SparkSession:
     """Set the defaults above, leaving alone whatever the session already sets."""
     chosen = spark.conf.getAll
@@ -30,18 +25,15 @@ def apply_runtime_defaults(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own; on a cluster a
-    machine-local folder would be lost with its machine, so the setting is required there.
+    A local session without that setting uses its warehouse folder, where its tables are anyway; on a
+    cluster the setting is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _local_scratch:
-        _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="shopledger-")
-    return _local_scratch[context.applicationId]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
 def app_dir(spark: SparkSession) -> str:

@@ -5,15 +5,19 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RESCUED = "_rescued_data"
 
 
 def load_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet file, folder of part files, or glob; the schema comes from the files."""
-    return spark.read.parquet(path)
+    """A Parquet file, folder of part files, or glob, with the columns of all the files.
+
+    A column that some files lack is NULL in their rows. Learning of all columns means that Spark reads every file's
+    footer once, in parallel; a landing folder of very many files is better read with a declared schema.
+    """
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def snake_case(header: str) -> str:
@@ -27,12 +31,13 @@ def normalise_headers(df: DataFrame) -> DataFrame:
 def rescue(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     """Fit ``df`` to ``schema`` without losing anything.
 
-    Declared columns are cast where that succeeds and NULL where not.  Values that failed to cast,
-    and all columns that were not declared, go as text into one JSON object in ``_rescued_data``,
-    which is NULL for a row that fits.
+    Declared columns are cast where the value survives it, and NULL where not: a fraction does not become a whole
+    number, nor a moment a day.  Values that don't fit, and all columns that were not declared, go as text into one
+    JSON object in ``_rescued_data``, which is NULL for a row that fits.
     """
+    given = dict(df.dtypes)
     fitted = {
-        name: F.col(name).try_cast(kind) if name in df.columns else F.lit(None).cast(kind)
+        name: _if_kept(F.col(f"`{name}`"), given[name], kind) if name in given else F.lit(None).cast(kind)
         for name, kind in schema.items()
     }
     misfits = [
@@ -47,6 +52,23 @@ def rescue(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     )
 
 
+# For text: the widest type of the target's kind, in which the two values are compared.
+_WIDEST = {"date": "timestamp_ntz", "decimal": "decimal(38,18)"} | dict.fromkeys(
+    ("tinyint", "smallint", "int", "bigint"), "decimal(38,18)"
+)
+
+
+def _if_kept(value: Column, given: str, kind: str) -> Column:
+    """``value`` as ``kind``, or NULL where that would change it."""
+    cast = value.try_cast(kind)
+    wide = given if given != "string" else _WIDEST.get(kind.partition("(")[0])
+    if given == kind or wide is None:
+        return cast
+    # a value that even the widest type can't hold is left to the cast alone
+    before, after = value.try_cast(wide), cast.try_cast(wide)
+    return F.when(before.isNull() | before.eqNullSafe(after), cast)
+
+
 class ParquetLanding:
     """Raw tables that lie as ``<root>/<table>.parquet`` (each a file or a folder).
 

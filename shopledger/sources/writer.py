@@ -1,10 +1,76 @@
-"""Writing tables: full rebuilds, repeatable, clustered or bucketed where that helps the readers."""
+"""Writing tables: full rebuilds that keep the last good version, clustered or bucketed where that helps the readers.
+
+A table's folder holds one folder per version and a small file that names the current one. A rebuild writes a new
+version and switches the file only after every row is written, so a rebuild that fails leaves the table as it was.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+CURRENT = "_current"
+
+
+class _Folder:
+    """A folder on whatever file system its path names."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        jvm = spark._jvm
+        self._hadoop = jvm.org.apache.hadoop.fs
+        self._gateway = spark.sparkContext._gateway
+        self.path = self._hadoop.Path(path)
+        self._conf = spark._jsparkSession.sessionState().newHadoopConf()
+        self._fs = self.path.getFileSystem(self._conf)
+
+    def _at(self, name: str):
+        return self._hadoop.Path(self.path, name)
+
+    def read(self, name: str) -> str | None:
+        if not self._fs.exists(self._at(name)):
+            return None
+        stream = self._fs.open(self._at(name))
+        try:
+            return stream.readUTF()
+        finally:
+            stream.close()
+
+    def replace(self, name: str, text: str) -> None:
+        """Write beside the old file and rename over it, which is one step on a distributed file system."""
+        fresh = self._at(f"{name}.{uuid.uuid4().hex}")
+        stream = self._fs.create(fresh, True)
+        try:
+            stream.writeUTF(text)
+        finally:
+            stream.close()
+        overwrite = self._gateway.new_array(self._gateway.jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        overwrite[0] = self._gateway.jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        context = self._hadoop.FileContext.getFileContext(self._fs.getUri(), self._conf)
+        context.rename(self._fs.makeQualified(fresh), self._fs.makeQualified(self._at(name)), overwrite)
+
+    def versions(self) -> list[str]:
+        if not self._fs.exists(self.path):
+            return []
+        return [f.getPath().getName() for f in self._fs.listStatus(self.path) if f.isDirectory()]
+
+    def drop(self, name: str) -> None:
+        self._fs.delete(self._at(name), True)
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of the table's current version, or None before the first."""
+    name = _Folder(spark, path).read(CURRENT)
+    return f"{path}/{name}" if name else None
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``write_table`` last finished at ``path``."""
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no finished table at {path}")
+    return spark.read.parquet(version)
 
 
 def write_table(
@@ -25,19 +91,50 @@ def write_table(
     With ``table`` it is also entered in the session catalogue, which ``bucket_by`` needs.  Tables
     bucketed alike on a key join and group on it without a shuffle, but one task reads a whole
     bucket: use it for keys without a dominant value.
+
+    ``df`` may read the table itself: its current version stays until the next rebuild.
     """
     spark = df.sparkSession
+    schema = df.schema
+    if bucket_by and not table:
+        raise ValueError("a bucketed table needs a table name")
     if cluster_by:
         df = df.hint("rebalance", *cluster_by)
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if not table:
-        if bucket_by:
-            raise ValueError("a bucketed table needs a table name")
-        writer.save(path)
-        return spark.read.schema(df.schema).parquet(path)
+    folder = _Folder(spark, path)
+    before = folder.read(CURRENT)
+    name = f"version-{uuid.uuid4().hex}"
+    version = f"{path}/{name}"
     if bucket_by:
-        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
-    writer.option("path", path).saveAsTable(table)
-    return spark.table(table)
+        _enter_bucketed(spark, writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by), version, table)
+    else:
+        writer.save(version)
+    folder.replace(CURRENT, name)
+    if table and not bucket_by:
+        enter(spark, version, table)
+    # readers of the version just replaced may still be at work; those before it are done with
+    for old in folder.versions():
+        if old.startswith("version-") and old not in (name, before):
+            folder.drop(old)
+    return spark.table(table) if bucket_by else spark.read.schema(schema).parquet(version)
+
+
+def enter(spark: SparkSession, version: str, table: str) -> None:
+    """Name the Parquet folder ``version`` as ``table`` in the session catalogue, in place of what had that name."""
+    fresh = f"{table}__{uuid.uuid4().hex[:8]}"
+    spark.catalog.createTable(fresh, path=version, source="parquet")
+    _rename_over(spark, fresh, table)
+
+
+def _enter_bucketed(spark: SparkSession, writer, version: str, table: str) -> None:
+    fresh = f"{table}__{uuid.uuid4().hex[:8]}"
+    writer.option("path", version).saveAsTable(fresh)
+    _rename_over(spark, fresh, table)
+
+
+def _rename_over(spark: SparkSession, fresh: str, table: str) -> None:
+    # tables with a path of their own: dropping the old entry leaves its files
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")

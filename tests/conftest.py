@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -13,7 +14,7 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 import shopledger.plans  # noqa: E402, F401
 from shopledger import Lakehouse  # noqa: E402
-from shopledger.sources.catalog import RAW_TABLES  # noqa: E402
+from shopledger.sources.catalog import RAW_TABLES, WIDE_ID  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 AS_OF = dt.date(2002, 1, 1)
@@ -44,7 +45,10 @@ def tiny(spark):
     def build(as_of=AS_OF, **tables):
         def raw(name):
             schema = RAW_TABLES[name]
-            rows = [tuple(row.get(c) for c in schema) for row in tables.get(name, [])]
+            rows = [
+                tuple(Decimal(row[c]) if kind == WIDE_ID and row.get(c) is not None else row.get(c) for c, kind in schema.items())
+                for row in tables.get(name, [])
+            ]
             ddl = ", ".join(f"`{c}` {kind}" for c, kind in schema.items())
             return spark.createDataFrame(rows, T._parse_datatype_string(ddl))
 

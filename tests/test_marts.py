@@ -1,7 +1,9 @@
 import datetime as dt
-from decimal import Decimal
+import re
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as spec
 from conftest import SMALL
@@ -195,6 +197,90 @@ def test_stock_turnover_uses_the_mean_of_known_levels(tiny):
     assert other["inventory_turnover"] == pytest.approx(34 / (32 / 3))
 
 
+def test_turnover_of_a_mean_level_of_a_third(tiny):
+    """Three snapshots with the mean level 1/3, and 3,000,000 sold: 3,000,000 / 0.3333333333."""
+    month = dt.date(2000, 1, 1)
+    price = {"unit_cost": Decimal(1), "unit_price": Decimal(2), "brand_id": 1, "category_id": 1, "subcategory_id": 1}
+    place = {"location_id": 1, "country": "x", "state_province": "y", "city": "z", "location_type": "urban"}
+    stock = [
+        {"inventory_id": i, "product_id": 1, "store_id": 1, "snapshot_month": month, "starting_stock": level,
+         "closing_stock": level, "sold_units": 1_000_000, "backorder_flag": False}
+        for i, level in enumerate((0, 0, 1))
+    ]
+    lake = tiny(
+        dim_brand=[{"Brand_ID": 1, "Brand_Name": "b"}],
+        dim_category=[{"category_id": 1, "category_name": "c"}],
+        dim_subcategory=[{"subcategory_id": 1, "subcategory_name": "s", "category_id": 1}],
+        dim_product=[{"product_id": 1, "product_name": "p"} | price],
+        dim_location=[place],
+        dim_store=[{"store_id": 1, "store_name": "s", "location_id": 1}],
+        inventory=stock,
+    )
+    for mart in ("bi_inventory_by_category", "bi_inventory_by_store", "bi_inventory_by_month"):
+        assert [r["inventory_turnover"] for r in rows(lake, mart)] == [Decimal("9000000.00")]
+
+
+def test_turnover_does_not_depend_on_size(spark):
+    """The same snapshots 400 times over, against the formula in exact fractions."""
+    sample = SampleRetail(spark, SMALL)
+
+    def raw(name):
+        df = sample(name)
+        return df.crossJoin(spark.range(400)).drop("id") if name == "inventory" else df
+
+    lake = Lakehouse(spark, raw, spec.AS_OF)
+    totals = {}
+    joined = lake.table("gold_fact_inventory").join(lake.table("gold_dim_product"), "product_id")
+    for key, starting, closing, sold in joined.select("category_name", "starting_stock", "closing_stock", "sold_units").collect():
+        halves, n, all_sold = totals.get(key, (0, 0, 0))
+        totals[key] = halves + starting + closing, n + 1, all_sold + sold
+    for row in lake.table("bi_inventory_by_category").collect():
+        halves, n, sold = totals[row["category_name"]]
+        level = (Decimal(halves) / Decimal(2 * n)).quantize(Decimal("1e-10"), ROUND_HALF_UP)
+        assert row["inventory_turnover"] == (Decimal(sold) / level).quantize(Decimal("1e-8"), ROUND_HALF_UP).quantize(
+            Decimal("0.01"), ROUND_HALF_UP
+        )
+
+
+def test_quotients_have_the_digits_they_claim(tiny):
+    lake = tiny()
+    kinds = {m: dict(lake.table(m).dtypes) for m in lake.names("mart")}
+    two_digits = {
+        "bi_kpi_summary": ["gross_margin_pct", "aov", "return_rate_pct"],
+        "bi_revenue_by_month": ["gross_margin_pct"],
+        "bi_daily_sales": ["aov"],
+        "bi_inventory_by_category": ["inventory_turnover", "backorder_rate_pct"],
+        "bi_inventory_by_store": ["inventory_turnover"],
+        "bi_inventory_by_month": ["inventory_turnover"],
+        "bi_funnel_overall": [],
+        "bi_campaign_performance": ["conversion_rate_pct"],
+    }
+    for mart, columns in two_digits.items():
+        for column in columns:
+            assert re.fullmatch(r"decimal\(\d+,2\)", kinds[mart][column]), (mart, column, kinds[mart][column])
+    level = F.round(F.lit(1).cast("decimal(19,0)") / F.lit(3).cast("decimal(20,0)"), 10)
+    frame = lake.spark.range(1).select(level.alias("level"))
+    assert frame.dtypes[0][1].endswith(",10)") and frame.first().level == Decimal("0.3333333333")
+
+
+def test_customers_given_twice_count_once_but_their_revenue_twice(tiny):
+    person = {"customer_id": 1, "loyalty_status": "gold", "email_address": "a", "estimated_annual_income": Decimal(1)}
+    given = dict(
+        dim_customer=[person, person, person | {"signup_channel": "Online"}],
+        fact_transaction=[buy(1, 1, JAN, "4"), buy(2, 1, JAN, "5")],
+        fact_sale=[
+            {"sale_id": i, "transaction_id": i, "line_total": Decimal(i), "line_cost": Decimal(0), "quantity": 1}
+            for i in (1, 2)
+        ],
+    )
+    lake = tiny(**given)
+    found = sorted((r["orders"], r["lifetime_revenue"], r["is_repeat_customer"]) for r in rows(lake, "bi_customer_summary_alt"))
+    assert found == [(2, 3, True), (2, 6, True)]
+    (mix,) = rows(lake, "bi_customer_loyalty_mix_alt")
+    assert (mix["active_customers"], mix["repeat_customers"], mix["net_revenue"]) == (1, 1, 9)
+    assert mix["avg_orders_per_customer"] == 2
+
+
 def test_a_backorder_share_is_cut_to_five_digits_first(tiny):
     month = dt.date(2000, 1, 1)
     flags = [True] * 2 + [False] * 160  # 0.0123456... -> 0.01235 -> 1.24

@@ -8,6 +8,7 @@ from conftest import AS_OF, SMALL
 from shopledger import Lakehouse
 from shopledger.quality import checks, expectations
 from shopledger.quality.checks import Referential, Unique, accepted_values, not_null
+from shopledger.sources.writer import read_table
 from test_marts import session
 
 
@@ -106,7 +107,9 @@ def test_row_rules_of_one_table_share_a_scan(tiny):
 
 
 def test_expectations_are_complete():
-    declared = expectations.EXPECTATIONS
+    declared = expectations.DECLARED
+    assert len(expectations.EXPECTATIONS) == 66
+    assert {e.table for e in expectations.EXPECTATIONS} == {t for e in declared for t in (e.table, f"{e.table}_alt")}
     assert len(declared) == 33
     assert sum(e.action == "fail" for e in declared) == 24
     assert len({e.table for e in declared}) == 24
@@ -142,8 +145,11 @@ def test_email_warning(tiny):
     emails = ["a@b", "ab", None]
     lake = tiny(dim_customer=[{"customer_id": i, "email_address": e} for i, e in enumerate(emails)])
     email = [e for e in expectations.EXPECTATIONS if e.name == "valid_email"]
-    row = expectations.violation_report(lake, email).first()
-    assert (row["rows"], row["violations"]) == (3, 2)
+    rows = expectations.violation_report(lake, email).collect()
+    assert {(r["table_name"], r["rows"], r["violations"]) for r in rows} == {
+        ("silver_dim_customer", 3, 2),
+        ("silver_dim_customer_alt", 3, 2),
+    }
 
 
 def test_enforced_counts(tiny):
@@ -162,8 +168,10 @@ def test_a_run_rebuilds_checks_and_counts_warnings(spark):
     clean = Lakehouse(spark, SampleRetail(spark, SMALL, dirt=False), AS_OF)
     report = pipeline.run(clean)
     assert report.rows["silver_fact_sale"] == report.rows["gold_fact_sale"] == 6000
-    assert set(report.violations.values()) == {0} | {report.violations["silver_fact_transaction", "valid_transaction_total"]}
-    assert len(report.violations) == 9
+    standard = {k: n for k, n in report.violations.items() if not k[0].endswith("_alt")}
+    assert set(standard.values()) == {0} | {standard["silver_fact_transaction", "valid_transaction_total"]}
+    assert len(standard) == 9 and len(report.violations) == 18
+    assert spark.table("gold.gold_fact_sale_alt").count() == 6000
     assert {r["status"] for r in report.checks.collect()} == {"✅ PASS"}
 
 
@@ -182,7 +190,10 @@ def test_a_run_over_defects_stops_at_the_guard_and_keeps_the_rows(spark):
 
     lake = Lakehouse(spark, SampleRetail(spark, SMALL), AS_OF)
     orphans = checks.REFERENTIAL_CHECKS[0]
-    with pytest.raises(PySparkException, match="Data quality FAILED"):
-        pipeline.run(lake, keep_failures=[orphans])
-    kept = spark.read.parquet(f"{lake.root}/_test_failures/fact_transaction_customer_id_dim_customer")
+    with pytest.raises(pipeline.ChecksFailed, match=r"Data quality FAILED for \d+ check") as failed:
+        pipeline.run(lake, alternative=False)
+    kept = read_table(spark, f"{lake.root}/_test_failures/fact_transaction_customer_id_dim_customer")
     assert kept.count() == orphans.failing_rows(lake).count() > 0
+    shown = {r["check_name"]: r["failing_rows"] for r in failed.value.report.checks.collect()}
+    assert len(shown) == 19 and shown[orphans.name] == kept.count()
+    assert failed.value.report.rows["silver_fact_sale"] == 6000

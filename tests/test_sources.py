@@ -2,9 +2,12 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from conftest import AS_OF
 from shopledger import Lakehouse, dataset
+from shopledger.quality.expectations import enforce, expectations_on
 from shopledger.session import RUNTIME_DEFAULTS, apply_runtime_defaults, shared_dir
 from shopledger.sources.catalog import RAW_TABLES
 from shopledger.sources.reader import (
@@ -15,7 +18,7 @@ from shopledger.sources.reader import (
     row_counts,
     snake_case,
 )
-from shopledger.sources.writer import write_table
+from shopledger.sources.writer import read_table, write_table
 
 
 def test_load_file_folder_and_glob(spark, tmp_path):
@@ -102,7 +105,97 @@ def test_partitioned_write_prunes(spark, tmp_path):
     df = spark.range(10).selectExpr("id", "id % 2 AS part")
     table = write_table(df, str(tmp_path / "p"), partition_by=["part"])
     assert table.filter("part = 1").count() == 5
-    assert {p.name for p in (tmp_path / "p").glob("part=*")} == {"part=0", "part=1"}
+    assert {p.name for p in (tmp_path / "p").glob("version-*/part=*")} == {"part=0", "part=1"}
+
+
+def test_a_failed_rebuild_leaves_the_table_as_it_was(spark, tiny, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(10), path)
+    broken = spark.range(20).withColumn("id", F.when(F.col("id") < 15, F.col("id")).otherwise(F.raise_error(F.lit("stop"))))
+    with pytest.raises(PySparkException, match="stop"):
+        write_table(broken, path)
+    assert read_table(spark, path).count() == 10
+    rows = [{"sale_id": n, "transaction_id": 1} for n in range(10)]
+    lake = tiny(fact_sale=rows)
+    lake._root = str(tmp_path / "lake")
+    lake.store(["silver_fact_sale"])
+    rows.append({"sale_id": None})
+    worse = tiny(fact_sale=rows)
+    worse._root = lake.root
+    with pytest.raises(PySparkException, match="valid_sale_id"):
+        worse.store(["silver_fact_sale"], lambda name, df: enforce(df, expectations_on(name)))
+    assert lake.table("silver_fact_sale").count() == 10
+    assert read_table(spark, lake.path("silver_fact_sale")).count() == 10
+
+
+def test_rebuilds_keep_two_versions_and_may_read_themselves(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, path)
+    table = write_table(spark.range(3), path)
+    for _ in range(3):
+        table = write_table(table.selectExpr("id + 1 AS id"), path)
+    assert sorted(r.id for r in read_table(spark, path).collect()) == [3, 4, 5]
+    assert len(list((tmp_path / "t").glob("version-*"))) == 2
+
+
+def test_a_bucketed_table_can_be_rebuilt(spark, tmp_path):
+    for rows in (10, 20):
+        table = write_table(
+            spark.range(rows), str(tmp_path / "b"), table="rebuilt_buckets", bucket_by=["id"], buckets=2
+        )
+        assert table.count() == rows
+    spark.sql("DROP TABLE rebuilt_buckets")
+
+
+def test_part_files_of_unequal_schema_keep_all_columns(spark, tmp_path):
+    folder = str(tmp_path / "parts")
+    spark.sql("SELECT 1 AS id, 'x' AS a").write.parquet(folder)
+    spark.sql("SELECT 2 AS id, 'y' AS a, 'late' AS extra").write.mode("append").parquet(folder)
+    loaded = load_parquet(spark, folder)
+    assert {(r.id, r.a, r.extra) for r in loaded.collect()} == {(1, "x", None), (2, "y", "late")}
+    rescued = rescue(loaded, {"id": "bigint", "a": "string"})
+    assert {r.id: r._rescued_data for r in rescued.collect()} == {1: None, 2: '{"extra":"late"}'}
+
+
+@pytest.mark.parametrize(
+    "value, given, kind, fits",
+    [
+        ("1.7", "double", "bigint", False), ("2.0", "double", "bigint", True), ("1.7", "string", "bigint", False),
+        ("12.345", "decimal(10,3)", "decimal(10,2)", False), ("12.340", "decimal(10,3)", "decimal(10,2)", True),
+        ("12.345", "string", "decimal(10,2)", False), ("12.340", "string", "decimal(10,2)", True),
+        ("007", "string", "int", True), ("x", "string", "int", False), ("1e40", "string", "int", False),
+        ("2024-01-31 10:20:30", "timestamp_ntz", "date", False), ("2024-01-31 00:00:00", "timestamp_ntz", "date", True),
+        ("2024-01-31 10:20:30", "string", "date", False), ("2024-01-31", "string", "date", True),
+        ("300", "int", "tinyint", False), ("0.1", "double", "decimal(10,2)", True), ("7", "int", "string", True),
+        ("true", "string", "boolean", True),
+    ],
+)
+def test_rescue_keeps_what_a_cast_would_change(spark, value, given, kind, fits):
+    row = rescue(spark.sql(f"SELECT CAST('{value}' AS {given}) AS v"), {"v": kind}).first()
+    assert (row._rescued_data is None) == fits
+    assert (row.v is not None) == fits
+
+
+def test_stored_tables_are_entered_in_the_catalogue(spark, tiny):
+    for brand in ("x", "y"):
+        lake = tiny(dim_brand=[{"Brand_ID": 1, "Brand_Name": brand}])
+        lake.create_schemas()
+        lake.store_raw(["dim_brand"]).store(["silver_dim_brand"])
+        assert lake.enter_tables() == ["bronze.dim_brand", "silver.silver_dim_brand"]
+        assert spark.sql("SELECT brand_name FROM silver.silver_dim_brand").first()[0] == brand
+
+
+def test_wide_names_and_keys_stop_the_load(spark, tmp_path):
+    from shopledger.sources.sample import brand_number, key_id, name_id
+
+    ids = spark.sql(f"SELECT p, {name_id('p')} AS i FROM VALUES ('A'), ('Z'), ('AA'), ('STANDARD'), (NULL) t(p)")
+    assert {r.p: r.i for r in ids.collect()} == {"A": 1, "Z": 26, "AA": 28, "STANDARD": ids.filter("p = 'STANDARD'").first().i, None: None}
+    assert spark.sql(f"SELECT {brand_number('p')} FROM VALUES ('Brand#25') t(p)").first()[0] == 25
+    assert str(spark.sql(f"SELECT {key_id(('a', 3), ('b', 2))} FROM VALUES (12, 3) t(a, b)").first()[0]) == "1203"
+    for expression in (name_id("p"), brand_number("p"), key_id(("length(p)", 1))):
+        with pytest.raises(PySparkException):
+            spark.sql(f"SELECT {expression} FROM VALUES ('Standard Anodized') t(p)").collect()
 
 
 def test_stored_tables_are_read_from_then_on(spark, tiny):
