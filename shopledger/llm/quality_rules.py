@@ -52,7 +52,7 @@ class QualityRules:
 
 
 MARKS = r"[.,;:!?\x{2026}\x{3002}\x{061F}\x{0964}]"
-SEPARATOR = r"(?:^|(?<=[\x20\x09-\x0D]))[|\x{00BB}\x{203A}\x{2022}\x{00B7}>](?=$|[\x20\x09-\x0D])"
+SEPARATOR = r"(?:^|(?<=[\x20\x09-\x0D]))[|\x{00BB}\x{203A}\x{2022}\x{00B7}>](?=\z|[\x20\x09-\x0D])"
 
 
 def _symbols(col: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopledger.llm import bit_codes, bpe, html_text, language_id, packing, secrets_crf, token_files
+from shopledger.llm import bit_codes, bpe, html_text, language_id, oracle, packing, secrets_crf, token_files
 from shopledger.llm.quality_rules import quality_rules
 from shopledger.llm.simhash import simhash_components
 from shopledger.llm.tables import fresh_path
@@ -83,4 +83,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_main_text": op10_main_text,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The other queries train models, code, hash or pack greedily, which SQL can't express.
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": oracle.QUALITY_RULES,
+    "op4_bit_code_neighbours": oracle.NEIGHBOURS,
+    "op7_url_templates": oracle.url_templates([(rule.pattern, rule.verdict) for rule in URL_RULES]),
+}
