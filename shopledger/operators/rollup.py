@@ -59,3 +59,32 @@ def rollup_via(
     per_id = df.groupBy(link).agg(*[F.sum(value).alias(name) for name, value in sums.items()])
     looked_up = per_id.join(dimension.select(link, *keys), link, how)
     return looked_up.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in sums])
+
+
+def rollup_distinct_via(
+    df: DataFrame,
+    link: str,
+    dimension: DataFrame,
+    keys: Sequence[str],
+    entity: str,
+    sums: Mapping[str, Column],
+    flags: Mapping[str, Column],
+    how: str = "inner",
+) -> DataFrame:
+    """``rollup_distinct`` per dimension attribute, looked up only after the rows are one per (link, entity).
+
+    The join sees an order once for each id it has lines of, not once for every line.
+    """
+    reduced = df.groupBy(link, entity).agg(
+        *[F.sum(value).alias(f"__s_{name}") for name, value in sums.items()],
+        *[F.max(flag).alias(f"__f_{name}") for name, flag in flags.items()],
+    )
+    own = [k for k in keys if k != link]
+    looked_up = reduced.join(dimension.select(link, *own), link, how)
+    return rollup_distinct(
+        looked_up,
+        keys,
+        entity,
+        {name: F.col(f"__s_{name}") for name in sums},
+        {name: F.col(f"__f_{name}") for name in flags},
+    )

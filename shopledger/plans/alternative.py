@@ -13,6 +13,7 @@ from shopledger.plans.gold import (
     DATE_COLUMNS,
     STORE_COLUMNS,
     lines_with_orders,
+    order_totals,
     with_location,
     with_net_amounts,
     with_product_names,
@@ -139,6 +140,11 @@ def gold_fact_sale(lake):
     return with_net_amounts(lines, rate, lambda allocated: F.coalesce(allocated, F.lit(0)))
 
 
+@dataset("gold_order_totals_alt", "gold")
+def gold_order_totals(lake):
+    return order_totals(lake.table("gold_fact_sale_alt"))
+
+
 def _copied(gold_name, silver_name):
     dataset(gold_name, "gold")(lambda lake: lake.table(silver_name))
 

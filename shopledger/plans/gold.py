@@ -141,3 +141,20 @@ def gold_fact_sale(lake):
     )
     # An order without a subtotal leaves its lines without a net amount.
     return with_net_amounts(lines, share, lambda allocated: allocated)
+
+
+# What marts of orders tell orders apart by, and what they add up.
+ORDER_KEYS = [
+    "transaction_id", "transaction_timestamp", "transaction_date_id", "store_id", "sales_channel", "transaction_status",
+]
+ORDER_SUMS = ["quantity", "line_cost", "line_total", "net_line_revenue", "net_line_profit"]
+
+
+def order_totals(lines):
+    """Order lines added up to orders, under the names of the lines' columns."""
+    return lines.groupBy(*ORDER_KEYS).agg(*[F.sum(c).alias(c) for c in ORDER_SUMS])
+
+
+@dataset("gold_order_totals", "gold")
+def gold_order_totals(lake):
+    return order_totals(lake.table("gold_fact_sale"))

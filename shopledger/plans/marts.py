@@ -30,7 +30,7 @@ from shopledger.functions.measures import (
 from shopledger.lakehouse import dataset
 from shopledger.operators.cohort import new_versus_returning
 from shopledger.operators.funnel import funnel_stages
-from shopledger.operators.rollup import rollup_distinct, rollup_via
+from shopledger.operators.rollup import rollup_distinct, rollup_distinct_via, rollup_via
 
 ONE = Decimal("1.0")
 # Totals of order amounts; dividing one by a count keeps 12 fraction digits instead of 6.
@@ -87,9 +87,14 @@ def _finish(df, style, keys, money=(), **figures):
 # --- sales -----------------------------------------------------------------------------------------
 
 
+def _orders(lake, style):
+    """Sold orders with the sums of their lines, under the names of the lines' columns."""
+    return lake.table(f"gold_order_totals{style.suffix}")
+
+
 @mart("bi_kpi_summary")
 def kpi_summary(lake, style):
-    lines = _gold(lake, "fact_sale", style)
+    lines = _orders(lake, style)
     if style is STANDARD:
         totals = rollup_distinct(
             lines,
@@ -137,8 +142,8 @@ def kpi_summary(lake, style):
 
 
 def _dated_lines(lake, style):
-    """Lines with their calendar day: the order time, or in the alternative the date dimension."""
-    lines = _gold(lake, "fact_sale", style)
+    """Orders with their calendar day: the order time, or in the alternative the date dimension."""
+    lines = _orders(lake, style)
     if style is STANDARD:
         return lines.withColumn("sale_date", F.col("transaction_timestamp").cast("date"))
     days = _gold(lake, "dim_date", style).select(
@@ -225,7 +230,7 @@ def top_products(lake, style):
 
 @mart("bi_sales_by_channel", order=["-net_revenue", "sales_channel"])
 def sales_by_channel(lake, style):
-    totals = _sales_by(_gold(lake, "fact_sale", style), style, ["sales_channel"], ["net_revenue"])
+    totals = _sales_by(_orders(lake, style), style, ["sales_channel"], ["net_revenue"])
     return _finish(
         totals,
         style,
@@ -237,15 +242,22 @@ def sales_by_channel(lake, style):
     )
 
 
-def _store_lines(lake, style, keys):
-    stores = _gold(lake, "dim_store", style).select("store_id", *[k for k in keys if k != "store_id"])
-    return _gold(lake, "fact_sale", style).join(stores, "store_id", "inner")
+def _sales_by_place(lake, style, keys, sums):
+    return rollup_distinct_via(
+        _orders(lake, style),
+        "store_id",
+        _gold(lake, "dim_store", style),
+        keys,
+        "transaction_id",
+        _pick(line_sums(style), *sums),
+        _pick(order_flags(), "orders"),
+    )
 
 
 @mart("bi_sales_by_store", order=["-net_revenue", "store_id"])
 def sales_by_store(lake, style):
     keys = ["store_id", "store_name", "city", "state_province", "store_type"]
-    totals = _sales_by(_store_lines(lake, style, keys), style, keys, ["net_revenue", "gross_profit"])
+    totals = _sales_by_place(lake, style, keys, ["net_revenue", "gross_profit"])
     return _finish(
         totals,
         style,
@@ -262,7 +274,7 @@ def sales_by_store(lake, style):
 @mart("bi_sales_by_region", order=["-net_revenue", "country", "state_province", "city"])
 def sales_by_region(lake, style):
     keys = ["country", "state_province", "city"]
-    totals = _sales_by(_store_lines(lake, style, keys), style, keys, ["net_revenue"])
+    totals = _sales_by_place(lake, style, keys, ["net_revenue"])
     return _finish(totals, style, keys, money=["net_revenue"], net_revenue=None, orders=None)
 
 
@@ -270,7 +282,7 @@ def sales_by_region(lake, style):
 def sales_by_weekday(lake, style):
     keys = ["day_of_week", "day_name"]
     days = _gold(lake, "dim_date", style).select(F.col("date_id").alias("transaction_date_id"), *keys)
-    lines = _gold(lake, "fact_sale", style).join(days, "transaction_date_id", style.dim_join)
+    lines = _orders(lake, style).join(days, "transaction_date_id", style.dim_join)
     return _finish(
         _sales_by(lines, style, keys, ["net_revenue"]),
         style,
@@ -284,14 +296,15 @@ def sales_by_weekday(lake, style):
 
 @mart("bi_returns_by_category", order=["-returned_revenue", "category_name"])
 def returns_by_category(lake, style):
-    products = _gold(lake, "dim_product", style).select("product_id", "category_name")
-    lines = _gold(lake, "fact_sale", style).join(products, "product_id", style.dim_join)
-    totals = rollup_distinct(
-        lines,
+    totals = rollup_distinct_via(
+        _gold(lake, "fact_sale", style),
+        "product_id",
+        _gold(lake, "dim_product", style),
         ["category_name"],
         "transaction_id",
         _pick(line_sums(style), "returned_revenue", "gross_revenue"),
         _pick(order_flags(), "returned_orders", "all_orders"),
+        style.dim_join,
     )
     if style is STANDARD:
         rate = style.percent(F.col("returned_revenue"), F.col("gross_revenue"))
@@ -311,7 +324,7 @@ def returns_by_category(lake, style):
 def _orders_with_line_revenue(lake, style, how):
     """Orders with the net revenue of their lines, added up before the join."""
     revenue = (
-        _gold(lake, "fact_sale", style)
+        _orders(lake, style)
         .groupBy("transaction_id")
         .agg(F.sum(line_sums(style)["net_revenue"]).alias("line_revenue"))
     )

@@ -69,3 +69,25 @@ def test_per_id_sums_shrink_the_facts_before_the_look_up(shuffled):
     plan = physical(spec.lakehouse(shuffled, SMALL).table("bi_inventory_by_category"))
     lookup = plan.split("SortMergeJoin")[1]
     assert "HashAggregate(keys=[product_id" in lookup
+
+
+@pytest.mark.parametrize("suffix", ["", "_alt"])
+@pytest.mark.parametrize(
+    "mart", ["kpi_summary", "revenue_by_month", "daily_sales", "sales_by_channel", "sales_by_store", "sales_by_region", "sales_by_weekday"]
+)
+def test_marts_of_orders_read_the_stored_orders(shuffled, mart, suffix):
+    lake = spec.lakehouse(shuffled, SMALL).store([f"gold_fact_sale{suffix}", f"gold_order_totals{suffix}"])
+    files = "\n".join(lake.table(f"bi_{mart}{suffix}").inputFiles())
+    assert "/gold/gold_order_totals" in files and "/gold/gold_fact_sale" not in files
+
+
+@pytest.mark.parametrize("suffix", ["", "_alt"])
+@pytest.mark.parametrize("mart, link", [("sales_by_store", "store_id"), ("sales_by_region", "store_id"), ("returns_by_category", "product_id")])
+def test_lines_are_reduced_before_a_look_up(shuffled, mart, link, suffix):
+    lake = spec.lakehouse(shuffled, SMALL).store([f"gold_fact_sale{suffix}", f"gold_order_totals{suffix}"])
+    plan = physical(lake.table(f"bi_{mart}{suffix}"))
+    # of the two aggregates over (link, order), the partial one stands below every exchange
+    join = re.split(r"(?:SortMerge|ShuffledHash)Join", plan)[1]
+    assert re.search(rf"HashAggregate\(keys=\[{link}#\d+L, transaction_id#\d+L\], functions=\[partial", join)
+    facts = join.split("FileScan")[0]
+    assert facts.rfind("HashAggregate") > facts.rfind("Exchange")

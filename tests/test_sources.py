@@ -242,8 +242,8 @@ def test_names_are_defined_once(tiny):
         dataset("new_one", "platinum")(lambda lake: None)
     lake = tiny()
     assert len(RAW_TABLES) == 14
-    assert [len(lake.standard(layer)) for layer in ("silver", "gold", "mart")] == [14, 10, 25]
-    assert [len(lake.names(layer)) for layer in ("silver", "gold", "mart")] == [28, 20, 50]
+    assert [len(lake.standard(layer)) for layer in ("silver", "gold", "mart")] == [14, 11, 25]
+    assert [len(lake.names(layer)) for layer in ("silver", "gold", "mart")] == [28, 22, 50]
 
 
 def test_settings_of_the_session_win(spark):
