@@ -120,11 +120,30 @@ def _rescue(spark, sf_dir):
         "CASE WHEN event_id % 15 = 0 THEN 'unknown' ELSE CAST(user_id AS STRING) END AS user_id",
         "event_type",
         "props",
+        "CASE WHEN event_id % 7 = 0 THEN '1.7' ELSE '2' END AS pieces",
+        "CASE WHEN event_id % 11 = 0 THEN '12.345' ELSE '12.340' END AS amount",
+        "CASE WHEN event_id % 13 = 0 THEN TIMESTAMP_NTZ'2024-01-31 10:20:30' ELSE TIMESTAMP_NTZ'2024-01-31 00:00:00' END AS day",
+        "CAST(event_id % 4 AS DOUBLE) / 2 AS half",
     )
-    declared = {"event_id": "bigint", "value": "decimal(12,2)", "user_id": "bigint", "event_type": "string"}
+    declared = {
+        "event_id": "bigint",
+        "value": "decimal(12,2)",
+        "user_id": "bigint",
+        "event_type": "string",
+        "pieces": "bigint",
+        "amount": "decimal(10,2)",
+        "day": "date",
+        "half": "bigint",
+    }
     return comparable(rescue(feed, declared))
 
 
+def _schema_drift(spark, sf_dir):
+    """Two files of unequal schema in one load: every column is there, and those not declared are rescued."""
+    loaded = load_parquet(spark, f"{sf_dir}/{{nation,region}}.parquet")
+    return rescue(loaded, {"n_nationkey": "bigint", "n_name": "string"})
+
+
 def _row_counts(spark, sf_dir):
     return row_counts(lakehouse(spark, sf_dir).raw, RAW_TABLES).orderBy("table_name")
 
@@ -197,6 +216,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "src_parquet_load": _parquet_load,
         "src_normalise_headers": _headers,
         "src_rescue_columns": _rescue,
+        "src_schema_drift": _schema_drift,
         "src_row_counts": _row_counts,
         "sink_roundtrip": _sink_roundtrip,
         **{key: _dataset_query(dataset) for key, (dataset, _) in TABLES.items()},
