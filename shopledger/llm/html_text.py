@@ -8,6 +8,7 @@ left open take the label of the nearest decided neighbours.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -105,6 +106,7 @@ def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     # open elements: name, whether text inside is silent, whether outside the article by its place, article's number
     stack: list[tuple[str, bool, bool, int]] = []
+    opened_now: Counter[str] = Counter()
     silent, outside, article, articles, links = False, False, 0, 0, 0
     chunks: list[tuple[str, bool]] = []
     breaks = 0
@@ -132,12 +134,16 @@ def blocks(html: str) -> list[Block]:
 
     def close(name: str) -> None:
         nonlocal silent, outside, article, links
+        if not opened_now[name]:
+            return
         for at in range(len(stack) - 1, -1, -1):
             if stack[at][0] == name:
                 flush_needed = name in BLOCKS or any(n in BLOCKS for n, *_ in stack[at:])
                 if flush_needed:
                     flush()
-                links -= sum(n == "a" for n, *_ in stack[at:])
+                closed = Counter(n for n, *_ in stack[at:])
+                links -= closed["a"]
+                opened_now.subtract(closed)
                 del stack[at:]
                 break
         _, silent, outside, article = stack[-1] if stack else ("", False, False, 0)
@@ -156,7 +162,7 @@ def blocks(html: str) -> list[Block]:
             continue
         name = tag["name"].lower()
         if tag["end"]:
-            if name in BLOCKS and not any(n == name for n, *_ in stack):
+            if name in BLOCKS and not opened_now[name]:
                 flush()
             close(name)
             continue
@@ -171,7 +177,7 @@ def blocks(html: str) -> list[Block]:
             flush()
             for opened in ("p", "li", "option") if name not in ("html", "body") else ():
                 # a block ends a paragraph that is still open, an item the item before it
-                if stack and (opened == "p" or name == opened) and _open_within(stack, opened):
+                if opened_now[opened] and (opened == "p" or name == opened) and _open_within(stack, opened):
                     close(opened)
         if name in VOID or tag["rest"].rstrip().endswith("/") and name not in BLOCKS and name not in RAW:
             continue
@@ -182,6 +188,7 @@ def blocks(html: str) -> list[Block]:
             articles += 1
         number = article or (articles if name in ARTICLE and not aside else 0)
         stack.append((name, silent or name in SILENT, aside, number))
+        opened_now[name] += 1
         links += name == "a"
         _, silent, outside, article = stack[-1]
         if name in RAW:
