@@ -31,8 +31,8 @@ from shopledger.llm.tables import small_batches
 LOOK = 3
 #: Texts and pieces of more characters are done in halves.
 LEAF_CHARS = 4096
-#: Pieces whose ids a worker remembers; beyond, it forgets all and starts again.
-REMEMBERED = 1_000_000
+#: Pieces whose ids a worker remembers; beyond, it forgets those not met since it last forgot some.
+REMEMBERED = 400_000
 
 #: Texts of characters up to LAST only are split here; others by the library, whose character tables decide.
 LAST = 0x24F
@@ -88,6 +88,9 @@ class ByteBpe:
         longest_first = sorted(added, key=len, reverse=True)
         self._added_pattern = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if added else None
         self._ids: dict[str, tuple[int, ...]] = {}
+        self._met: set[str] = set()
+        # one object for each id, shared by all pieces
+        self._number = list(range(size))
 
     # pieces
 
@@ -149,12 +152,16 @@ class ByteBpe:
 
     def _learn(self, used: set[str]) -> None:
         if len(self._ids) > REMEMBERED:
-            self._ids.clear()
+            kept = self._met if len(self._met) <= REMEMBERED // 2 else used
+            self._ids = {p: self._ids[p] for p in kept & self._ids.keys()}
+            self._met = set()
         new = used - self._ids.keys()
+        self._met |= used - new
         short = [p for p in new if len(p) <= self.leaf]
         encoded = self.tokenizer.encode_batch_fast(short, add_special_tokens=False)
-        self._ids.update((p, tuple(e.ids)) for p, e in zip(short, encoded))
-        self._ids.update((p, tuple(self.merge(p))) for p in new if len(p) > self.leaf)
+        number = self._number.__getitem__
+        self._ids.update((p, tuple(map(number, e.ids))) for p, e in zip(short, encoded))
+        self._ids.update((p, tuple(map(number, self.merge(p)))) for p in new if len(p) > self.leaf)
 
     def encode_all(self, texts: list[str | None]) -> list[list[int]]:
         """The ids of every text; all the leaves' unknown pieces go to the library in one parallel call."""
