@@ -31,7 +31,7 @@ class Packing:
     capacities: tuple[int, ...] = (2048, 4096, 8192, 16384)
     overhead: int = 64
     credits: tuple[float, ...] = (0.0, 0.9, 1.0)
-    bucket_rows: int = 100_000
+    bucket_rows: int = 4_096
 
     def cost(self, capacity: int) -> int:
         return capacity + self.overhead
