@@ -33,8 +33,8 @@ class _Model:
 
     def __init__(self, lanes: int):
         self.slot_base = np.arange(lanes) * SLOTS
-        self.guess = [np.full(lanes * SLOTS, -1, np.int32) for _ in range(2)]
-        self.sure = [np.zeros(lanes * SLOTS, np.int8) for _ in range(2)]
+        # what followed last, and in the two lowest bits how sure that is
+        self.held = [np.full(lanes * SLOTS, -4, np.int32) for _ in range(2)]
         self.which = np.ones((lanes * (MOST_SURE + 1) ** 2, 3), np.uint16)
         self.which_base = np.arange(lanes) * (MOST_SURE + 1) ** 2
         above = [1 << sum(PARTS[:k]) for k in range(len(PARTS))]
@@ -48,19 +48,19 @@ class _Model:
         first = self.slot_base[:n] + (one * 0x9E3779B1 >> 12 & SLOTS - 1)
         second = self.slot_base[:n] + ((one * 0x9E3779B1 + two * 0x85EBCA6B) >> 13 & SLOTS - 1)
         self.at = (first, second)
-        self.one, self.two = self.guess[0][first], self.guess[1][second]
-        sure_one, sure_two = self.sure[0][first], self.sure[1][second]
-        self.sures = (sure_one, sure_two)
-        self.row = self.which_base[:n] + sure_one + (MOST_SURE + 1) * sure_two
+        self.found = (self.held[0].take(first), self.held[1].take(second))
+        self.one, self.two = self.found[0] >> 2, self.found[1] >> 2
+        self.sures = (self.found[0] & MOST_SURE, self.found[1] & MOST_SURE)
+        self.row = self.which_base[:n] + self.sures[0] + (MOST_SURE + 1) * self.sures[1]
 
     def learn(self, ids: np.ndarray) -> None:
         n = len(ids)
+        fresh = ids.astype(np.int32) << 2
         for k, guess in enumerate((self.one, self.two)):
-            right = guess == ids
-            at, sure = self.at[k], self.sures[k]
-            # a wrong guess is given up once nothing speaks for it any more
-            self.guess[k][at] = np.where(right | (sure > 1), guess, ids)
-            self.sure[k][at] = np.where(right, np.minimum(sure + 1, MOST_SURE), np.maximum(sure - 1, 0))
+            found, sure = self.found[k], self.sures[k]
+            # a wrong guess is given up once little speaks for it any more
+            wrong = np.where(sure > 1, found - 1, fresh)
+            self.held[k][self.at[k]] = np.where(guess == ids, found + (sure < MOST_SURE), wrong)
         self.last[1, :n] = self.last[0, :n]
         self.last[0, :n] = ids
 
@@ -75,6 +75,18 @@ def _parts(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
+#: Running sums as a product: exact in single precision, as no sum reaches 2^24, and much faster along short rows.
+_SUMS = {width: np.triu(np.ones((width, width), np.float32)) for width in (3, *(1 << bits for bits in PARTS))}
+
+
+def _running(rows: np.ndarray) -> np.ndarray:
+    return rows.astype(np.float32) @ _SUMS[rows.shape[1]]
+
+
+def _unsigned(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.uint64)
+
+
 class _Writer:
     def __init__(self, lanes: int):
         self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, _FULL)
@@ -83,11 +95,11 @@ class _Writer:
 
     def put(self, rows: np.ndarray, symbol: np.ndarray, lanes: np.ndarray) -> None:
         """Code one symbol a lane, with the counts in `rows`."""
-        sums = np.cumsum(rows, axis=1, dtype=np.int64)
-        each = np.arange(len(rows))
-        upto, freq = sums[each, symbol], rows[each, symbol].astype(np.uint64)
-        unit = self.range[lanes] // sums[:, -1].astype(np.uint64)
-        low = self.low[lanes] + unit * (upto.astype(np.uint64) - freq)
+        sums = _running(rows)
+        at = np.arange(len(rows)) * rows.shape[1] + symbol
+        freq = _unsigned(rows.ravel().take(at))
+        unit = self.range.take(lanes) // _unsigned(sums[:, -1])
+        low = self.low.take(lanes) + unit * (_unsigned(sums.ravel().take(at)) - freq)
         width = unit * freq
         small = np.flatnonzero(width < _SMALL)
         if len(small):
@@ -127,15 +139,15 @@ class _Reader:
             self.next += 1
 
     def get(self, rows: np.ndarray, lanes: np.ndarray) -> np.ndarray:
-        sums = np.cumsum(rows, axis=1, dtype=np.int64)
+        sums = _running(rows)
         total = sums[:, -1]
-        unit = self.range[lanes] // total.astype(np.uint64)
-        value = self.value[lanes]
-        share = np.minimum((value // unit).astype(np.int64), total - 1)
-        symbol = (sums <= share[:, None]).sum(axis=1)
-        each = np.arange(len(rows))
-        freq = rows[each, symbol].astype(np.uint64)
-        value = value - unit * (sums[each, symbol].astype(np.uint64) - freq)
+        unit = self.range.take(lanes) // _unsigned(total)
+        value = self.value.take(lanes)
+        share = np.minimum((value // unit).astype(np.float32), total - 1)
+        symbol = np.count_nonzero(sums <= share[:, None], axis=1)
+        each = np.arange(len(rows)) * rows.shape[1] + symbol
+        freq = _unsigned(rows.ravel().take(each))
+        value = value - unit * (_unsigned(sums.ravel().take(each)) - freq)
         width = unit * freq
         small = np.flatnonzero(width < _SMALL)
         if len(small):
@@ -167,13 +179,13 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         now = ids[position, :n]
         model.look(n)
         which = np.where(model.two == now, 0, np.where(model.one == now, 1, 2))
-        writer.put(model.which[model.row], which, all_lanes[:n])
+        writer.put(model.which.take(model.row, axis=0), which, all_lanes[:n])
         model.which[model.row, which] += STEP
         lanes = np.flatnonzero(which == 2)
         if len(lanes):
             for k, (above, part) in enumerate(_parts(now[lanes])):
                 row = model.part_base[k][lanes] + above
-                writer.put(model.part[k][row], part, lanes)
+                writer.put(model.part[k].take(row, axis=0), part, lanes)
                 model.part[k][row, part] += STEP
         model.learn(now)
     payloads = writer.finish()
@@ -192,7 +204,7 @@ def decode_blocks(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]
     model, reader, all_lanes = _Model(len(payloads)), _Reader([payloads[b] for b in order]), np.arange(len(payloads))
     for position, n in enumerate(at_work):
         model.look(n)
-        which = reader.get(model.which[model.row], all_lanes[:n])
+        which = reader.get(model.which.take(model.row, axis=0), all_lanes[:n])
         model.which[model.row, which] += STEP
         now = np.where(which == 0, model.two, model.one)
         lanes = np.flatnonzero(which == 2)
@@ -200,7 +212,7 @@ def decode_blocks(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]
             above = np.zeros(len(lanes), np.int64)
             for k, bits in enumerate(PARTS):
                 row = model.part_base[k][lanes] + above
-                part = reader.get(model.part[k][row], lanes)
+                part = reader.get(model.part[k].take(row, axis=0), lanes)
                 model.part[k][row, part] += STEP
                 above = above << bits | part
             now[lanes] = above
