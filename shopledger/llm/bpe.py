@@ -32,7 +32,7 @@ LOOK = 3
 #: Texts and pieces of more characters are done in halves.
 LEAF_CHARS = 4096
 #: Pieces whose ids a worker remembers; beyond, it forgets those not met since it last forgot some.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 #: Texts of characters up to LAST only are split here; others by the library, whose character tables decide.
 LAST = 0x24F

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shopledger.session import app_dir
 
 #: Rows in an Arrow batch of texts; Python then holds so many texts at a time, whole.
-BATCH_ROWS = 512
+BATCH_ROWS = 256
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
