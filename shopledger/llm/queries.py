@@ -59,7 +59,7 @@ def op7_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.byte_lengths(_documents(spark, sf_dir)))
+    return packing.pack(bpe.token_counts(_documents(spark, sf_dir)))
 
 
 def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,16 @@ def test_there_is_a_query_for_every_operator():
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
 
 
+def test_packing_measures_documents_in_ids(spark):
+    library = Tokenizer.from_file(bpe.default_vocabulary())
+    texts = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    expected = {r.doc_id: len(library.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in texts}
+    found = {}
+    for r in QUERIES["op8_best_fit_packing"](spark, SMALL).collect():
+        found[r.doc_id] = found.get(r.doc_id, 0) + r.length
+    assert found == expected
+
+
 def test_the_pipeline_equals_its_stages_done_plainly(spark):
     raw = spark.read.parquet(f"{SMALL}/documents.parquet")
     steps = [raw]
