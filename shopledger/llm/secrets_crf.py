@@ -1,9 +1,8 @@
 """Secrets in texts: plain patterns, and a linear-chain conditional random field over tokens.
 
-The field tags tokens as outside, begin or inside of a secret, from their shape, the words next to them and features of
-the whole text. Only tokens that could be a secret at all may be tagged begin or inside; all others are outside by
-definition, so the best path is found for each run of such tokens by itself, with outside on both ends, which is
-exactly the best path of the whole text.
+The field tags every token of a text, words included, as outside, begin or inside of a secret, from its shape, the
+tokens next to it, how far behind a word such as "password" it stands, and features of the whole text. The best path
+is that of the whole text. Where a bound on the scores proves that the best path is outside, it isn't searched for.
 """
 
 from __future__ import annotations
@@ -14,6 +13,8 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,103 +45,187 @@ def base_spans(text: str) -> list[Span]:
 
 # tokens
 
-#: Characters of a token that may be a secret; it has MIN_LENGTH of them at least and a digit among them.
-_TOKEN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
-MIN_LENGTH = 8
-_FROM_DIGIT = re.compile(r"[0-9][A-Za-z0-9+/_.=-]*")
-_GAP = re.compile(r"""[\x20\t"'`,;]{1,3}\Z""")
-_BEFORE = re.compile(r"(\w*)(\W{0,6})\Z")
-_AFTER = re.compile(r"\W{0,6}(\w*)")
-_EDGES = "._-=/+"
+#: Tokens are runs of anything but white space and quotes; what is between them is a gap.
+_GAP = re.compile(r"""([\s"'`]+)""")
+#: Marks around a token that its span leaves out, if there is anything else.
+_OPENS, _CLOSES = "([{<,;", ".,;:)]}>"
+_ASKS = re.compile(
+    r"(?:\A|[^a-z])(?:pass|pwd|pass_?(?:word|wd|phrase|code)|phrase|secret|token|key|api_?key|credentials?|bearer)\W{0,3}\Z"
+)
+_MARK = re.compile(r"\W{0,3}\Z")
+#: Tokens behind an asking word, on its line, that are told apart by their distance and the quotes between.
+REACH = 9
 
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
-BUCKETS = 1 << 14
+BUCKETS = 1 << 16
 
 
-def candidates(text: str) -> list[tuple[int, int]]:
-    """Start and end of the tokens that may be secrets."""
-    out = []
-    end = 0
-    for m in _FROM_DIGIT.finditer(text):
-        start = m.start()
-        while start > end and text[start - 1] in _TOKEN_CHARS:
-            start -= 1
-        end = m.end()
-        last = end
-        while last > start and text[last - 1] in ".=-":  # closes a sentence or pads
-            last -= 1
-        while start < last and text[start] in _EDGES:
-            start += 1
-        if last - start >= MIN_LENGTH:
-            out.append((start, last))
-    return out
+def split(text: str) -> tuple[list[str], list[str]]:
+    """Tokens of a text, and the gaps before, between and behind them, one more than tokens."""
+    parts = _GAP.split(text)
+    words, gaps = parts[::2], ["", *parts[1::2], ""]
+    if not words[-1]:
+        words.pop(), gaps.pop()
+    if words and not words[0]:
+        words.pop(0), gaps.pop(0)
+    return words, gaps
 
 
-def runs(text: str, tokens: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
-    """Tokens with nothing but a short gap between them form a run."""
-    out: list[list[tuple[int, int]]] = []
-    for token in tokens:
-        if out and _GAP.fullmatch(text, out[-1][-1][1], token[0]):
-            out[-1].append(token)
-        else:
-            out.append([token])
+def places(words: list[str], gaps: list[str]) -> list[tuple[int, int]]:
+    """Start and end of each token, without the marks around it."""
+    out, at = [], 0
+    for gap, word in zip(gaps, words):
+        at += len(gap)
+        core = word.lstrip(_OPENS).rstrip(_CLOSES)
+        start = at + len(word) - len(word.lstrip(_OPENS)) if core else at
+        out.append((start, start + len(core or word)))
+        at += len(word)
     return out
 
 
 def _entropy(token: str) -> float:
     n = len(token)
-    return -sum(c / n * math.log2(c / n) for c in map(token.count, set(token)))
+    return math.log2(n) - sum(c * math.log2(c) for c in map(token.count, set(token)) if c > 1) / n
 
 
 def _feature(name: str) -> int:
-    return zlib.crc32(name.encode()) % BUCKETS
+    return zlib.crc32(name.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
-def file_features(text: str, tokens: list[tuple[int, int]]) -> list[str]:
+#: For names of which there are few.
+_few = lru_cache(maxsize=1 << 14)(_feature)
+
+
+def file_features(words: list[str], text: str) -> list[int]:
     lines = text.count("\n") + 1
-    return [
-        f"file:tokens{min(len(tokens), 4)}",
+    names = (
+        f"file:tokens{min(len(words).bit_length(), 12)}",
         f"file:settings{min(4 * (text.count('=') + text.count(': ')) // lines, 4)}",
         f"file:key{'PRIVATE KEY' in text}",
-    ]
+    )
+    return [_feature(name) for name in names]
 
 
-def features(text: str, token: tuple[int, int], of_file: list[str]) -> dict[str, list[str]]:
-    """Names of a token's features by group: its shape, its neighbours, its file."""
-    start, end = token
-    word = text[start:end]
+def word_features(raw: str) -> tuple[list[int], list[int], list[int], list[int], bool]:
+    """Features that a token has by its shape, that it gives to the token behind it, to the one after that and to the
+    token before it, always as many of each; and whether it asks for a secret."""
+    word = raw.lstrip(_OPENS).rstrip(_CLOSES) or raw
+    lower = raw.lower()
+    plain = word.isalpha()
     kinds = "".join(
         mark
         for mark, there in (
-            ("A", any("A" <= c <= "Z" for c in word)),
-            ("a", any("a" <= c <= "z" for c in word)),
-            ("9", any("0" <= c <= "9" for c in word)),
-            ("+", any(c in "+/=" for c in word)),
-            ("_", any(c in "_.-" for c in word)),
+            ("A", word != word.lower()),
+            ("a", word != word.upper()),
+            ("9", not plain and any("0" <= c <= "9" for c in word)),
+            ("+", not plain and any(c in "+/=" for c in word)),
+            ("_", not plain and any(c in "_.-" for c in word)),
+            ("!", not plain and any(c in "!#$%&*?@^~|" for c in word)),
+            ("u", not word.isascii()),
         )
         if there
     )
     hexadecimal = all(c in "0123456789abcdef" for c in word.lower())
-    switches = sum((a.isdigit()) != (b.isdigit()) for a, b in zip(word, word[1:]))
-    shape = [
+    switches = 0 if plain else sum((a.isdigit()) != (b.isdigit()) for a, b in zip(word, word[1:]))
+    humps = 0 if word[1:] == word[1:].lower() else sum(a.islower() and b.isupper() for a, b in zip(word, word[1:]))
+    shape = (
         f"kinds:{kinds}",
         f"length:{min(len(word) // 4, 12)}",
         f"kinds+length:{kinds}{min(len(word) // 8, 6)}",
         f"hex:{hexadecimal}:{min(len(word) // 8, 6)}",
-        f"entropy:{int(2 * _entropy(word))}",
+        f"entropy:{int(2 * _entropy(word[:256]))}",
         f"switches:{min(switches, 8)}",
-        f"prefix:{word[:4]}",
-    ]
-    before = _BEFORE.search(text, max(0, start - 40), start)
-    after = _AFTER.match(text, end, min(len(text), end + 40))
-    near = [
-        f"before:{before[1].lower()[-16:]}",
-        f"mark:{before[2].replace(' ', '')}",
-        f"before+mark:{before[1].lower()[-16:]}{before[2].replace(' ', '')}",
-        f"after:{after[1].lower()[:16]}",
-        f"next:{text[end : end + 1]}",
-    ]
-    return {"shape": shape, "near": near, "file": of_file}
+        f"humps:{min(humps, 4)}",
+    )
+    asks = bool(_ASKS.search(lower[-24:]))
+    mark = _MARK.search(lower)[0]
+    return (
+        [*map(_few, shape), _few(f"prefix:{word[:4]}")],
+        [_feature(f"before:{lower[-16:]}"), _few(f"before+mark:{asks}{mark}")],
+        [_feature(f"second before:{lower[-16:]}"), _few(f"second before asks:{asks}")],
+        [_feature(f"after:{lower[:16]}")],
+        asks,
+    )
+
+
+def gap_features(gap: str) -> tuple[int, int]:
+    """Features that a gap gives to the token behind it and to the one before it."""
+    kind = re.sub(r"[^\S\n]+", " ", gap)[:4]
+    return _feature(f"gap before:{kind}"), _feature(f"gap behind:{kind}")
+
+
+def _quotes(gap: str) -> int:
+    return sum(map(gap.count, "\"'`"))
+
+
+_ASK_FEATURES = np.array([[_feature(f"asked:{d}:{q}") for q in range(3)] for d in range(REACH + 1)])
+
+
+def _asked(asks: np.ndarray, quotes: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distance of each token from the asking token before it, 0 if there is none in reach and on its line, and the
+    quotes between them, two at most. quotes and breaks are of the gap before each token."""
+    at = np.arange(len(asks))
+    last = np.maximum.accumulate(np.where(asks, at, -1))
+    last = np.concatenate(([-1], last[:-1]))
+    lines, seen = np.cumsum(breaks), np.cumsum(quotes)
+    near = (last >= 0) & (at - last <= REACH) & (lines == lines[last])
+    return np.where(near, at - last, 0), np.where(near, np.minimum(seen - seen[last], 2), 0)
+
+
+#: Tokens and gaps that a reader remembers; beyond, it forgets all of them.
+REMEMBERED = 200_000
+_END = ""
+
+
+class Reader:
+    """Scores of the tokens of texts; what a token adds to them by itself is remembered."""
+
+    def __init__(self, field: "Field"):
+        self.field = field
+        self._forget()
+
+    def _forget(self) -> None:
+        self._word: dict[str, int] = {}
+        self._gap: dict[str, int] = {}
+        #: by word: what it adds to its own scores, to those of the next two tokens and to those before it
+        self._own = [np.empty((0, 3)) for _ in range(4)]
+        self._asks = np.empty(0, bool)
+        self._beside = [np.empty((0, 3)) for _ in range(2)]
+        self._quotes = np.empty(0, np.int64)
+        self._breaks = np.empty(0, bool)
+
+    def learn(self, texts: list[tuple[list[str], list[str]]]) -> None:
+        if len(self._word) > REMEMBERED or len(self._gap) > REMEMBERED:
+            self._forget()
+        weights = self.field.weights
+        new = {_END}.union(*(words for words, _ in texts)) - self._word.keys()
+        if new:
+            found = [word_features(word) if word else word_features("\x00") for word in new]
+            self._word.update(zip(new, range(len(self._word), len(self._word) + len(new))))
+            for role in range(4):
+                own = weights[np.array([f[role] for f in found])].sum(axis=1, dtype=np.float64)
+                self._own[role] = np.concatenate([self._own[role], own])
+            self._asks = np.concatenate([self._asks, [f[4] for f in found]])
+        gaps = set().union(*(gaps for _, gaps in texts)) - self._gap.keys()
+        if gaps:
+            self._gap.update(zip(gaps, range(len(self._gap), len(self._gap) + len(gaps))))
+            both = np.array([gap_features(gap) for gap in gaps])
+            for side in range(2):
+                self._beside[side] = np.concatenate([self._beside[side], weights[both[:, side]].astype(np.float64)])
+            self._quotes = np.concatenate([self._quotes, [_quotes(gap) for gap in gaps]])
+            self._breaks = np.concatenate([self._breaks, ["\n" in gap for gap in gaps]])
+
+    def scores(self, words: list[str], gaps: list[str], text: str) -> np.ndarray:
+        """Scores of the tags of every token; of texts that `learn` has been given."""
+        n, number, end = len(words), self._word.__getitem__, self._word[_END]
+        ids = np.fromiter((end, end, *map(number, words), end), np.int64, n + 3)
+        beside = np.fromiter(map(self._gap.__getitem__, gaps), np.int64, n + 1)
+        shape, before, second, after = self._own
+        out = shape[ids[2:-1]] + before[ids[1:-2]] + second[ids[:-3]] + after[ids[3:]]
+        out += self._beside[0][beside[:-1]] + self._beside[1][beside[1:]]
+        far, between = _asked(self._asks[ids[2:-1]], self._quotes[beside[:-1]], self._breaks[beside[:-1]])
+        out += self.field.weights[_ASK_FEATURES][far, between]
+        return out + self.field.weights[file_features(words, text)].sum(axis=0, dtype=np.float64)
 
 
 # the field
@@ -177,6 +262,27 @@ class Field:
             tags.append(int(step[tags[-1]]))
         return tags[::-1]
 
+    def path(self, emit: np.ndarray) -> list[tuple[int, int]]:
+        """Place and tag of the tokens of a text that the best path has not outside.
+
+        Against the path that is outside throughout, a stretch of other tags gains at most the sum of its tokens'
+        bounds. So a token is outside if no stretch over it has a sum above 0, and only what is left is searched.
+        """
+        steps = self.steps - self.steps[OUTSIDE, OUTSIDE]
+        most = (emit - emit[:, :1] + steps.max(axis=0) + np.maximum(steps[:, OUTSIDE], 0))[:, 1:].max(axis=1)
+        total = np.cumsum(most)
+        before = np.concatenate(([0.0], total[:-1]))
+        ending = total - np.minimum.accumulate(before)
+        starting = np.maximum.accumulate(total[::-1])[::-1] - before
+        # the margin is for sums that are rounded
+        left = np.flatnonzero(ending + starting - most > -1e-6)
+        out = []
+        for part in np.split(left, np.flatnonzero(np.diff(left) > 1) + 1):
+            if len(part):
+                tags = self.viterbi(emit[part])
+                out += [(int(at), tag) for at, tag in zip(part, tags) if tag != OUTSIDE]
+        return out
+
     def marginals(self, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         """Chances of each token's tags, expected number of each step between tags (the ends included), and log of the
         sum over all paths."""
@@ -201,7 +307,9 @@ class Field:
 @dataclass(frozen=True)
 class Training:
     """sample: documents the field is fitted on, at most twice as many; drop: chance that one group of a token's
-    features is hidden in a step, so that no group is relied on alone; the rest is plain gradient descent."""
+    features is hidden in a step, so that no group is relied on alone; window: tokens of a chain to be fitted; plain,
+    digits: chains at most without a secret, anywhere and around digits; rows: lines made up with secrets that the
+    patterns miss, and half as many without one; the rest is plain gradient descent."""
 
     sample: int = 4000
     epochs: int = 6
@@ -209,29 +317,126 @@ class Training:
     decay: float = 1e-4
     drop: float = 0.3
     seed: int = 11
+    window: int = 16
+    plain: int = 2000
+    digits: int = 1500
+    rows: int = 1000
+
+
+_NAMES = ("password", "Password", "passwd", "pwd", "passphrase", "pass phrase", "secret", "api key", "access key", "token", "credential")
+_PROSE = ("the password was", "a token of", "the key to the", "this secret", "bearer of", "to pass the", "a phrase that", "the credentials of")
+_WORDS = "correct horse battery staple river orange window silver garden purple mountain yellow candle coffee".split()
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+
+def made_up(rng: np.random.Generator, words: list[str]) -> tuple[str, list[tuple[int, int]]]:
+    """A line with a secret that has no digit, other symbols, 6 or 7 characters or several tokens; `words` around."""
+
+    def some(of, least: int, most: int) -> list[str]:
+        return [of[i] for i in rng.integers(len(of), size=rng.integers(least, most + 1))]
+
+    kind = rng.integers(5)
+    quote = ("", '"', "'")[rng.integers(3)]
+    tail = some(words, 1, 6)
+    if kind == 0:
+        value = "".join(some(_LETTERS, 12, 24))
+    elif kind == 1:
+        value = "".join(some(_LETTERS[26:], 2, 4) + some("@!$%#&", 1, 1) + some(_LETTERS[26:], 1, 3) + some("!@$0134", 1, 2) + some(_LETTERS, 2, 4))
+    elif kind == 2:
+        value = "".join(some(_LETTERS[26:], 4, 5) + some("0123456789", 2, 2))
+    elif kind == 3:
+        value = " ".join(some([*_WORDS, *words], 3, 6))
+        quote = quote or '"'
+    else:
+        value = " ".join("".join(some(_LETTERS + "0123456789", 4, 6)) for _ in range(rng.integers(2, 6)))
+        tail = tail if quote else []
+    name = _NAMES[rng.integers(len(_NAMES))]
+    join = (" = ", ": ", " is ", " := ")[rng.integers(4)]
+    if kind == 0 and rng.random() < 0.4:
+        name, join, quote = ("Bearer", "Authorization: Bearer")[rng.integers(2)], " ", ""
+    head = " ".join([*some(words, 0, 6), name]) + join + quote
+    return head + value + quote + " " + " ".join(tail), [(len(head), len(head) + len(value))]
+
+
+def taught_spans(text: str) -> list[tuple[int, int]]:
+    """What the plain patterns cover, of an assignment the value only."""
+    found = [m.span(1) for m in _ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 6]
+    return found + [m.span() for pattern in (_ACCESS, _HEX) for m in pattern.finditer(text)]
+
+
+def _chain(words: list[str], gaps: list[str], text: str) -> list[dict[str, list[int]]]:
+    """Features of every token by group: its shape, its neighbours, its file."""
+    of = [word_features(word) for word in words]
+    end, beside = word_features("\x00"), [gap_features(gap) for gap in gaps]
+    breaks = np.array(["\n" in gap for gap in gaps[:-1]])
+    far, between = _asked(np.array([f[4] for f in of]), np.array([_quotes(gap) for gap in gaps[:-1]]), breaks)
+    of_file, padded = file_features(words, text), [end, end, *of, end]
+    return [
+        {
+            "shape": own[0],
+            "near": [*padded[i + 1][1], *padded[i][2], *padded[i + 3][3], beside[i][0], beside[i + 1][1], int(_ASK_FEATURES[far[i], between[i]])],
+            "file": of_file,
+        }
+        for i, own in enumerate(of)
+    ]
+
+
+def _tags(words: list[str], gaps: list[str], spans: list[tuple[int, int]]) -> list[int]:
+    """Begin or inside where a token overlaps a span; inside where the token before overlaps the same one."""
+    tags, held, spans = [], None, sorted(spans)
+    own = places(words, gaps)
+    for start, end in own:
+        over = next((s for s in spans if s[0] < end and start < s[1]), None)
+        tags.append(OUTSIDE if over is None else INSIDE if over == held else BEGIN)
+        held = over
+    return tags
 
 
 def teach(texts: list[str | None], training: Training = Training()) -> Field:
-    """A field fitted to the tags that the plain patterns give: begin where a token overlaps one of their spans."""
-    chains = []
+    """A field fitted to the tags that the plain patterns give, and to lines made up with secrets that they miss.
+
+    Of texts only stretches are fitted: all around a span, and some of the others.
+    """
+    rng, half = np.random.default_rng(training.seed), training.window // 2
+    chosen: dict[str, list[tuple[int, int]]] = {"spans": [], "digits": [], "plain": []}
+    held = []
     for text in texts:
-        text = text or ""
-        tokens = candidates(text)
-        spans = base_spans(text)
-        of_file = file_features(text, tokens)
-        for run in runs(text, tokens):
-            tags = [BEGIN if any(s < t[1] and t[0] < e for _, s, e in spans) else OUTSIDE for t in run]
-            # a span that goes on over several tokens
-            for i in range(1, len(run)):
-                if tags[i] and any(s < run[i - 1][1] and run[i][0] < e for _, s, e in spans):
-                    tags[i] = INSIDE
-            groups = [
-                {k: [_feature(f) for f in v] for k, v in features(text, token, of_file).items()} for token in run
-            ]
-            chains.append((groups, tags))
-    field, rng = Field.empty(), np.random.default_rng(training.seed)
-    if not any(any(tags) for _, tags in chains):
-        return field
+        words, gaps = split(text or "")
+        if not words:
+            continue
+        spans = taught_spans(text)
+        tags = _tags(words, gaps, spans) if spans else [OUTSIDE] * len(words)
+        held.append((words, gaps, text, tags))
+        n, number = len(held) - 1, [i for i, word in enumerate(words) if any("0" <= c <= "9" for c in word)]
+        chosen["spans"] += [(n, i) for i, tag in enumerate(tags) if tag == BEGIN]
+        chosen["digits"] += [(n, i) for i in number if not tags[i]][:20]
+        chosen["plain"] += [(n, int(i)) for i in rng.integers(len(words), size=3)]
+    for name, most in (("digits", training.digits), ("plain", training.plain)):
+        if len(chosen[name]) > most:
+            chosen[name] = [chosen[name][i] for i in rng.choice(len(chosen[name]), most, replace=False)]
+    chains = []
+    for n, at in chain.from_iterable(chosen.values()):
+        words, gaps, text, tags = held[n]
+        first, last = max(0, at - half), min(len(words), at + half)
+        # a stretch starts and ends outside
+        while first and tags[first] != OUTSIDE:
+            first -= 1
+        while last < len(words) and tags[last - 1] != OUTSIDE:
+            last += 1
+        around = slice(max(0, first - REACH), last + 1)
+        features = _chain(words[around], gaps[around.start : last + 2], text)
+        skip = first - around.start
+        chains.append((features[skip : skip + last - first], tags[first:last]))
+    common = [words[i] for words, *_ in held[:2000] for i in rng.integers(len(words), size=2)] or _WORDS
+    for n in range(training.rows + training.rows // 2):
+        text, spans = made_up(rng, common)
+        if n >= training.rows:
+            pick = [common[i] for i in rng.integers(len(common), size=8)]
+            text, spans = " ".join([*pick[:3], _PROSE[n % len(_PROSE)], *pick[3:]]), []
+        words, gaps = split(text)
+        if words:
+            chains.append((_chain(words, gaps, text), _tags(words, gaps, spans)))
+    field = Field.empty()
     for epoch in range(training.epochs):
         rate = training.rate / (1 + epoch)
         for at in rng.permutation(len(chains)):
@@ -250,25 +455,32 @@ def teach(texts: list[str | None], training: Training = Training()) -> Field:
     return field
 
 
-def secret_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
-    """Base spans, and all spans: those and what the field finds beside them, by start and then kind."""
-    base = base_spans(text)
-    tokens = candidates(text)
-    if not tokens:
-        return base, base
-    of_file = file_features(text, tokens)
-    found: list[Span] = []
-    for run in runs(text, tokens):
-        numbered = [[_feature(f) for v in features(text, t, of_file).values() for f in v] for t in run]
-        tags = field.viterbi(field.scores(numbered))
-        for tag, (start, end) in zip(tags, run):
-            if tag == BEGIN:
+def all_spans(texts: list[str], reader: Reader) -> list[tuple[list[Span], list[Span]]]:
+    """For each text its base spans, and all spans: those and what the field finds beside them, by start and then
+    kind."""
+    cut = [split(text) for text in texts]
+    reader.learn(cut)
+    out = []
+    for text, (words, gaps) in zip(texts, cut):
+        base = base_spans(text)
+        tagged = reader.field.path(reader.scores(words, gaps, text)) if words else []
+        found: list[Span] = []
+        if tagged:
+            own = places(words, gaps)
+            for at, tag in tagged:
+                start, end = own[at]
+                if tag == INSIDE:
+                    start = found.pop()[1]
                 found.append(("crf", start, end))
-            elif tag == INSIDE:
-                found[-1] = ("crf", found[-1][1], end)
-    # base spans don't overlap within a kind, but kinds do, so every one of them is compared
-    beside = [f for f in found if not any(s < f[2] and f[1] < e for _, s, e in base)]
-    return base, sorted(base + beside, key=lambda s: (s[1], KINDS.index(s[0])))
+        # base spans don't overlap within a kind, but kinds do, so every one of them is compared
+        beside = [f for f in found if not any(s < f[2] and f[1] < e for _, s, e in base)]
+        out.append((base, sorted(base + beside, key=lambda s: (s[1], KINDS.index(s[0])))))
+    return out
+
+
+def secret_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
+    """Base spans and all spans of one text."""
+    return all_spans([text], Reader(field))[0]
 
 
 def joined(spans: list[Span]) -> str:
@@ -295,9 +507,10 @@ def scan(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str =
     picked = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(field)
         for batch in batches:
             texts = [text or "" for text in batch.column("text").to_pylist()]
-            found = [secret_spans(text, field) for text in texts]
+            found = all_spans(texts, reader)
             counts = {
                 f"n_{kind}": pa.array([sum(s[0] == kind for s in spans) for _, spans in found], pa.int64())
                 for kind in KINDS

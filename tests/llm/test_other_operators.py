@@ -130,6 +130,41 @@ def test_the_field_finds_what_the_patterns_miss(spark):
     assert secrets_crf.redacted("my ab cd", [("hex", 3, 5), ("crf", 4, 8)]) == "my [SECRET]"
 
 
+def test_the_field_sees_every_token():
+    field = secrets_crf.teach(["the house is on the hill and the dog is in the garden by the lake"] * 50)
+    for before, secret, behind in (
+        ("Authorization: Bearer ", "AbCdEfGhIjKlMnOpQrSt", ""),
+        ("the password is ", "p@ss!w0rd", " on the hill"),
+        ("pwd: ", "hunt3r7", " and the dog"),
+        ('passphrase = "', "correct horse battery staple", '" in the garden'),
+    ):
+        found = secrets_crf.secret_spans(before + secret + behind, field)[1]
+        assert found[-1:] == [("crf", len(before), len(before + secret))]
+    assert secrets_crf.secret_spans("the password was on the hill and the key to the house is in the garden", field)[1] == []
+
+
+def test_tokens_passed_over_are_outside_on_the_best_path():
+    rng, some = np.random.default_rng(9), 0
+    for n in range(400):
+        field, emit = _random_field(rng), rng.standard_normal((rng.integers(1, 30), 3)) - [0, 1, 1] * rng.random(3) * 3
+        tags = field.viterbi(emit)
+        assert field.path(emit) == [(i, tag) for i, tag in enumerate(tags) if tag]
+        some += any(tags)
+    assert 50 < some < 400
+
+
+def test_a_reader_adds_up_what_the_features_say():
+    field = secrets_crf.Field.empty()
+    field.weights = np.random.default_rng(10).standard_normal(field.weights.shape).astype(np.float32)
+    texts = ['my token = "ab cd"\nnext: x', "a", "  pwd:  \u00fc `q1`, end. ", "pass a b c d e f g h i j k l"]
+    reader, cut = secrets_crf.Reader(field), [secrets_crf.split(t) for t in texts]
+    reader.learn(cut)
+    for text, (words, gaps) in zip(texts, cut):
+        assert "".join(g + w for g, w in zip(gaps, [*words, ""])) == text
+        plain = [[f for v in token.values() for f in v] for token in secrets_crf._chain(words, gaps, text)]
+        assert reader.scores(words, gaps, text) == pytest.approx(field.scores(plain), abs=1e-4)
+
+
 # pages
 
 
