@@ -17,7 +17,7 @@ HAS_WORD = r"[^\x20\x09-\x0D]"
 SYMBOL = r"[#*$%&|<>]"
 WINDOW = 5
 
-#: A line that contains one of these phrases (lower case) is boilerplate.
+#: Phrases of boilerplate (lower case, of ASCII letters and spaces), matched between word bounds.
 BOILERPLATE = (
     "accept cookies",
     "all rights reserved",
@@ -47,6 +47,10 @@ class QualityRules:
     #: `separator_every` words.
     min_separators: int = 2
     separator_every: int = 6
+    #: A line fails as boilerplate if it holds a phrase and has this many words at most, or if the phrases make up this
+    #: percentage of its words at least.
+    boilerplate_words: int = 12
+    min_boilerplate_percent: int = 30
     boilerplate: tuple[str, ...] = field(default=BOILERPLATE)
     max_lost_percent: int = 50
 
@@ -77,10 +81,23 @@ def _line_passes(line: Column, has_symbols: Column, has_boilerplate: Column, rul
         & (separators >= rules.min_separators)
         & (separators * rules.separator_every >= n_words)
     )
-    boilerplate = has_boilerplate & _contains_any(F.lower(line), rules.boilerplate)
+    phrases = _phrases(rules.boilerplate)
+    found = F.regexp_extract_all(F.lower(line), F.lit(phrases), F.lit(0))
+    boilerplate = (
+        has_boilerplate
+        & F.lower(line).rlike(phrases)
+        & (
+            (n_words <= rules.boilerplate_words)
+            | (F.size(_words(F.array_join(found, " "))) * 100 >= n_words * rules.min_boilerplate_percent)
+        )
+    )
     return ~(unpunctuated | noisy | navigation | boilerplate) | ~line.rlike(HAS_WORD)
 
 
+def _phrases(phrases: tuple[str, ...]) -> str:
+    return rf"(?<![\p{{L}}\p{{N}}_])(?:{'|'.join(phrases)})(?![\p{{L}}\p{{N}}_])" if phrases else r"(?!)"
+
+
 def _contains_any(text: Column, phrases: tuple[str, ...]) -> Column:
     found = F.lit(False)
     for phrase in phrases:

@@ -88,6 +88,19 @@ def test_bad_lines_go_and_documents_that_lose_too_much(spark):
     assert found[4].kept and found[4].lost_words == 0
 
 
+def test_a_phrase_in_a_long_line_or_inside_words_is_no_boilerplate(spark):
+    long = "Our privacy policy, which nobody reads, is on the hill. " + "The dog is in the garden, and the house is by the lake. " * 2
+    inside = "The design updates of the house, it seems, are on the hill by the lake."
+    rows = [
+        (1, long, "en"),
+        (2, inside, "en"),
+        (3, f"{inside}\nSign up!", "en"),
+        (4, f"{inside}\n{'Click here, accept cookies: ' * 4}", "en"),
+    ]
+    found = {r.doc_id: r.n_lines_removed for r in quality_rules(documents(spark, rows)).collect()}
+    assert found == {1: 0, 2: 0, 3: 1, 4: 1}
+
+
 def test_ids_and_texts_equal_the_library(spark):
     library = Tokenizer.from_file(bpe.default_vocabulary())
     found = {}
