@@ -455,9 +455,18 @@ def teach(texts: list[str | None], training: Training = Training()) -> Field:
     return field
 
 
+def _covered(span: Span, base: list[Span]) -> bool:
+    """Whether base spans, which are in order of their start and may overlap, cover the whole span together."""
+    _, at, end = span
+    for _, start, stop in base:
+        if start <= at < stop:
+            at = stop
+    return at >= end
+
+
 def all_spans(texts: list[str], reader: Reader) -> list[tuple[list[Span], list[Span]]]:
-    """For each text its base spans, and all spans: those and what the field finds beside them, by start and then
-    kind."""
+    """For each text its base spans, and all spans: those and what the field finds that they don't cover, by start
+    and then kind."""
     cut = [split(text) for text in texts]
     reader.learn(cut)
     out = []
@@ -472,8 +481,7 @@ def all_spans(texts: list[str], reader: Reader) -> list[tuple[list[Span], list[S
                 if tag == INSIDE:
                     start = found.pop()[1]
                 found.append(("crf", start, end))
-        # base spans don't overlap within a kind, but kinds do, so every one of them is compared
-        beside = [f for f in found if not any(s < f[2] and f[1] < e for _, s, e in base)]
+        beside = [f for f in found if not _covered(f, base)]
         out.append((base, sorted(base + beside, key=lambda s: (s[1], KINDS.index(s[0])))))
     return out
 

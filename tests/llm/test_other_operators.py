@@ -143,6 +143,16 @@ def test_the_field_sees_every_token():
     assert secrets_crf.secret_spans("the password was on the hill and the key to the house is in the garden", field)[1] == []
 
 
+def test_a_span_that_reaches_beyond_a_base_span_stays():
+    field = secrets_crf.Field.empty()
+    field.steps[secrets_crf.OUTSIDE, secrets_crf.BEGIN] = 5.0
+    text = "ZzQq" + "0a1b2c3d" * 3 + "XyWv"
+    base, spans = secrets_crf.secret_spans(text, field)
+    assert base == [("hex", 4, 28)] and spans == [("crf", 0, 32), ("hex", 4, 28)]
+    assert secrets_crf.redacted(text, spans) == "[SECRET]"
+    assert secrets_crf.secret_spans("0a1b2c3d" * 3, field)[1] == [("hex", 0, 24)]
+
+
 def test_tokens_passed_over_are_outside_on_the_best_path():
     rng, some = np.random.default_rng(9), 0
     for n in range(400):
