@@ -65,6 +65,28 @@ where q.vec_id % 20 = 0
 qualify rank <= 20
 """
 
+HARD_NEGATIVES = """
+with usable as (
+    select vec_id, if(vec_id % 7 = 0, (label + 1) % 10, label) as label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) as v
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_inner_product(a.v, b.v)::BIGINT as score
+    from usable a join usable b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+    where a.vec_id % 100 = 0
+), positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+       row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::INT as rank
+from positives join scored using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10
+"""
+
 
 def _segment(level: int, depth: int) -> str:
     """The generalised segment of a path; the last takes all that is left."""
