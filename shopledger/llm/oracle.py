@@ -87,6 +87,35 @@ where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * po
 qualify rank <= 10
 """
 
+_TERMS = (
+    "unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+)
+RANKED_SEARCH = f"""
+with documents_in as (
+    select row_number() over () as r, doc_id, text from documents
+), items_in as (
+    select row_number() over () as q, item_id, text from benchmark
+), counted as (
+    select r, doc_id, term, count(*) as tf from (select r, doc_id, {_TERMS} as term from documents_in) group by all
+), lengths as (
+    select r, sum(tf)::BIGINT as n from counted group by r
+), corpus as (
+    select count(*)::BIGINT as docs, sum(n)::BIGINT as words from lengths
+), asked as (
+    select distinct q, item_id, term from (select q, item_id, {_TERMS} as term from items_in)
+), weights as (
+    select term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * df + 1)))::BIGINT as w
+    from (select term, count(*) as df from counted group by term), corpus
+), scored as (
+    select q, item_id, r, doc_id, sum(w * (1000000000 * tf // (1000 * tf + 20 * (100 - 50 + 50 * n * docs // words))))::BIGINT as score
+    from asked join weights using (term) join counted using (term) join lengths using (r), corpus
+    group by all
+)
+select item_id, row_number() over (partition by q order by score desc, doc_id nulls last)::INT as rank, doc_id, score
+from scored where score > 0 qualify rank <= 50
+"""
+
 
 def _segment(level: int, depth: int) -> str:
     """The generalised segment of a path; the last takes all that is left."""

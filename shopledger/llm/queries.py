@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopledger.llm import bit_codes, bpe, hard_negatives, html_text, language_id, oracle, packing, secrets_crf, token_files
+from shopledger.llm import (
+    bit_codes,
+    bpe,
+    hard_negatives,
+    html_text,
+    language_id,
+    oracle,
+    packing,
+    ranked_search,
+    secrets_crf,
+    token_files,
+)
 from shopledger.llm.quality_rules import quality_rules
 from shopledger.llm.simhash import simhash_components
 from shopledger.llm.tables import fresh_path
@@ -74,6 +85,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -86,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_components": op9_simhash_components,
     "op10_main_text": op10_main_text,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 #: The other queries train models, code, hash or pack greedily, which SQL can't express.
@@ -93,5 +109,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": oracle.QUALITY_RULES,
     "op4_bit_code_neighbours": oracle.NEIGHBOURS,
     "op12_hard_negatives": oracle.HARD_NEGATIVES,
+    "op13_ranked_search": oracle.RANKED_SEARCH,
     "op7_url_templates": oracle.url_templates([(rule.pattern, rule.verdict) for rule in URL_RULES]),
 }
