@@ -20,6 +20,7 @@ from shopledger.llm import (
 )
 from shopledger.llm.quality_rules import quality_rules
 from shopledger.llm.simhash import simhash_components
+from shopledger.llm.superminhash import superminhash_components
 from shopledger.llm.tables import fresh_path
 from shopledger.llm.url_filter import UrlRule, judge_urls
 
@@ -81,6 +82,10 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_superminhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash_components(_documents(spark, sf_dir))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_simhash_components": op9_simhash_components,
     "op10_main_text": op10_main_text,
+    "op11_superminhash_components": op11_superminhash_components,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_ranked_search": op13_ranked_search,
 }

@@ -1,0 +1,132 @@
+"""SuperMinHash: signatures against one element at a time, components against all pairs."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from rows import TEXTS, clashing, collected, documents
+from shopledger.llm import superminhash
+from shopledger.llm.superminhash import Linking, mixed, shingle_set, signatures, superminhash_components
+
+SMALL = Linking(cell=4, windows=(1, 2))
+
+
+def _plain_set(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    return {tuple(words)} if len(words) == 1 else set(zip(words, words[1:]))
+
+
+def _plain_components(rows):
+    sets = [_plain_set(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(a & sets[j])
+            if common and 100 * common >= 80 * (len(a) + len(sets[j]) - common):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[find(i)] = min(least.get(find(i), doc_id), doc_id)
+    out = []
+    for i, (doc_id, _) in enumerate(rows):
+        name = least.get(find(i))
+        out.append((doc_id, len(sets[i]), name, doc_id == name))
+    return sorted(out, key=repr)
+
+
+def _one_element_at_a_time(hashes, slots):
+    best = [float("inf")] * slots
+    golden = 0x9E3779B97F4A7C15
+    for h in hashes:
+        turn = list(range(slots))
+        for step in range(slots):
+            draw = int(mixed(np.array([(h + (step + 1) * golden) % 2**64], np.uint64))[0])
+            k = step + ((draw >> 32) * (slots - step) >> 32)
+            turn[step], turn[k] = turn[k], turn[step]
+            best[turn[step]] = min(best[turn[step]], (step << 32) | (draw & 0xFFFFFFFF))
+    return best
+
+
+def test_signatures_equal_one_element_at_a_time_without_stopping():
+    rnd = np.random.default_rng(1)
+    sets = [np.unique(rnd.integers(1 << 63, size=n).astype(np.uint64)) for n in (1, 2, 9, 0, 60, 400)]
+    owners = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    found = signatures(np.concatenate(sets), owners, len(sets), 24)
+    for own, s in zip(found, sets):
+        if len(s):
+            assert own.tolist() == _one_element_at_a_time(s.tolist(), 24)
+    alone = [signatures(s, np.zeros(len(s), np.int64), 1, 24)[0].tolist() for s in sets if len(s)]
+    assert alone == [f.tolist() for f, s in zip(found, sets) if len(s)]
+
+
+def test_equal_slots_estimate_similarity_with_less_spread_than_independent_minima():
+    rnd = np.random.default_rng(2)
+    slots, common, own, errors = 64, 30, 10, []
+    for _ in range(300):
+        x = rnd.integers(1 << 63, size=common + 2 * own).astype(np.uint64)
+        a, b = x[: common + own], np.concatenate([x[:common], x[common + own :]])
+        one, two = (signatures(np.sort(s), np.zeros(len(s), np.int64), 1, slots)[0] for s in (a, b))
+        errors.append((one == two).mean() - common / (common + 2 * own))
+    similarity = common / (common + 2 * own)
+    assert abs(np.mean(errors)) < 0.02
+    assert np.var(errors) < 0.8 * similarity * (1 - similarity) / slots
+
+
+def test_shingles_of_two_orders_differ():
+    ab, ba, a = (shingle_set(t, 2, 42).tolist() for t in (b"a b", b"b a", b"a"))
+    assert len({*ab, *ba, *a}) == 3
+    assert shingle_set(b"A b\x0bC a B", 2, 42).tolist() == shingle_set(b"a\tb c a b", 2, 42).tolist()
+
+
+def _copies(seed):
+    rnd = random.Random(seed)
+    words = [f"w{i}" for i in range(300)]
+    rows = []
+    for group in range(12):
+        base = rnd.choices(words, k=rnd.choice([6, 15, 60, 200]))
+        for _ in range(rnd.choice([1, 2, 8, 25])):
+            # some near, some around the limit, so that groups hang together by chains
+            copy = [rnd.choice(words) if rnd.random() < rnd.choice([0, 0.02, 0.05, 0.08]) else w for w in base]
+            rows.append((len(rows), " ".join(copy)))
+        rows.append((len(rows), " ".join(base)))
+        rows.append((len(rows), " ".join(base).upper()))
+    rnd.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("options", [Linking(), SMALL])
+def test_components_equal_all_pairs(spark, options):
+    rows = _copies(7)
+    found = collected(superminhash_components(spark.createDataFrame(rows, "doc_id long, text string"), options=options))
+    expected = _plain_components(rows)
+    assert found == expected
+    assert len({r[2] for r in expected}) < len(rows) - 40
+
+
+def test_all_pairs_of_a_bucket_are_tried_where_the_first_fail(spark, monkeypatch):
+    """Sets in a row, each linked with the next alone, all in common buckets."""
+    width, step = 90, 9
+    rows = [(i, " ".join(f"w{k}" for k in range(i * step, i * step + width + 1))) for i in range(12)]
+    many = Linking(bands=200, rows=1, least_share=0.0, cell=4, windows=(1,))
+    found = collected(superminhash_components(spark.createDataFrame(rows, "doc_id long, text string"), options=many))
+    assert found == _plain_components(rows)
+    assert {r[2] for r in found} == {0}
+
+
+def test_hard_texts_and_none(spark):
+    docs = documents(spark)
+    expected = _plain_components([r[:2] for r in TEXTS])
+    assert collected(superminhash_components(docs)) == expected
+    assert collected(superminhash_components(clashing(docs), options=SMALL)) == expected
+    assert collected(superminhash_components(documents(spark, []))) == []
+    assert superminhash.ALL > 1 << 30
