@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,13 +17,16 @@ from oracle.checks import check_sql, guard_sql, source_sql
 from oracle.compose import compose
 from oracle.marts import mart_sql
 from oracle.raw import raw_ctes
+from oracle.storage import rebuild_sql, snapshot_sql
 from oracle.star import shown, star_ctes
-from shopledger import Lakehouse
+from shopledger import Lakehouse, incremental
 from shopledger.operators.report import date_range, top_n
 from shopledger.quality import checks, expectations
 from shopledger.sources.catalog import RAW_TABLES
-from shopledger.sources.reader import load_parquet, normalise_headers, rescue, row_counts
+from shopledger.session import app_dir
+from shopledger.sources.reader import ParquetLanding, load_parquet, normalise_headers, rescue, row_counts
 from shopledger.sources.sample import SampleRetail
+from shopledger.sources.snapshots import SnapshotStore
 
 try:
     import corpus_pipeline
@@ -153,6 +159,51 @@ def _sink_roundtrip(spark, sf_dir):
     return comparable(lake.table("silver_fact_transaction"))
 
 
+def _fresh_folder(spark, name):
+    return f"{app_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _selective_rebuild(spark, sf_dir):
+    """Every standard dataset stored, then one raw table replaced and all brought up to date: rows, and who was rebuilt."""
+    folder = _fresh_folder(spark, "rebuild")
+    sample, landing = SampleRetail(spark, sf_dir), ParquetLanding(spark, folder)
+    lake = Lakehouse(spark, lambda table: (landing if table == "fact_clickstream" else sample)(table), AS_OF)
+    names = [name for layer in ("silver", "gold", "mart") for name in lake.standard(layer)]
+    store = SnapshotStore(spark, f"{folder}/tables")
+    sessions = sample("fact_clickstream")
+    for landed in (sessions, sessions.filter("session_id % 5 <> 0")):
+        landed.write.mode("overwrite").parquet(f"{folder}/fact_clickstream.parquet")
+        snapshot, done = incremental.refresh(lake, store, names)
+    flags = spark.createDataFrame([(d.name, d.rebuilt, d.changed) for d in done], "dataset string, rebuilt boolean, changed boolean")
+    return row_counts(snapshot.table, names, "dataset").join(flags, "dataset")
+
+
+def _snapshots(spark, sf_dir):
+    """What a reader of the first build and one of the second find, after a third build that failed half way."""
+    lake = lakehouse(spark, sf_dir)
+    store = SnapshotStore(spark, _fresh_folder(spark, "snapshots"))
+    orders, lines = lake.table("silver_fact_transaction"), lake.table("silver_fact_sale")
+    readers = {}
+    for name, kept in {"first": "true", "second": "transaction_status = 'Completed'"}.items():
+        with store.begin() as build:
+            build.write("orders", orders.filter(kept))
+            build.write("lines", lines.join(build.table("orders"), "transaction_id", "left_semi"))
+        readers[name] = store.snapshot()
+    try:
+        with store.begin() as build:
+            build.write("orders", orders.limit(0))
+            build.write("lines", lines.select(F.raise_error(F.lit("half way")).alias("sale_id")))
+    except PySparkException:
+        readers["last"] = store.snapshot()
+    parts = [
+        reader.table(table).agg(F.count(F.lit(1)).alias("rows"), F.sum(amount).alias("amount"))
+        .select(F.lit(name).alias("reader"), F.lit(table).alias("table_name"), "rows", "amount")
+        for name, reader in readers.items()
+        for table, amount in {"orders": "transaction_total", "lines": "line_total"}.items()
+    ]
+    return comparable(reduce(DataFrame.unionByName, parts))
+
+
 def _mart_row_counts(spark, sf_dir):
     lake = lakehouse(spark, sf_dir)
     return row_counts(lake.table, lake.standard("mart"), "v", "n")
@@ -219,6 +270,8 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "src_schema_drift": _schema_drift,
         "src_row_counts": _row_counts,
         "sink_roundtrip": _sink_roundtrip,
+        "mv_selective_rebuild": _selective_rebuild,
+        "sink_snapshot": _snapshots,
         **{key: _dataset_query(dataset) for key, (dataset, _) in TABLES.items()},
         **{name: _dataset_query(name) for name in mart_sql(AS_OF_SQL)},
         "mart_row_counts": _mart_row_counts,
@@ -264,6 +317,8 @@ def oracle_sql() -> dict[str, str]:
         f"select * from ({marts['bi_daily_sales']}) where sale_date between '{SHOWN_FROM}' and '{SHOWN_TO}'"
     )
     composed = {name: compose(ctes, sql) for name, sql in statements.items()}
+    composed["mv_selective_rebuild"] = rebuild_sql(ctes, marts)
+    composed["sink_snapshot"] = compose(ctes, snapshot_sql())
     composed["dq_guard"] = compose(clean, guard_sql())
     if llm_queries:
         composed |= llm_queries.ORACLE_SQL

@@ -18,6 +18,7 @@ from shopledger.session import app_dir, apply_runtime_defaults
 from shopledger.sources.writer import current_version, enter, write_table
 
 LAYERS = ("bronze", "silver", "gold", "mart")
+AS_OF = "as_of"
 
 # Most marts count distinct orders: with an order's lines in one file, each task sends one row per
 # order and group to the shuffle instead of one per line.
@@ -64,19 +65,44 @@ class Lakehouse:
         root: str | None = None,
     ):
         self.spark = apply_runtime_defaults(spark)
-        self.as_of = as_of
+        self._as_of = as_of
         self._raw = raw
         self._root = root
         self._run = uuid.uuid4().hex[:12]
         self._built: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
+        self._making: list[str] = []
+        self._inputs: dict[str, set[str]] = {}
+
+    @property
+    def as_of(self) -> dt.date:
+        self._asked_for(AS_OF)
+        return self._as_of
 
     def raw(self, name: str) -> DataFrame:
         return self._memo(f"bronze.{name}", lambda: self._raw(name))
 
     def table(self, name: str) -> DataFrame:
         """The dataset as an unordered lazy DataFrame."""
-        return self._memo(name, lambda: DATASETS[name].build(self))
+        return self._memo(name, lambda: self.define(name))
+
+    def define(self, name: str) -> DataFrame:
+        """The dataset by its definition, whether or not it is stored; what the definition asks for is noted."""
+        self._inputs[name] = set()
+        self._making.append(name)
+        try:
+            return DATASETS[name].build(self)
+        finally:
+            self._making.pop()
+
+    def inputs(self, name: str) -> set[str]:
+        """What the dataset's definition has asked this lakehouse for: datasets, raw tables as ``bronze.x``, and
+        ``as_of`` for the date. Empty before it was built."""
+        return set(self._inputs.get(name, ()))
+
+    def fresh(self) -> "Lakehouse":
+        """Another lakehouse over the same raw tables and day, with nothing built or stored yet."""
+        return Lakehouse(self.spark, self._raw, self._as_of, self._root)
 
     def report(self, name: str) -> DataFrame:
         """The dataset in its presentation order."""
@@ -106,8 +132,8 @@ class Lakehouse:
         something to the rows on their way, such as expectations.
         """
         for name in names:
-            df = DATASETS[name].build(self)
-            self._keep(
+            df = self.define(name)
+            self.keep(
                 name,
                 write_table(
                     prepare(name, df) if prepare else df,
@@ -120,10 +146,11 @@ class Lakehouse:
     def store_raw(self, names: Iterable[str]) -> "Lakehouse":
         for name in names:
             key = f"bronze.{name}"
-            self._keep(key, write_table(self._raw(name), self.path(key)))
+            self.keep(key, write_table(self._raw(name), self.path(key)))
         return self
 
-    def _keep(self, key: str, stored: DataFrame) -> None:
+    def keep(self, key: str, stored: DataFrame) -> None:
+        """From now on the name means this stored table."""
         self._stored[key] = stored
         # Plans made before now would still compute this table, or read its replaced files.
         self._built.clear()
@@ -168,7 +195,12 @@ class Lakehouse:
         for schema in schemas:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
 
+    def _asked_for(self, key: str) -> None:
+        if self._making:
+            self._inputs[self._making[-1]].add(key)
+
     def _memo(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+        self._asked_for(key)
         if key in self._stored:
             return self._stored[key]
         if key not in self._built:

@@ -6,15 +6,17 @@ version and switches the file only after every row is written, so a rebuild that
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CURRENT = "_current"
 
 
-class _Folder:
+class Folder:
     """A folder on whatever file system its path names."""
 
     def __init__(self, spark: SparkSession, path: str):
@@ -50,10 +52,48 @@ class _Folder:
         context = self._hadoop.FileContext.getFileContext(self._fs.getUri(), self._conf)
         context.rename(self._fs.makeQualified(fresh), self._fs.makeQualified(self._at(name)), overwrite)
 
-    def versions(self) -> list[str]:
+    def publish(self, name: str, text: str) -> bool:
+        """Write a new file in one step; False, and no change, if there is one of that name."""
+        self._fs.mkdirs(self.path)
+        fresh = self._at(f".{name}.{uuid.uuid4().hex}")
+        stream = self._fs.create(fresh, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        context = self._hadoop.FileContext.getFileContext(self._fs.getUri(), self._conf)
+        plain = self._gateway.new_array(self._gateway.jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            context.rename(self._fs.makeQualified(fresh), self._fs.makeQualified(self._at(name)), plain)
+        except Py4JJavaError as error:
+            self._fs.delete(fresh, False)
+            if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+                return False
+            raise
+        return True
+
+    def text(self, name: str) -> str:
+        """The whole of a file that `publish` wrote."""
+        stream = self._fs.open(self._at(name))
+        try:
+            return self._gateway.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def files(self) -> list[str]:
+        if not self._fs.exists(self.path):
+            return []
+        return [f.getPath().getName() for f in self._fs.listStatus(self.path) if f.isFile()]
+
+    def versions(self, older_than_s: float | None = None) -> list[str]:
+        """Names of the folders in it; only of those not changed for so long, if that is given."""
         if not self._fs.exists(self.path):
             return []
-        return [f.getPath().getName() for f in self._fs.listStatus(self.path) if f.isDirectory()]
+        folders = [f for f in self._fs.listStatus(self.path) if f.isDirectory()]
+        if older_than_s is not None:
+            limit = (time.time() - older_than_s) * 1000
+            folders = [f for f in folders if f.getModificationTime() <= limit]
+        return [f.getPath().getName() for f in folders]
 
     def drop(self, name: str) -> None:
         self._fs.delete(self._at(name), True)
@@ -61,7 +101,7 @@ class _Folder:
 
 def current_version(spark: SparkSession, path: str) -> str | None:
     """The folder of the table's current version, or None before the first."""
-    name = _Folder(spark, path).read(CURRENT)
+    name = Folder(spark, path).read(CURRENT)
     return f"{path}/{name}" if name else None
 
 
@@ -103,7 +143,7 @@ def write_table(
     writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    folder = _Folder(spark, path)
+    folder = Folder(spark, path)
     before = folder.read(CURRENT)
     name = f"version-{uuid.uuid4().hex}"
     version = f"{path}/{name}"
