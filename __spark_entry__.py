@@ -21,7 +21,7 @@ from oracle.storage import rebuild_sql, snapshot_sql
 from oracle.star import shown, star_ctes
 from shopledger import Lakehouse, incremental
 from shopledger.operators.report import date_range, top_n
-from shopledger.quality import checks, expectations
+from shopledger.quality import checks, expectations, quarantine
 from shopledger.sources.catalog import RAW_TABLES
 from shopledger.session import app_dir
 from shopledger.sources.reader import ParquetLanding, load_parquet, normalise_headers, rescue, row_counts
@@ -238,6 +238,35 @@ def _failing_rows(check) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: comparable(check.failing_rows(lakehouse(spark, sf_dir)))
 
 
+# Of the tables with checks, what tells their rows apart.
+ROW_IDS = {
+    "silver_fact_transaction": "transaction_id",
+    "silver_fact_sale": "sale_id",
+    "silver_fact_clickstream": "session_id",
+    "silver_fact_inventory": "inventory_id",
+    "silver_dim_customer": "customer_id",
+    "silver_dim_product": "product_id",
+    "silver_dim_date": "date_id",
+    "gold_fact_transaction": "transaction_id",
+}
+
+
+def _dq_quarantine(spark, sf_dir):
+    """Every stored row of every check, read back, with all the checks that it breaks."""
+    lake = Lakehouse(spark, SampleRetail(spark, sf_dir), AS_OF, _fresh_folder(spark, "quarantine"))
+    kept = quarantine.quarantine(lake, checks.ALL_CHECKS)
+    parts = [
+        quarantine.failing_rows(kept, check).select(
+            F.lit(check.table).alias("table_name"),
+            F.lit(check.name).alias("check_name"),
+            F.col(ROW_IDS[check.table]).cast("string").alias("row_id"),
+            F.concat_ws("; ", quarantine.BROKEN).alias("broken"),
+        )
+        for check in checks.ALL_CHECKS
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _warn_report(spark, sf_dir):
     return expectations.violation_report(lakehouse(spark, sf_dir), expectations.EXPECTATIONS)
 
@@ -285,6 +314,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_constraints": _dq_constraints,
         "dq_report": _dq_report,
         "dq_guard": _dq_guard,
+        "dq_quarantine": _dq_quarantine,
         "dq_failing_rows": _failing_rows(checks.REFERENTIAL_CHECKS[0]),
         **{f"dq_failing_rows_{n}": _failing_rows(check) for n, check in enumerate(checks.ALL_CHECKS, 1)},
         "expect_warn_report": _warn_report,

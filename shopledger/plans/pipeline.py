@@ -8,18 +8,21 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from shopledger.lakehouse import Lakehouse
-from shopledger.quality import checks, expectations
+from shopledger.quality import checks, expectations, quarantine
 from shopledger.sources.catalog import RAW_TABLES
+from shopledger.sources.snapshots import Snapshot
 from shopledger.sources.writer import write_table
 
 
 @dataclass
 class RunReport:
-    """``violations`` maps (table, expectation) to its count; ``checks`` reads the stored check report."""
+    """``violations`` maps (table, expectation) to its count; ``checks`` reads the stored check report, and
+    ``quarantine`` has the rows that break checks."""
 
     rows: dict[str, int] = field(default_factory=dict)
     violations: dict[tuple[str, str], int] = field(default_factory=dict)
     checks: DataFrame | None = None
+    quarantine: Snapshot | None = None
 
 
 class ChecksFailed(RuntimeError):
@@ -41,7 +44,7 @@ def run(
     Violations of ``warn`` expectations are counted by the writes themselves, without another pass.
     The results of the checks are stored once, and report and guard read them.  With ``guard`` a
     failing check raises ``ChecksFailed``, which carries the report, after the rows behind
-    ``keep_failures`` are stored.
+    ``keep_failures`` are stored; each table's rows are read once for that, whatever the number of checks.
     """
     report = RunReport()
     watched = {}
@@ -63,8 +66,10 @@ def run(
         counts = seen.get
         report.rows[name] = counts.pop("rows")
         report.violations.update({(name, expectation): n for expectation, n in counts.items()})
-    for check in keep_failures:
-        checks.store_failing_rows(lake, check)
+    keep_failures = list(keep_failures)
+    if keep_failures:
+        report.quarantine = quarantine.quarantine(lake, keep_failures)
+        quarantine.link(lake, report.quarantine, keep_failures)
     results = write_table(checks.check_results(lake, checks.ALL_CHECKS), f"{lake.root}/_checks")
     report.checks = checks.report(results)
     if guard:

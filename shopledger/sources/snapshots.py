@@ -54,15 +54,16 @@ class Snapshot:
         """Opened without reading a footer: the snapshot has the schema."""
         found = self.tables[name]
         schema = T.StructType.fromJson(json.loads(found.schema))
-        return self._spark.read.schema(schema).parquet(f"{self._root}/{found.folder}")
+        return self._spark.read.schema(schema).parquet(self.path(name))
 
-    def version(self, name: str) -> str | None:
-        return self.tables[name].folder if name in self.tables else None
+    def path(self, name: str) -> str:
+        """The folder of the table's version."""
+        return f"{self._root}/{self.tables[name].folder}"
 
     def enter(self, names: Mapping[str, str]) -> None:
         """Name tables in the session catalogue: table -> catalogue name. Each name then means this snapshot's version."""
         for name, entered in names.items():
-            enter(self._spark, f"{self._root}/{self.tables[name].folder}", entered)
+            enter(self._spark, self.path(name), entered)
 
 
 class Build:

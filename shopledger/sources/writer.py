@@ -80,6 +80,9 @@ class Folder:
         finally:
             stream.close()
 
+    def exists(self) -> bool:
+        return self._fs.exists(self.path)
+
     def files(self) -> list[str]:
         if not self._fs.exists(self.path):
             return []
@@ -102,7 +105,17 @@ class Folder:
 def current_version(spark: SparkSession, path: str) -> str | None:
     """The folder of the table's current version, or None before the first."""
     name = Folder(spark, path).read(CURRENT)
-    return f"{path}/{name}" if name else None
+    if not name:
+        return None
+    return name if "/" in name else f"{path}/{name}"
+
+
+def point_to(spark: SparkSession, path: str, folder: str) -> bool:
+    """Let the table at ``path`` be the Parquet files of ``folder``; False, and no change, if there is no such folder."""
+    if not Folder(spark, folder).exists():
+        return False
+    Folder(spark, path).replace(CURRENT, folder)
+    return True
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
