@@ -17,9 +17,9 @@ from oracle.checks import check_sql, guard_sql, source_sql
 from oracle.compose import compose
 from oracle.marts import mart_sql
 from oracle.raw import raw_ctes
-from oracle.storage import rebuild_sql, snapshot_sql
+from oracle.storage import rebuild_sql, snapshot_sql, views_sql
 from oracle.star import shown, star_ctes
-from shopledger import Lakehouse, incremental
+from shopledger import Lakehouse, incremental, views
 from shopledger.operators.report import date_range, top_n
 from shopledger.quality import checks, expectations, quarantine
 from shopledger.sources.catalog import RAW_TABLES
@@ -204,6 +204,25 @@ def _snapshots(spark, sf_dir):
     return comparable(reduce(DataFrame.unionByName, parts))
 
 
+def _sink_views(spark, sf_dir):
+    """Three marts and a fact, by the names that SQL users know, through views in the catalogue."""
+    lake = lakehouse(spark, sf_dir)
+    marts = ["bi_revenue_by_month", "bi_sales_by_channel", "bi_sessions_by_device"]
+    store = SnapshotStore(spark, _fresh_folder(spark, "views"))
+    snapshot, _ = incremental.refresh(lake, store, ["silver_fact_clickstream", "gold_fact_sale", *marts])
+    databases = views.Databases.prefixed(f"views_{uuid.uuid4().hex[:8]}_")
+    views.create_views(spark, snapshot, databases)
+    return spark.sql(f"""
+        SELECT 'month' AS view, CAST(month_start AS STRING) AS name, CAST(net_revenue AS DOUBLE) AS amount, orders AS n
+        FROM {databases.mart}.bi_revenue_by_month
+        UNION ALL
+        SELECT 'channel', sales_channel, CAST(net_revenue AS DOUBLE), orders FROM {databases.mart}.bi_sales_by_channel
+        UNION ALL
+        SELECT 'device', device_type, CAST(conversion_rate_pct AS DOUBLE), sessions FROM {databases.mart}.bi_sessions_by_device
+        UNION ALL
+        SELECT 'sessions', traffic_source, NULL, count(*) FROM {databases.gold}.gold_fact_clickstream GROUP BY traffic_source""")
+
+
 def _mart_row_counts(spark, sf_dir):
     lake = lakehouse(spark, sf_dir)
     return row_counts(lake.table, lake.standard("mart"), "v", "n")
@@ -301,6 +320,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sink_roundtrip": _sink_roundtrip,
         "mv_selective_rebuild": _selective_rebuild,
         "sink_snapshot": _snapshots,
+        "sink_views": _sink_views,
         **{key: _dataset_query(dataset) for key, (dataset, _) in TABLES.items()},
         **{name: _dataset_query(name) for name in mart_sql(AS_OF_SQL)},
         "mart_row_counts": _mart_row_counts,
@@ -348,6 +368,7 @@ def oracle_sql() -> dict[str, str]:
     )
     composed = {name: compose(ctes, sql) for name, sql in statements.items()}
     composed["mv_selective_rebuild"] = rebuild_sql(ctes, marts)
+    composed["sink_views"] = compose(ctes, views_sql(marts))
     composed["sink_snapshot"] = compose(ctes, snapshot_sql())
     composed["dq_guard"] = compose(clean, guard_sql())
     if llm_queries:

@@ -47,3 +47,16 @@ def snapshot_sql() -> str:
             f"where exists (from s_transaction o where o.transaction_id = l.transaction_id and {condition})"
         )
     return union(parts)
+
+
+def views_sql(marts: Mapping[str, str]) -> str:
+    month, channel, device = (f"({marts[m]})" for m in ("bi_revenue_by_month", "bi_sales_by_channel", "bi_sessions_by_device"))
+    return f"""
+        select 'month' as view, month_start::VARCHAR as name, net_revenue::DOUBLE as amount, orders::BIGINT as n
+        from {month}
+        union all
+        select 'channel', sales_channel, net_revenue::DOUBLE, orders::BIGINT from {channel}
+        union all
+        select 'device', device_type, conversion_rate_pct::DOUBLE, sessions::BIGINT from {device}
+        union all
+        select 'sessions', traffic_source, null, count(*)::BIGINT from s_clickstream group by traffic_source"""
