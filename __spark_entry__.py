@@ -20,7 +20,8 @@ from oracle.raw import raw_ctes
 from oracle.storage import rebuild_sql, snapshot_sql, views_sql
 from oracle.star import shown, star_ctes
 from shopledger import Lakehouse, incremental, views
-from shopledger.operators.report import date_range, top_n
+from shopledger.operators.periods import days_where, series_between, store_by_month
+from shopledger.operators.report import top_n
 from shopledger.quality import checks, expectations, quarantine
 from shopledger.sources.catalog import RAW_TABLES
 from shopledger.session import app_dir
@@ -36,6 +37,7 @@ except ImportError:  # the text operators are an optional part
 
 AS_OF = dt.date(2002, 1, 1)
 AS_OF_SQL = f"DATE '{AS_OF}'"
+CALENDAR_DAYS = "year_quarter = '1996-Q2' AND is_weekend"
 SHOWN_FROM, SHOWN_TO = dt.date(1996, 3, 1), dt.date(1996, 5, 31)
 
 # query key -> dataset, and -> common table expression of the SQL counterpart
@@ -233,8 +235,21 @@ def _top_products(spark, sf_dir):
     return comparable(top_n(products, "net_revenue", 15, ["product_name", "category_name", "brand_name"]))
 
 
+def _orders_by_month(spark, sf_dir):
+    lake = Lakehouse(spark, SampleRetail(spark, sf_dir), AS_OF, _fresh_folder(spark, "by-month"))
+    return store_by_month(lake, ["gold_order_totals"])
+
+
 def _date_range(spark, sf_dir):
-    return comparable(date_range(lakehouse(spark, sf_dir).table("bi_daily_sales"), "sale_date", SHOWN_FROM, SHOWN_TO))
+    """Daily sales of three months, from the stored orders of those months alone."""
+    lake = _orders_by_month(spark, sf_dir)
+    return comparable(series_between(lake, "bi_daily_sales", "sale_date", SHOWN_FROM, SHOWN_TO))
+
+
+def _calendar_filter(spark, sf_dir):
+    """Daily sales on the weekends of one quarter, told by the calendar."""
+    lake = days_where(_orders_by_month(spark, sf_dir), CALENDAR_DAYS)
+    return comparable(lake.table("bi_daily_sales"))
 
 
 def _check_query(instances) -> Callable[[SparkSession, str], DataFrame]:
@@ -326,6 +341,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mart_row_counts": _mart_row_counts,
         "top_n_mart": _top_products,
         "mart_date_range": _date_range,
+        "mart_calendar_filter": _calendar_filter,
         "dq_not_null": _check_query([*checks.NOT_NULL_CHECKS, extra_not_null]),
         "dq_unique": _check_query(checks.UNIQUE_CHECKS),
         "dq_referential": _check_query(checks.REFERENTIAL_CHECKS),
@@ -366,6 +382,9 @@ def oracle_sql() -> dict[str, str]:
     statements["mart_date_range"] = (
         f"select * from ({marts['bi_daily_sales']}) where sale_date between '{SHOWN_FROM}' and '{SHOWN_TO}'"
     )
+    statements["mart_calendar_filter"] = (
+        f"select * from ({marts['bi_daily_sales']}) where sale_date in (select date from g_date where {CALENDAR_DAYS})"
+    )
     composed = {name: compose(ctes, sql) for name, sql in statements.items()}
     composed["mv_selective_rebuild"] = rebuild_sql(ctes, marts)
     composed["sink_views"] = compose(ctes, views_sql(marts))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,6 +104,16 @@ class Lakehouse:
         """Another lakehouse over the same raw tables and day, with nothing built or stored yet."""
         return Lakehouse(self.spark, self._raw, self._as_of, self._root)
 
+    def with_tables(self, tables: Mapping[str, DataFrame]) -> "Lakehouse":
+        """Another lakehouse with the same stored tables, but for these in their place."""
+        other = self.fresh()
+        for key, stored in {**self._stored, **tables}.items():
+            other.keep(key, stored)
+        return other
+
+    def is_stored(self, name: str) -> bool:
+        return name in self._stored
+
     def report(self, name: str) -> DataFrame:
         """The dataset in its presentation order."""
         order = DATASETS[name].order
