@@ -42,18 +42,19 @@ def _runs(batch: pa.RecordBatch, keys: list[str]) -> Iterator[tuple[tuple, pa.Re
 def answers(
     rows: DataFrame,
     questions: DataFrame,
-    shards: int,
+    shards: int | None,
     shard_of: Callable[[], Shard],
     schema: str,
     within: Iterable[str] = (),
 ) -> DataFrame:
     """What the shards answer. Both tables have a column `shard`; `within` names integer columns whose values are
-    never mixed in one shard. Other columns may differ: those that one side lacks are null in its rows."""
+    never mixed in one shard. Other columns may differ: those that one side lacks are null in its rows. Without a
+    number of `shards` the session decides how many tasks there are."""
     keys = [*within, "shard"]
     both = rows.withColumn("asks", F.lit(0)).unionByName(
         questions.withColumn("asks", F.lit(1)), allowMissingColumns=True
     )
-    ordered = both.repartition(max(shards, 1), *keys).sortWithinPartitions(*keys, "asks")
+    ordered = both.repartition(*([max(shards, 1)] if shards else []), *keys).sortWithinPartitions(*keys, "asks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here: Shard | None = None

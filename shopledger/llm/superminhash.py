@@ -19,31 +19,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopledger.llm.components import components
+from shopledger.llm.shards import answers
 from shopledger.llm.tables import small_batches, written
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 UNSET = np.uint64((1 << 64) - 1)
 LOW = np.uint64((1 << 32) - 1)
-ALL = 1 << 31
 
 
 @dataclass(frozen=True)
 class Linking:
     """Sets link where 100 * intersection >= percent * union.
 
-    Two sets of similarity s share a band with a chance of 1 - (1 - s^rows)^bands, which for 40 bands of 5 rows is
-    0.9999999 at 0.8. Pairs that share one are verified if at least `least_share` of their slots are equal: 0.18 below
-    0.8 is over six standard errors. `windows`: how many of a set's likeliest partners in a bucket are tried, round by
-    round; the last round tries all.
+    Two sets of similarity s share a band with a chance of 1 - (1 - s^rows)^bands, which for 32 bands of 5 rows is
+    0.999997 at 0.8. All pairs that share one are decided by their full sets. `cell_sets` and `cell_shingles` bound
+    what a task holds at a time; up to `broadcast_keys` keys are sent to every task, more are joined by a shuffle.
     """
 
     shingle: int = 2
     percent: int = 80
-    bands: int = 40
+    bands: int = 32
     rows: int = 5
-    least_share: float = 0.62
-    cell: int = 1024
-    windows: tuple[int, ...] = (2, 32)
+    cell_sets: int = 1024
+    cell_shingles: int = 1 << 20
+    broadcast_keys: int = 1_000_000
     seed: int = 42
 
     @property
@@ -109,24 +108,23 @@ def signatures(hashes: np.ndarray, owners: np.ndarray, sets: int, slots: int) ->
 
 
 def signed_sets(docs: DataFrame, id_col: str, text_col: str, options: Linking) -> DataFrame:
-    """For every row: doc_id, its number, n_shingles, 128 bits that tell its set (d1, d2) and its text (t1, t2), a key
-    for every band, and the last byte of every slot. No shuffle."""
+    """For every row: doc_id, its number, n_shingles, 128 bits that tell its set (d1, d2) and its text (t1, t2), and a
+    key for every band. No shuffle."""
     small_batches(docs.sparkSession)
     text = F.col(f"`{text_col}`").cast("binary")
     picked = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), *_text_keys(text))
-    schema = "doc_id long, n_shingles long, d1 long, d2 long, t1 long, t2 long, bands array<long>, ends binary"
+    schema = "doc_id long, n_shingles long, d1 long, d2 long, t1 long, t2 long, bands array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t, options.shingle, options.seed) for t in batch.column("text").to_pylist()]
             sizes = np.array([len(s) for s in sets], np.int64)
             slots = _signed(sets, sizes, options.slots)
-            keys = np.zeros((len(sets), options.bands), np.uint64)
+            keys = np.tile(np.arange(options.bands, dtype=np.uint64), (len(sets), 1))
             for k in range(options.rows):
                 keys = mixed(keys * GOLDEN + slots[:, k :: options.rows])
             digests = [xxhash.xxh128_intdigest(s.tobytes()) for s in sets]
             halves = np.array([[d >> 64, d & ((1 << 64) - 1)] for d in digests], np.uint64).reshape(-1, 2).view(np.int64)
-            ends = (mixed(slots) & np.uint64(255)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -139,9 +137,8 @@ def signed_sets(docs: DataFrame, id_col: str, text_col: str, options: Linking) -
                         pa.array(np.arange(len(sets) + 1, dtype=np.int32) * options.bands),
                         pa.array(keys.view(np.int64).reshape(-1)),
                     ),
-                    pa.array([e.tobytes() for e in ends], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "d1", "d2", "t1", "t2", "bands", "ends"],
+                ["doc_id", "n_shingles", "d1", "d2", "t1", "t2", "bands"],
             )
 
     return picked.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
@@ -164,166 +161,167 @@ def _text_keys(text) -> list:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, text_col: str, options: Linking) -> DataFrame:
-    """(node, shingles) for the nodes of `wanted` (node, t1, t2), read again from the texts. Copies of a text are one
-    before it is cut up."""
+    """(node, n, shingles) for the nodes of `wanted` (node, n, t1, t2), read again from the texts. Copies of a text are
+    one before it is cut up."""
     text = F.col(f"`{text_col}`").cast("binary")
     keyed = docs.filter(text.isNotNull()).select(text.alias("text"), *_text_keys(text))
-    texts = keyed.join(wanted.select("t1", "t2"), ["t1", "t2"], "left_semi").groupBy("t1", "t2").agg(
-        F.min("text").alias("text")
-    )
-    found = texts.join(wanted, ["t1", "t2"]).select("node", "text")
+    keys = wanted.select("t1").distinct()
+    if wanted.count() <= options.broadcast_keys:
+        keys = F.broadcast(keys)
+    texts = keyed.join(keys, "t1", "left_semi").groupBy("t1", "t2").agg(F.min("text").alias("text"))
+    found = texts.join(wanted, ["t1", "t2"]).select("node", "n", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t, options.shingle, options.seed) for t in batch.column("text").to_pylist()]
             shingles = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("node"), shingles], ["node", "shingles"])
+            columns = [batch.column("node"), batch.column("n"), shingles]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "shingles"])
+
+    return found.mapInArrow(run, "node long, n long, shingles array<long>")
+
 
-    return found.mapInArrow(run, "node long, shingles array<long>")
+def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of a batch, and how many each row has."""
+    column = batch.column("shingles")
+    return column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int, together: int = 256) -> DataFrame:
-    """Those of `pairs` (a, b) whose full sets are alike enough.
+class _Cell:
+    """Some sets of a group as an index from shingle to sets; sources that come by are linked to them.
 
-    A set that is in very many pairs as `a` is copied once for every `together` of them, so that no task has to hold
-    all of its pairs.
+    A source is compared with all of them by counting common shingles. Of its links only those are returned that join
+    two parts not known to hang together, so a cell returns fewer links than it has met sets.
     """
-    load = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / together).cast("int").alias("salts"))
-    left = (
-        load.join(sets.withColumnsRenamed({"node": "a", "shingles": "left"}), "a")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-        .select("a", "salt", "left")
-    )
-    right = pairs.join(load, "a").join(sets.withColumnsRenamed({"node": "b", "shingles": "right"}), "b")
-    right = right.select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), "right")
-    common = F.size(F.array_intersect("left", "right"))
-    both = F.size("left") + F.size("right") - common
-    return right.join(left, ["a", "salt"]).filter(100 * common.cast("long") >= percent * both.cast("long")).select("a", "b")
-
-
-def _partners(options: Linking, window: int):
-    """For rows sorted by cell: of each source the pairs with its `window` likeliest targets of other roots, and one
-    more pair marked `beyond` if there are others."""
-    least = int(np.ceil(options.least_share * options.slots))
-
-    def pairs(cell: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        source = cell["source"]
-        targets = {k: v[~source] for k, v in cell.items()}
-        sources = {k: v[source] for k, v in cell.items()}
-        for at in range(len(sources["node"])):
-            sizes = targets["n"], sources["n"][at]
-            alike = 100 * np.minimum(*sizes) >= options.percent * np.maximum(*sizes)
-            places = np.flatnonzero(alike & (targets["root"] != sources["root"][at]))
-            equal = (targets["ends"][places] == sources["ends"][at]).sum(axis=1)
-            places, equal = places[equal >= least], equal[equal >= least]
-            places = places[np.lexsort((targets["node"][places], -equal))][: window + 1]
-            yield np.full(len(places), sources["node"][at]), targets["node"][places], np.arange(len(places)) >= window
-
-    def of_cell(parts: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
-        cell = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
-        found = list(pairs(cell))
-        x, y, beyond = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64),) * 3
-        columns = [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(beyond.astype(bool))]
-        return pa.RecordBatch.from_arrays(columns, ["a", "b", "beyond"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, parts = None, []
-        for batch in batches:
-            if not batch.num_rows:
+    SCHEMA = "a long, b long"
+
+    def __init__(self, options: Linking):
+        self.options = options
+        self.batches: list[pa.RecordBatch] = []
+        self.joined: dict[int, int] = {}
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        self.batches.append(rows)
+
+    def _top(self, root: int) -> int:
+        while root in self.joined:
+            root = self.joined[root]
+        return root
+
+    def _built(self) -> bool:
+        if self.batches:
+            shingles, sizes = (np.concatenate(x) for x in zip(*map(_lists, self.batches)))
+            self.nodes, self.roots = (
+                np.concatenate([b.column(c).to_numpy() for b in self.batches]) for c in ("node", "root")
+            )
+            self.sizes = sizes.astype(np.int64)
+            owners = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.argsort(shingles, kind="stable")
+            self.owners = owners[order]
+            self.known, starts = np.unique(shingles[order], return_index=True)
+            self.starts = np.append(starts, len(shingles))
+            self.batches = []
+        return hasattr(self, "nodes")
+
+    def _common(self, shingles: np.ndarray) -> np.ndarray:
+        """For every set of the cell, how many of these shingles it has."""
+        at = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
+        at = at[self.known[at] == shingles]
+        starts, counts = self.starts[at], self.starts[at + 1] - self.starts[at]
+        before = np.cumsum(counts) - counts
+        places = np.repeat(starts - before, counts) + np.arange(counts.sum())
+        return np.bincount(self.owners[places], minlength=len(self.nodes))
+
+    def answer(self, questions: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if not self._built():
+            return
+        shingles, sizes = _lists(questions)
+        ends = np.cumsum(sizes)
+        found = []
+        nodes, roots = (questions.column(c).to_pylist() for c in ("node", "root"))
+        for node, root, start, end in zip(nodes, roots, (ends - sizes).tolist(), ends.tolist()):
+            root = self._top(root)
+            other = self.roots != root
+            if not other.any():
                 continue
-            columns = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("node", "n", "root", "source")}
-            joined = b"".join(batch.column("ends").to_pylist())
-            columns["ends"] = np.frombuffer(joined, np.uint8).reshape(-1, options.slots)
-            keys = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in ("band", "key", "p", "q")], axis=1)
-            edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            for start, end in zip([0, *edges.tolist()], [*edges.tolist(), len(keys)]):
-                found = tuple(keys[start].tolist())
-                if parts and found != key:
-                    yield of_cell(parts)
-                    parts = []
-                key = found
-                parts.append({k: v[start:end] for k, v in columns.items()})
-        if parts:
-            yield of_cell(parts)
-
-    return run
-
-
-def candidate_pairs(placed: DataFrame, roots: DataFrame, options: Linking, window: int) -> DataFrame:
-    """(a, b, beyond): likely pairs of different roots, from buckets that hold several.
-
-    `placed` has band, key, node, n, ends; `roots` node and root. In a bucket the rows outside its most frequent root
-    are sources, and all rows are targets; so of a bucket that is one group but for a few rows, only those few are
-    compared with the rest. Sources and targets are dealt to cells of bounded size, every part of the one meeting every
-    part of the other.
+            common = self._common(shingles[start:end])
+            alike = 100 * common >= self.options.percent * (self.sizes + (end - start) - common)
+            while (places := np.flatnonzero(alike & (self.roots != root))).size:
+                found.append((node, int(self.nodes[places[0]])))
+                other_root = int(self.roots[places[0]])
+                self.joined[root] = other_root
+                self.roots[self.roots == root] = other_root
+                root = other_root
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], ["a", "b"])
+
+
+def links_of(targets: DataFrame, sources: DataFrame, sets: DataFrame, options: Linking) -> DataFrame:
+    """Links (a, b) that connect sources with the targets of their groups as far as links between them do.
+
+    Both have group, node and root. A group's targets are dealt to cells of bounded size, by number and by shingles;
+    its sources pass by every cell of it. Pairs of one root are left out.
     """
-    rooted = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    per_root = rooted.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("rows"))
-    buckets = (
-        per_root.groupBy("band", "key")
-        .agg(
-            F.max(F.struct("rows", "root")).alias("most"),
-            F.sum("rows").alias("rows"),
-            F.count(F.lit(1)).alias("n_roots"),
-        )
-        .filter("n_roots > 1")
-        .select(
-            "band",
-            "key",
-            F.col("most.root").alias("major"),
-            F.ceil(F.col("rows") / options.cell).cast("int").alias("parts"),
-            F.ceil((F.col("rows") - F.col("most.rows")) / options.cell).cast("int").alias("blocks"),
-        )
-    )
-    busy = rooted.join(buckets, ["band", "key"])
-    spread = F.xxhash64("node")
-    columns = ["band", "key", "p", "q", "node", "n", "root", "ends", "source"]
-    targets = busy.withColumn("p", F.pmod(spread, F.col("parts")).cast("int")).withColumn(
-        "q", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    load = targets.join(sets.select("node", "n"), "node").groupBy("group").agg(
+        F.greatest(
+            F.ceil(F.count(F.lit(1)) / options.cell_sets), F.ceil(F.sum("n") / options.cell_shingles)
+        ).cast("int").alias("cells")
     )
-    sources = (
-        busy.filter("root <> major")
-        .withColumn("q", F.pmod(spread, F.col("blocks")).cast("int"))
-        .withColumn("p", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    )
-    cells = targets.withColumn("source", F.lit(False)).select(*columns)
-    cells = cells.unionByName(sources.withColumn("source", F.lit(True)).select(*columns))
-    keys = ["band", "key", "p", "q"]
-    found = cells.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
-        _partners(options, window), "a long, b long, beyond boolean"
-    )
-    # a pair that some cell may try now is tried now
-    return found.groupBy("a", "b").agg(F.min("beyond").alias("beyond"))
+    cell = F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")
+    columns = ["group", "shard", "node", "root", "shingles"]
+    held = targets.join(load, "group").withColumn("shard", cell)
+    asked = sources.join(load, "group").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    held, asked = (x.join(sets, "node").select(*columns) for x in (held, asked))
+    return answers(held, asked, None, lambda: _Cell(options), _Cell.SCHEMA, ["group"])
 
 
 def linked_nodes(spark: SparkSession, docs: DataFrame, nodes: DataFrame, text_col: str, options: Linking) -> DataFrame:
-    """(node, root) of the nodes that have a link. `nodes`: node, n, t1, t2, bands, ends, stored.
-
-    Pairs that were refuted are not tried again; pairs inside a component need no trial."""
-    keys = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    shared = keys.groupBy("band", "key").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("hub"))
-    shared = shared.filter("rows > 1").drop("rows")
-    placed = written(spark, keys.join(shared, ["band", "key"]), "buckets")
-    met = placed.select("node").distinct()
-    sets = written(spark, full_sets(docs, nodes.join(met, "node").select("node", "t1", "t2"), text_col, options), "sets")
-    # first every node with the least of its buckets' hubs: a large group is one component after that
-    hubs = placed.groupBy("node").agg(F.min("hub").alias("a")).filter("a < node")
-    tried = written(spark, hubs.select("a", F.col("node").alias("b")), "pairs")
-    links = written(spark, verified(tried, sets, options.percent), "links")
-    signs = nodes.select("node", "n", "ends")
-    in_buckets = placed.select("band", "key", "node").join(signs, "node")
-    roots = components(spark, links)
-    for window in (*options.windows, ALL):
-        found = candidate_pairs(in_buckets, roots, options, window)
-        found = written(spark, found.join(tried, ["a", "b"], "left_anti"), "pairs")
-        now = found.filter("NOT beyond").select("a", "b")
-        if not now.isEmpty():
-            links = written(spark, links.unionByName(verified(now, sets, options.percent)), "links")
-            tried = written(spark, tried.unionByName(now), "tried")
-            roots = components(spark, links)
-        if found.filter("beyond").isEmpty():
-            break
-    return roots
+    """(node, root) of the nodes that have a link. `nodes`: node, n, t1, t2, bands, stored.
+
+    A bucket's hub is its least node, and a node's home the least hub of its buckets. First every node is compared with
+    its home, which makes one component of most of a large group; then those left over with all nodes of their home;
+    at last those left over in a bucket with all nodes of the other homes in it. So any two nodes that share a bucket
+    are in one component, or have been compared; and a node's set is sent once to its home, and as a source once to
+    every other home that it has to be compared with.
+    """
+    keys = nodes.select("node", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("hub"))
+    placed = written(spark, keys.join(shared.filter("rows > 1").drop("rows"), "key"), "buckets")
+    homes = written(spark, placed.groupBy("node").agg(F.min("hub").alias("group")), "homes")
+    wanted = nodes.select("node", "n", "t1", "t2").join(homes.select("node"), "node")
+    sets = written(spark, full_sets(docs, wanted, text_col, options), "sets")
+
+    alone = homes.withColumn("root", F.col("node"))
+    hubs = homes.select(F.col("group").alias("node")).distinct().select("node", "node", "node").toDF("group", "node", "root")
+    links = written(spark, links_of(alone.filter("node <> group"), hubs, sets, options), "links")
+
+    rooted = _rooted(homes, components(spark, links))
+    minor = _minor(rooted, "group")
+    held = rooted.join(minor.select("group").distinct(), "group", "left_semi")
+    more = links_of(held, minor, sets, options)
+    links = written(spark, links.unionByName(more), "links")
+
+    rooted = written(spark, _rooted(homes, components(spark, links)), "rooted")
+    left = _minor(placed.select("key", "node").join(rooted, "node"), "key")
+    others = placed.select("key", "node").join(rooted.select("node", F.col("group").alias("home")), "node")
+    others = others.select("key", "home").distinct()
+    abroad = left.join(others, "key").filter("home <> group").select(F.col("home").alias("group"), "node", "root")
+    abroad = written(spark, abroad.distinct(), "abroad")
+    held = rooted.join(abroad.select("group").distinct(), "group", "left_semi")
+    links = written(spark, links.unionByName(links_of(held, abroad, sets, options)), "links")
+    return components(spark, links)
+
+
+def _rooted(homes: DataFrame, roots: DataFrame) -> DataFrame:
+    return homes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _minor(rooted: DataFrame, by: str) -> DataFrame:
+    """The rows outside the most frequent root of their `by`."""
+    counts = rooted.groupBy(by, "root").agg(F.count(F.lit(1)).alias("rows"))
+    most = counts.groupBy(by).agg(F.max(F.struct("rows", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
+    return rooted.join(most.filter("roots > 1"), by).filter("root <> most.root").drop("most", "roots")
 
 
 def superminhash_components(
@@ -331,10 +329,9 @@ def superminhash_components(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row: near-duplicates by the similarity of shingle sets.
 
-    Equal sets are one node from the start, so copies cost a count and not pairs. Nodes that share a band are grouped
-    by verified links: first with the least node of their buckets, then, where a bucket still holds several groups,
-    with the likeliest partners of other groups, and at last with all that may be alike. Every link is confirmed by
-    the full sets; texts are read a second time for those of nodes that share a band with another.
+    Equal sets are one node from the start, so copies cost a count and not pairs. Every two nodes that share a band are
+    decided by their full sets, unless links already connect them; texts are read a second time for the sets of nodes
+    that share a band with another.
 
     Defined cases: a text that is null, empty or has no words has 0 shingles and is linked with nothing; fewer words
     than the shingle length make one shingle; a missing id takes part but names no component unless all ids of its
@@ -344,7 +341,7 @@ def superminhash_components(
     spark: SparkSession = docs.sparkSession
     rows = written(spark, signed_sets(docs, id_col, text_col, options), "superminhash")
     worded = rows.filter("n_shingles > 0")
-    least = F.min(F.struct("row", "n_shingles", "t1", "t2", "bands", "ends")).alias("of")
+    least = F.min(F.struct("row", "n_shingles", "t1", "t2", "bands")).alias("of")
     nodes = worded.groupBy("d1", "d2").agg(least, F.min("doc_id").alias("least_id"))
     nodes = nodes.select("d1", "d2", "least_id", F.col("of.row").alias("node"), F.col("of.n_shingles").alias("n"), "of.*")
     nodes = written(spark, nodes.drop("row", "n_shingles"), "nodes")

@@ -7,10 +7,10 @@ import numpy as np
 import pytest
 
 from rows import TEXTS, clashing, collected, documents
-from shopledger.llm import superminhash
 from shopledger.llm.superminhash import Linking, mixed, shingle_set, signatures, superminhash_components
 
-SMALL = Linking(cell=4, windows=(1, 2))
+SMALL = Linking(cell_sets=4, broadcast_keys=0)
+FEW_SHINGLES = Linking(cell_shingles=100)
 
 
 def _plain_set(text):
@@ -104,7 +104,7 @@ def _copies(seed):
     return rows
 
 
-@pytest.mark.parametrize("options", [Linking(), SMALL])
+@pytest.mark.parametrize("options", [Linking(), SMALL, FEW_SHINGLES])
 def test_components_equal_all_pairs(spark, options):
     rows = _copies(7)
     found = collected(superminhash_components(spark.createDataFrame(rows, "doc_id long, text string"), options=options))
@@ -113,14 +113,16 @@ def test_components_equal_all_pairs(spark, options):
     assert len({r[2] for r in expected}) < len(rows) - 40
 
 
-def test_all_pairs_of_a_bucket_are_tried_where_the_first_fail(spark, monkeypatch):
-    """Sets in a row, each linked with the next alone, all in common buckets."""
+def test_all_that_share_a_bucket_are_compared(spark):
+    """Sets in a row, each linked with the next alone, in a few common buckets, with homes of their own."""
     width, step = 90, 9
-    rows = [(i, " ".join(f"w{k}" for k in range(i * step, i * step + width + 1))) for i in range(12)]
-    many = Linking(bands=200, rows=1, least_share=0.0, cell=4, windows=(1,))
-    found = collected(superminhash_components(spark.createDataFrame(rows, "doc_id long, text string"), options=many))
-    assert found == _plain_components(rows)
-    assert {r[2] for r in found} == {0}
+    order = [5, 0, 7, 3, 9, 1, 11, 2, 8, 4, 10, 6]
+    rows = [(i, " ".join(f"w{k}" for k in range(at * step, at * step + width + 1))) for i, at in enumerate(order)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for options in (Linking(bands=200, rows=1), Linking(bands=50, rows=6, cell_sets=2)):
+        found = collected(superminhash_components(docs, options=options))
+        assert found == _plain_components(rows)
+        assert {r[2] for r in found} == {0}
 
 
 def test_hard_texts_and_none(spark):
@@ -129,4 +131,3 @@ def test_hard_texts_and_none(spark):
     assert collected(superminhash_components(docs)) == expected
     assert collected(superminhash_components(clashing(docs), options=SMALL)) == expected
     assert collected(superminhash_components(documents(spark, []))) == []
-    assert superminhash.ALL > 1 << 30
