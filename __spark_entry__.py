@@ -305,6 +305,17 @@ def _warn_report(spark, sf_dir):
     return expectations.violation_report(lakehouse(spark, sf_dir), expectations.EXPECTATIONS)
 
 
+def _observed(spark, sf_dir):
+    """The violations of every expectation, counted by the writes of a build of both families."""
+    lake = Lakehouse(spark, SampleRetail(spark, sf_dir), AS_OF, _fresh_folder(spark, "observed"))
+    watch = expectations.Watch()
+    tables = dict.fromkeys(e.table for e in expectations.EXPECTATIONS)
+    lake.store(sorted(tables, key=lambda table: table.startswith("gold")), prepare=watch.attach)
+    return spark.createDataFrame(
+        watch.counts(), "table_name string, expectation string, action string, rows long, violations long"
+    )
+
+
 def _fail_pass(spark, sf_dir):
     tables = list(dict.fromkeys(e.table for e in expectations.EXPECTATIONS))
     return expectations.enforced_counts(lakehouse(spark, sf_dir), tables)
@@ -354,6 +365,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_failing_rows": _failing_rows(checks.REFERENTIAL_CHECKS[0]),
         **{f"dq_failing_rows_{n}": _failing_rows(check) for n, check in enumerate(checks.ALL_CHECKS, 1)},
         "expect_warn_report": _warn_report,
+        "expect_observed": _observed,
         "expect_fail_pass": _fail_pass,
     }
 

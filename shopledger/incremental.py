@@ -12,6 +12,7 @@ import hashlib
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 from graphlib import TopologicalSorter
 from urllib.parse import unquote
 
@@ -155,9 +156,10 @@ def refresh(
                 if stale == () and name not in again:
                     done.append(Refreshed(name, False, False))
                     continue
-                df = reading.define(name)
-                df = prepare(name, df) if prepare else df
-                written = pool.submit(build.write, name, df, inputs, STORED_CLUSTERING.get(name, ()))
+                finish = partial(prepare, name) if prepare else None
+                written = pool.submit(
+                    build.write, name, reading.define(name), inputs, STORED_CLUSTERING.get(name, ()), finish=finish
+                )
                 tasks.append((name, stale, written))
             done += [Refreshed(name, True, written.result(), stale) for name, stale, written in tasks]
             for name in (x for x in wave if x in names):

@@ -11,6 +11,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -142,15 +143,13 @@ class Lakehouse:
         something to the rows on their way, such as expectations.
         """
         for name in names:
-            df = self.define(name)
-            self.keep(
-                name,
-                write_table(
-                    prepare(name, df) if prepare else df,
-                    self.path(name),
-                    cluster_by=STORED_CLUSTERING.get(name, ()),
-                ),
+            stored = write_table(
+                self.define(name),
+                self.path(name),
+                cluster_by=STORED_CLUSTERING.get(name, ()),
+                finish=partial(prepare, name) if prepare else None,
             )
+            self.keep(name, stored)
         return self
 
     def store_raw(self, names: Iterable[str]) -> "Lakehouse":

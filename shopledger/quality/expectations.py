@@ -102,6 +102,40 @@ def observe(df: DataFrame, expectations: Sequence[Expectation]) -> tuple[DataFra
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
 
 
+class Watch:
+    """Counts what expectations find in the rows that a build writes, without reading them again.
+
+    Give ``attach`` to the build as what prepares the rows: it counts all of a table's expectations, of both actions,
+    and unless told otherwise stops the build at a row that breaks a ``fail`` one.
+    """
+
+    def __init__(self, expectations: Sequence[Expectation] = tuple(EXPECTATIONS), stop: bool = True):
+        self._stop = stop
+        self._by_table: dict[str, list[Expectation]] = {}
+        for e in expectations:
+            self._by_table.setdefault(e.table, []).append(e)
+        self._seen: dict[str, Observation] = {}
+
+    def attach(self, table: str, df: DataFrame) -> DataFrame:
+        declared = self._by_table.get(table)
+        if not declared:
+            return df
+        seen = self._seen[table] = Observation()
+        counts = [F.count_if(e.violated()).alias(f"c{i}") for i, e in enumerate(declared)]
+        # counted below the filter that stops the build: a row is counted also where it is the one that stops it
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
+        return enforce(counted, declared) if self._stop else counted
+
+    def counts(self) -> list[tuple[str, str, str, int, int]]:
+        """(table, expectation, action, rows, violations) of the tables written so far."""
+        found = []
+        for table, seen in self._seen.items():
+            got = seen.get
+            for i, e in enumerate(self._by_table[table]):
+                found.append((table, e.name, e.action, got["rows"], got[f"c{i}"]))
+        return found
+
+
 def violation_report(lake: Lakehouse, expectations: Sequence[Expectation]) -> DataFrame:
     """One row per expectation with rows and violations, one pass per table."""
     by_table: dict[str, list[Expectation]] = {}

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -84,15 +84,18 @@ class Build:
         inputs: Mapping[str, str] | None = None,
         cluster_by: Sequence[str] = (),
         partition_by: Sequence[str] = (),
+        finish: Callable[[DataFrame], DataFrame] | None = None,
     ) -> bool:
         """Write a new version of a table; False if its rows are those of the version before, which then stays.
 
         Rows are counted and summed up by the tasks that write them, after any exchange that clustering needs, so a
-        task or executor that is lost and run again counts once.
+        task or executor that is lost and run again counts once. ``finish`` is applied there too.
         """
         folder = f"{name}/version-{uuid.uuid4().hex}"
         if cluster_by:
             df = df.hint("rebalance", *cluster_by)
+        if finish:
+            df = finish(df)
         seen = Observation()
         # of a row and of its number in a fixed range: no overflow, and a row twice doesn't cancel out
         hashed = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -134,6 +134,7 @@ def write_table(
     bucket_by: Sequence[str] = (),
     buckets: int = 0,
     partition_by: Sequence[str] = (),
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Replace the table at ``path`` by ``df`` and return a reader of it.
 
@@ -145,6 +146,9 @@ def write_table(
     bucketed alike on a key join and group on it without a shuffle, but one task reads a whole
     bucket: use it for keys without a dominant value.
 
+    ``finish`` is applied to the rows as they are written, above any exchange; what it observes is counted by the
+    tasks that write, once each, also where a task before them has to run again.
+
     ``df`` may read the table itself: its current version stays until the next rebuild.
     """
     spark = df.sparkSession
@@ -153,6 +157,8 @@ def write_table(
         raise ValueError("a bucketed table needs a table name")
     if cluster_by:
         df = df.hint("rebalance", *cluster_by)
+    if finish:
+        df = finish(df)
     writer = df.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
