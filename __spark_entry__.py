@@ -15,13 +15,14 @@ from pyspark.sql import types as T
 import shopledger.plans  # noqa: F401  (registers the datasets)
 from oracle.checks import check_sql, guard_sql, source_sql
 from oracle.compose import compose
-from oracle.marts import mart_sql
+from oracle.marts import grains_sql, mart_sql
 from oracle.raw import raw_ctes
 from oracle.storage import rebuild_sql, snapshot_sql, views_sql
 from oracle.star import shown, star_ctes
 from shopledger import Lakehouse, incremental, views
 from shopledger.operators.periods import days_where, series_between, store_by_month
 from shopledger.operators.report import top_n
+from shopledger.plans.marts import sales_grains
 from shopledger.quality import checks, expectations, quarantine
 from shopledger.sources.catalog import RAW_TABLES
 from shopledger.session import app_dir
@@ -252,6 +253,11 @@ def _calendar_filter(spark, sf_dir):
     return comparable(lake.table("bi_daily_sales"))
 
 
+def _sales_grains(spark, sf_dir):
+    """The marts of orders by month, day, channel, store, region and weekday in one pass."""
+    return comparable(sales_grains(lakehouse(spark, sf_dir)))
+
+
 def _check_query(instances) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: checks.check_results(lakehouse(spark, sf_dir), instances)
 
@@ -353,6 +359,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_n_mart": _top_products,
         "mart_date_range": _date_range,
         "mart_calendar_filter": _calendar_filter,
+        "mart_sales_grains": _sales_grains,
         "dq_not_null": _check_query([*checks.NOT_NULL_CHECKS, extra_not_null]),
         "dq_unique": _check_query(checks.UNIQUE_CHECKS),
         "dq_referential": _check_query(checks.REFERENTIAL_CHECKS),
@@ -397,6 +404,7 @@ def oracle_sql() -> dict[str, str]:
     statements["mart_calendar_filter"] = (
         f"select * from ({marts['bi_daily_sales']}) where sale_date in (select date from g_date where {CALENDAR_DAYS})"
     )
+    statements["mart_sales_grains"] = grains_sql()
     composed = {name: compose(ctes, sql) for name, sql in statements.items()}
     composed["mv_selective_rebuild"] = rebuild_sql(ctes, marts)
     composed["sink_views"] = compose(ctes, views_sql(marts))

@@ -413,3 +413,30 @@ def _alternative() -> dict[str, str]:
 
 def mart_sql(as_of: str) -> dict[str, str]:
     return {name: sql.replace("AS_OF", as_of) for name, sql in (_standard() | _alternative()).items()}
+
+
+def grains_sql() -> str:
+    """The marts of orders at all their grains, one below the other."""
+    columns = {
+        "month_start": "DATE", "sale_date": "DATE", "sales_channel": "VARCHAR", "store_id": "BIGINT",
+        "store_name": "VARCHAR", "city": "VARCHAR", "state_province": "VARCHAR", "store_type": "VARCHAR",
+        "country": "VARCHAR", "day_of_week": "INT", "day_name": "VARCHAR",
+    }
+    store = "g_sale join g_store using (store_id)"
+    grains = {
+        "month": ("g_sale", {"month_start": "date_trunc('month', transaction_timestamp)::DATE"}),
+        "day": ("g_sale", {"sale_date": "transaction_timestamp::DATE"}),
+        "channel": ("g_sale", {"sales_channel": "sales_channel"}),
+        "store": (store, {k: k for k in ("store_id", "store_name", "city", "state_province", "store_type")}),
+        "region": (store, {k: k for k in ("country", "state_province", "city")}),
+        "weekday": ("g_sale join g_date on transaction_date_id = date_id", {k: k for k in ("day_of_week", "day_name")}),
+    }
+    figures = f"""
+        round(sum(net_line_revenue) {DONE}, 2)::DOUBLE as net_revenue,
+        round(sum(net_line_profit) {DONE}, 2)::DOUBLE as gross_profit,
+        (count(distinct transaction_id) {DONE})::BIGINT as orders, (sum(quantity) {DONE})::BIGINT as units_sold"""
+    parts = []
+    for grain, (source, keys) in grains.items():
+        shown = ", ".join(f"({keys.get(c, 'null')})::{kind} as {c}" for c, kind in columns.items())
+        parts.append(f"select '{grain}' as grain, {shown}, {figures} from {source} group by all")
+    return "\nunion all ".join(parts)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,3 +89,58 @@ def rollup_distinct_via(
         {name: F.col(f"__s_{name}") for name in sums},
         {name: F.col(f"__f_{name}") for name in flags},
     )
+
+
+@dataclass(frozen=True)
+class Grain:
+    """A grouping by `keys`, of the rows for which `rows` is true (all, if None)."""
+
+    name: str
+    keys: tuple[str, ...]
+    rows: Column | None = None
+
+
+def rollup_grains(
+    df: DataFrame,
+    grains: Sequence[Grain],
+    entity: str,
+    sums: Mapping[str, Column],
+    flags: Mapping[str, Column],
+) -> DataFrame:
+    """``rollup_distinct`` at several grains from one reading of ``df``: a row for each grain and group, with the
+    grain's name in ``grain`` and NULL in the key columns that it doesn't have.
+
+    The rows are shuffled once, by entity, and only then copied for each grain: an entity's copies are where they are
+    needed, so the step that makes one row of an entity in a group takes no exchange, and what leaves it is added up
+    per group before the last, small one. Rows without an entity add to the sums only; they are spread by their keys.
+    """
+    keys = list(dict.fromkeys(key for grain in grains for key in grain.keys))
+    spread = F.when(F.col(entity).isNotNull(), F.xxhash64(F.lit(0), entity)).otherwise(F.xxhash64(F.lit(1), *keys))
+    narrow = df.select(
+        F.col(entity).alias("__entity"),
+        spread.alias("__spread"),
+        *keys,
+        *[value.alias(f"__s_{name}") for name, value in sums.items()],
+        *[flag.alias(f"__f_{name}") for name, flag in flags.items()],
+        *[grain.rows.alias(f"__r_{grain.name}") for grain in grains if grain.rows is not None],
+    )
+    types = dict(narrow.dtypes)
+    copies = []
+    for grain in grains:
+        own = [(F.col(k) if k in grain.keys else F.lit(None).cast(types[k])).alias(k) for k in keys]
+        copy = F.struct(F.lit(grain.name).alias("grain"), *own)
+        copies.append(copy if grain.rows is None else F.when(F.col(f"__r_{grain.name}"), copy))
+    measures = [c for c in narrow.columns if c.startswith(("__s_", "__f_"))]
+    copied = narrow.repartition("__spread").select(
+        "__entity", "__spread", *measures, F.explode(F.array_compact(F.array(*copies))).alias("__copy")
+    )
+    placed = copied.select("__entity", "__spread", *measures, "__copy.*")
+    per_entity = placed.groupBy("grain", *keys, "__entity", "__spread").agg(
+        *[F.sum(f"__s_{name}").alias(f"__s_{name}") for name in sums],
+        *[F.max(f"__f_{name}").alias(f"__f_{name}") for name in flags],
+    )
+    known = F.col("__entity").isNotNull()
+    return per_entity.groupBy("grain", *keys).agg(
+        *[F.sum(f"__s_{name}").alias(name) for name in sums],
+        *[F.count_if(known & F.col(f"__f_{name}")).alias(name) for name in flags],
+    )

@@ -30,7 +30,7 @@ from shopledger.functions.measures import (
 from shopledger.lakehouse import dataset
 from shopledger.operators.cohort import new_versus_returning
 from shopledger.operators.funnel import funnel_stages
-from shopledger.operators.rollup import rollup_distinct, rollup_distinct_via, rollup_via
+from shopledger.operators.rollup import Grain, rollup_distinct, rollup_distinct_via, rollup_grains, rollup_via
 
 ONE = Decimal("1.0")
 # Totals of order amounts; dividing one by a count keeps 12 fraction digits instead of 6.
@@ -294,6 +294,44 @@ def sales_by_weekday(lake, style):
     )
 
 
+# The groupings of the marts of orders; what a look-up misses is left out of the grain that needs it.
+SALES_GRAINS = {
+    "month": ["month_start"],
+    "day": ["sale_date"],
+    "channel": ["sales_channel"],
+    "store": ["store_id", "store_name", "city", "state_province", "store_type"],
+    "region": ["country", "state_province", "city"],
+    "weekday": ["day_of_week", "day_name"],
+}
+
+
+def sales_grains(lake):
+    """Revenue, profit, orders and units of the standard family at all grains of its marts of orders, by one reading of
+    the orders: ``grain``, the keys of all grains, and the figures as the marts show them."""
+    places = _gold(lake, "dim_store", STANDARD).select(
+        F.col("store_id").alias("__store"), *dict.fromkeys(k for k in SALES_GRAINS["store"][1:] + SALES_GRAINS["region"])
+    )
+    days = _gold(lake, "dim_date", STANDARD).select(F.col("date_id").alias("__day"), *SALES_GRAINS["weekday"])
+    orders = _dated_lines(lake, STANDARD).withColumn("month_start", month_start(F.col("sale_date")))
+    orders = orders.join(places, orders.store_id == places["__store"], "left")
+    orders = orders.join(days, orders.transaction_date_id == days["__day"], "left")
+    known = {"store": "__store", "region": "__store", "weekday": "__day"}
+    grains = [
+        Grain(name, tuple(keys), F.col(known[name]).isNotNull() if name in known else None)
+        for name, keys in SALES_GRAINS.items()
+    ]
+    totals = rollup_grains(
+        orders,
+        grains,
+        "transaction_id",
+        _pick(line_sums(STANDARD), "net_revenue", "gross_profit", "units_sold"),
+        _pick(order_flags(), "orders"),
+    )
+    keys = list(dict.fromkeys(key for grain in grains for key in grain.keys))
+    figures = dict(net_revenue=None, gross_profit=None, orders=None, units_sold=None)
+    return _finish(totals, STANDARD, ["grain", *keys], money=["net_revenue", "gross_profit"], **figures)
+
+
 @mart("bi_returns_by_category", order=["-returned_revenue", "category_name"])
 def returns_by_category(lake, style):
     totals = rollup_distinct_via(
