@@ -26,7 +26,8 @@ from shopledger.plans.marts import sales_grains
 from shopledger.quality import checks, expectations, quarantine
 from shopledger.sources.catalog import RAW_TABLES
 from shopledger.session import app_dir
-from shopledger.sources.reader import ParquetLanding, load_parquet, normalise_headers, rescue, row_counts
+from shopledger.sources.landing import DriftingLanding, load_report
+from shopledger.sources.reader import RESCUED, ParquetLanding, load_parquet, normalise_headers, rescue, row_counts
 from shopledger.sources.sample import SampleRetail
 from shopledger.sources.snapshots import SnapshotStore
 
@@ -153,6 +154,65 @@ def _schema_drift(spark, sf_dir):
     return rescue(loaded, {"n_nationkey": "bigint", "n_name": "string"})
 
 
+def _schema_drift_parts(spark, sf_dir):
+    """Orders and events that landed in files of three schemas each: columns added, dropped and of another type."""
+    folder = _fresh_folder(spark, "drift")
+    orders, events = (load_parquet(spark, f"{sf_dir}/{t}.parquet") for t in ("orders", "events"))
+    third, n = F.expr("o_orderkey DIV 32 % 3"), F.col("event_id") % 3
+    landed = {
+        "orders": [
+            orders.filter(third == 0),
+            orders.filter(third == 1).withColumn("o_channel", F.expr("concat('c', o_orderkey % 4)")),
+            orders.filter(third == 2)
+            .drop("o_orderstatus")
+            .withColumn("o_custkey", F.expr("if(o_custkey % 10 = 0, 'none', CAST(o_custkey AS STRING))")),
+        ],
+        "events": [
+            events.filter(n == 0).drop("props"),
+            events.filter(n == 1).withColumn("user_id", F.expr("user_id + if(user_id % 5 = 0, 0.5, 0)")),
+            events.filter(n == 2).withColumn("late", F.col("event_id") + 1),
+        ],
+    }
+    for table, parts in landed.items():
+        for part in parts:
+            part.write.mode("append").parquet(f"{folder}/{table}.parquet")
+    declared = {
+        "orders": {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string"},
+        "events": {"event_id": "bigint", "user_id": "bigint", "props": "string"},
+    }
+    landing = DriftingLanding(spark, folder, declared)
+    drifted = ["o_channel", "o_custkey", "user_id", "late"]
+
+    def shown(table):
+        # of what was rescued, those columns that drifted
+        kept = F.map_filter(F.from_json(RESCUED, "map<string,string>"), lambda k, _: k.isin(drifted))
+        columns = list(declared[table])
+        return landing(table).select(
+            F.lit(table).alias("table_name"),
+            F.col(columns[0]).alias("id"),
+            F.col(columns[1]).alias("linked_id"),
+            F.col(columns[2]).alias("text"),
+            F.array_join(F.transform(F.map_entries(kept), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("drifted"),
+        )
+
+    return shown("orders").unionByName(shown("events"))
+
+
+def _landing_load(spark, sf_dir):
+    """All raw tables from a landing folder by their declared columns, after two of them drifted: what was rescued."""
+    folder, sample = _fresh_folder(spark, "landing"), SampleRetail(spark, sf_dir)
+    for table in RAW_TABLES:
+        rows = sample(table)
+        if table == "fact_clickstream":
+            rows.filter("session_id % 2 = 0").write.parquet(f"{folder}/{table}.parquet")
+            rows = rows.filter("session_id % 2 = 1").withColumn("app_version", F.lit("2.1"))
+        if table == "fact_transaction":
+            quarter = "if(transaction_id % 4 = 0, concat(store_id, 'x'), CAST(store_id AS STRING))"
+            rows = rows.withColumn("store_id", F.expr(quarter))
+        rows.write.mode("append").parquet(f"{folder}/{table}.parquet")
+    return load_report(DriftingLanding(spark, folder, RAW_TABLES), RAW_TABLES)
+
+
 def _row_counts(spark, sf_dir):
     return row_counts(lakehouse(spark, sf_dir).raw, RAW_TABLES).orderBy("table_name")
 
@@ -348,6 +408,8 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "src_normalise_headers": _headers,
         "src_rescue_columns": _rescue,
         "src_schema_drift": _schema_drift,
+        "src_schema_drift_parts": _schema_drift_parts,
+        "src_landing_load": _landing_load,
         "src_row_counts": _row_counts,
         "sink_roundtrip": _sink_roundtrip,
         "mv_selective_rebuild": _selective_rebuild,
