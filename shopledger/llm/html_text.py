@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from html import unescape
 
 import pyarrow as pa
@@ -45,7 +45,9 @@ SILENT = frozenset("audio canvas head iframe noscript object script style svg te
 #: Their content runs to the end tag, whatever is in it.
 RAW = frozenset("iframe noscript script style textarea title".split())
 #: Text inside these is never the article's.
-ASIDE = frozenset("aside button dialog fieldset footer form header label menu nav select textarea".split())
+ASIDE = frozenset("aside button dialog fieldset footer header label menu nav select textarea".split())
+#: These, and elements whose names say so, stand beside the article unless they are found to hold it.
+PERHAPS_ASIDE = frozenset(("form",))
 ARTICLE = frozenset(("article", "main"))
 #: Words in an id, class or role that name a part of the page around the article.
 ASIDE_WORDS = frozenset(
@@ -56,6 +58,10 @@ ASIDE_WORDS = frozenset(
     sidenav skip social sponsor sponsored subscribe subscription topbar widget widgets
     """.split()
 )
+#: Of these words, those of what readers wrote: that is never the article.
+COMMENT_WORDS = frozenset("comment comments disqus replies respond".split())
+#: With one of these, a name tells about the page's layout and names no part of it: has-sidebar, no-banner.
+ABOUT = frozenset("disabled enabled has hide is no non not proof show with without".split())
 ASIDE_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 
 _TAG = re.compile(
@@ -65,7 +71,7 @@ _TAG = re.compile(
 )
 _NAMING = re.compile(r"(?<![^\s\"'/])(id|class|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?<![^\s\"'/])hidden(?=[\s/=]|$)|display\s*:\s*none", re.I)
-_WORD = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -84,30 +90,57 @@ class BlockRules:
 
 @dataclass
 class Block:
+    """`outside`: by its place never the article's. `within`: number of the innermost element around it that by its name
+    stands beside the article, 0 if there is none."""
+
     text: str
     linked: int
     outside: bool
     article: int
+    within: int = 0
+
+
+@dataclass
+class Page:
+    """Blocks, and the elements that by their names stand beside the article: of each number the one around it (0: none),
+    and which of them hold an article element."""
+
+    blocks: list[Block]
+    around: list[int]
+    holders: set[int]
 
 
-def _names_aside(attributes: str) -> bool:
+def _names_aside(attributes: str) -> str | None:
+    """"always" if an element with these attributes never holds the article, "perhaps" if its names say so."""
+    if _HIDDEN.search(attributes):
+        return "always"
+    found = None
     for kind, *values in _NAMING.findall(attributes):
-        value = "".join(values).lower()
+        value = "".join(values)
         if kind.lower() == "role":
-            if value.strip() in ASIDE_ROLES:
-                return True
-        elif not ASIDE_WORDS.isdisjoint(_WORD.findall(value)):
-            return True
-    return bool(_HIDDEN.search(attributes))
+            if value.strip().lower() in ASIDE_ROLES:
+                found = "perhaps"
+            continue
+        for name in value.split():
+            words = set(map(str.lower, _WORD.findall(name)))
+            if ASIDE_WORDS.isdisjoint(words) or not ABOUT.isdisjoint(words):
+                continue
+            if not COMMENT_WORDS.isdisjoint(words):
+                return "always"
+            found = "perhaps"
+    return found
 
 
-def blocks(html: str) -> list[Block]:
+def blocks(html: str) -> Page:
     """The page's blocks of text in order, with the characters in links and the kind of place they stand in."""
     out: list[Block] = []
-    # open elements: name, whether text inside is silent, whether outside the article by its place, article's number
-    stack: list[tuple[str, bool, bool, int]] = []
+    around, holders = [0], set()
+    # open elements: name, whether text inside is silent, whether outside the article by its place, number of the
+    # innermost one that may be, article's number
+    stack: list[tuple[str, bool, bool, int, int]] = []
     opened_now: Counter[str] = Counter()
     silent, outside, article, articles, links = False, False, 0, 0, 0
+    within = 0
     chunks: list[tuple[str, bool]] = []
     breaks = 0
 
@@ -121,7 +154,7 @@ def blocks(html: str) -> list[Block]:
             whole = " ".join("".join(t for t, _ in chunks).split())
             if whole:
                 linked = sum(len("".join(t.split())) for t, in_link in chunks if in_link)
-                out.append(Block(whole, linked, outside, article))
+                out.append(Block(whole, linked, outside, article, within))
             chunks.clear()
 
     def take(raw: str) -> None:
@@ -133,7 +166,7 @@ def blocks(html: str) -> list[Block]:
             chunks.append((text, links > 0))
 
     def close(name: str) -> None:
-        nonlocal silent, outside, article, links
+        nonlocal silent, outside, article, links, within
         if not opened_now[name]:
             return
         for at in range(len(stack) - 1, -1, -1):
@@ -146,7 +179,7 @@ def blocks(html: str) -> list[Block]:
                 opened_now.subtract(closed)
                 del stack[at:]
                 break
-        _, silent, outside, article = stack[-1] if stack else ("", False, False, 0)
+        _, silent, outside, within, article = stack[-1] if stack else ("", False, False, 0, 0)
 
     at, end = 0, len(html)
     while at < end:
@@ -181,24 +214,33 @@ def blocks(html: str) -> list[Block]:
                     close(opened)
         if name in VOID or tag["rest"].rstrip().endswith("/") and name not in BLOCKS and name not in RAW:
             continue
-        aside = outside or name in ASIDE or name not in ("html", "body", "article", "main") and _names_aside(tag["rest"])
-        if aside and not outside and name not in BLOCKS:
+        own = None if name in ("html", "body", "article", "main") else _names_aside(tag["rest"])
+        aside = outside or name in ASIDE or own == "always"
+        inside = within
+        if not aside and (own or name in PERHAPS_ASIDE):
+            inside = len(around)
+            around.append(within)
+        if (aside, inside) != (outside, within) and name not in BLOCKS:
             flush()
         if name in ARTICLE and not article and not aside:
             articles += 1
+            holder = inside
+            while holder and holder not in holders:
+                holders.add(holder)
+                holder = around[holder]
         number = article or (articles if name in ARTICLE and not aside else 0)
-        stack.append((name, silent or name in SILENT, aside, number))
+        stack.append((name, silent or name in SILENT, aside, inside, number))
         opened_now[name] += 1
         links += name == "a"
-        _, silent, outside, article = stack[-1]
+        _, silent, outside, within, article = stack[-1]
         if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.I).search(html, at)
             at = stop.start() if stop else end
     flush()
-    return out
+    return Page(out, around, holders)
 
 
-def _open_within(stack: list[tuple[str, bool, bool, int]], name: str) -> bool:
+def _open_within(stack: list[tuple[str, bool, bool, int, int]], name: str) -> bool:
     """Whether an element of this name is open with only inline elements inside it."""
     for opened, *_ in reversed(stack):
         if opened == name:
@@ -208,10 +250,37 @@ def _open_within(stack: list[tuple[str, bool, bool, int]], name: str) -> bool:
     return False
 
 
-def classify(found: list[Block], rules: BlockRules = BlockRules()) -> list[bool]:
-    """Whether each block is the page's text."""
+def classify(page: Page, rules: BlockRules = BlockRules()) -> list[bool]:
+    """Whether each block is the page's text.
+
+    Elements that stand beside the article by their names are left out, as long as that leaves text of an article
+    element where there is one, and any text where there is none. Otherwise those around article elements, or those
+    that hold half of what would be text at least, are taken for what they hold.
+    """
+    labels = _decided(page, set(), rules)
+    if len(page.around) == 1 or any(kept and b.article for b, kept in zip(page.blocks, labels)):
+        return labels
+    if page.holders:
+        return _decided(page, page.holders, rules)
+    if any(labels):
+        return labels
+    size = [0] * len(page.around)
+    for block, kept in zip(page.blocks, _decided(page, set(range(1, len(size))), rules)):
+        size[block.within] += len(block.text) * kept
+    # an element's number is larger than that of the one around it
+    for n in range(len(size) - 1, 0, -1):
+        size[page.around[n]] += size[n]
+    return _decided(page, {n for n in range(1, len(size)) if 2 * size[n] >= size[0]}, rules)
+
+
+def _decided(page: Page, opened: set[int], rules: BlockRules) -> list[bool]:
+    """Both passes, with the elements in `opened` taken for what they hold."""
+    aside = [False] * len(page.around)
+    for n in range(1, len(aside)):
+        aside[n] = n not in opened or aside[page.around[n]]
+    places = [replace(b, outside=b.outside or aside[b.within]) if b.within else b for b in page.blocks]
     labels: list[bool | None] = []
-    for block in found:
+    for block in places:
         length = len(block.text)
         if block.outside or block.linked > rules.max_link * len(block.text.replace(" ", "")):
             labels.append(False)
@@ -224,7 +293,7 @@ def classify(found: list[Block], rules: BlockRules = BlockRules()) -> list[bool]
                 labels.append(True)
             else:
                 labels.append(None if length < rules.long else False)
-    return _inherited(found, labels)
+    return _inherited(places, labels)
 
 
 def _inherited(found: list[Block], labels: list[bool | None]) -> list[bool]:
@@ -260,8 +329,8 @@ def _inherited(found: list[Block], labels: list[bool | None]) -> list[bool]:
 
 
 def main_text(html: str | None, rules: BlockRules = BlockRules()) -> str:
-    found = blocks(html or "")
-    return "\n".join(block.text for block, kept in zip(found, classify(found, rules)) if kept)
+    page = blocks(html or "")
+    return "\n".join(block.text for block, kept in zip(page.blocks, classify(page, rules)) if kept)
 
 
 def extract(

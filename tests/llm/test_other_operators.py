@@ -214,6 +214,38 @@ def test_parts_around_the_article_go(around):
     assert html_text.main_text(page) == f"T & t\n{PARAGRAPH} On."
 
 
+ARTICLE = f"<article><h1>T</h1><p>{PARAGRAPH}</p></article>"
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<div class="layout has-sidebar">{}</div>', '<div class="page no-banner">{}</div>', '<div class="with-nav">{}</div>',
+        '<div class="entry-content page-with-comments">{}</div>', '<div class="social-proof">{}</div>',
+        '<form id="aspnetForm"><div>{}</div></form>', '<div class="sidebar-layout"><div id="formWidget">{}</div></div>',
+        '<main class="banner">{}</main>', '<main><section class="modal"><div class="promo">{}</div></section></main>',
+        '<div role="dialog">{}</div>', '<body class="no-sidebar nav-open">{}</body>',
+    ],
+)
+def test_no_name_of_a_wrapper_takes_the_article_away(around):
+    other = PARAGRAPH.replace("house", "shop")
+    rest = f"<nav>{other}</nav><div class='sidebar'><p>{other}</p></div><div id=comments><article>{other}</article></div>"
+    assert html_text.main_text(f"{MENU}{around.format(ARTICLE)}{rest}") == f"T\n{PARAGRAPH}"
+    # without article elements it is the text that a name would take away altogether
+    plain = ARTICLE.replace("article", "div")
+    assert html_text.main_text(f"{MENU}{around.format(plain)}") == f"T\n{PARAGRAPH}"
+
+
+def test_what_stands_beside_an_article_goes_whatever_its_length():
+    other = PARAGRAPH.replace("house", "shop")
+    for beside in ("<div class=comments>{}</div>", "<form>{}</form>", "<div class='sidebarBox'>{}</div>", "<div id=adWidget>{}</div>"):
+        long = beside.format(f"<p>{other}</p>" * 30)
+        assert html_text.main_text(f"<div class=wrap>{ARTICLE}</div>{long}") == f"T\n{PARAGRAPH}"
+        assert html_text.main_text(f"<div><p>{PARAGRAPH}</p></div>{long}") == PARAGRAPH
+    # readers' comments are never the article, also alone
+    assert html_text.main_text(f"<div id=comments><article><p>{other}</p></article></div>") == ""
+
+
 def test_pages_that_are_hard(spark):
     rows = [(1, None, None), (None, "u", ""), (2, "u", "<p"), (3, "u", "<!--"), (4, "u", f"<article><p>{PARAGRAPH * 3000}")]
     rows += [(5, "u", "<b>" * 3000 + "<div>" * 3000 + PARAGRAPH), (6, "u", "&notanentity; &lt;p&gt; \x00 <a"), (6, "u", "\ufeff")]
