@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-QUALITY_RULES = r"""
+_PHRASES = (
+    "accept cookies|all rights reserved|click here|cookie policy|enable javascript|lorem ipsum|privacy policy|sign up|"
+    "subscribe to our newsletter|terms of service|terms of use"
+).replace(" ", "  ")
+# Every character that bounds a word is written twice, so that two phrases side by side have a bound each.
+_BOUNDED = r"regexp_replace(lower(line), '([^\p{L}\p{N}_])', '\1\1', 'g')"
+_FOUND = rf"regexp_extract_all({_BOUNDED}, '(?:^|[^\p{{L}}\p{{N}}_])({_PHRASES})(?:[^\p{{L}}\p{{N}}_]|$)', 1)"
+
+QUALITY_RULES = rf"""
 with texts as (
     select row_number() over () as r, doc_id, coalesce(text, '') as t from documents
 ), words as (
@@ -30,10 +38,9 @@ with texts as (
                (n >= 30 and not regexp_matches(line, '[.,;:!?…。؟।]'))
                or symbols * 100 > length(line) * 10
                or (separators >= 2 and separators * 6 >= n)
-               or regexp_matches(lower(line), 'accept cookies|all rights reserved|click here|cookie policy|'
-                  || 'enable javascript|lorem ipsum|privacy policy|sign up|subscribe to our newsletter|'
-                  || 'terms of service|terms of use')) as bad
-    from judged
+               or (len(phrases) > 0 and (n <= 12 or 100 * len(regexp_split_to_array(array_to_string(phrases, ' '),
+                                                                                      '[\x20\x09-\x0D]+')) >= 30 * n))) as bad
+    from (select *, {_FOUND} as phrases from judged)
 ), by_text as (
     select r, count(*) filter (where worded) - count(distinct line) filter (where worded) as n_dup_lines,
            count(*) filter (where bad) as n_lines_removed, coalesce(sum(n) filter (where bad), 0) as lost_words

@@ -1,5 +1,6 @@
 """Queries that SQL can express equal it; the pipeline equals its stages done plainly."""
 
+import duckdb
 import pytest
 from compare import connect, difference, duck_rows, spark_rows
 from conftest import SMALL
@@ -18,6 +19,30 @@ def test_query_equals_its_sql(spark, name, folder):
     assert difference(spark_rows(QUERIES[name](spark, folder)), duck_rows(connect(folder), ORACLE_SQL[name])) is None
 
 
+WORDS = "the house is on the hill and one can see it from far away, as they say,"
+LINES = [
+    "design updates", "sign up", "Sign up!", "resign up", "sign up_x", "sign up click here", "click here, click here", "sign  up",
+    "We accept cookies.", "accept\tcookies", f"{WORDS} privacy policy", f"{WORDS} sign up click here privacy policy terms of use",
+    "all rights reserved all rights reserved", "É sign up é", "ésign up", "terms of service", "terms of uses", "click here" * 9,
+    f"{WORDS} click here", f"click here {WORDS} click here", "one two three four five six seven eight nine ten eleven sign up",
+    "one two three four five six seven eight nine ten sign up", "Lorem Ipsum dolor", "| a | b | c", "#$%& x",
+]
+
+
+def test_rules_equal_their_sql_on_hard_lines(spark, tmp_path):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(i, line, "en") for i, line in enumerate(LINES)]
+    rows += [(100 + i, "\n".join(rnd.choices([*LINES, WORDS, "", " "], k=rnd.randrange(1, 9))), "en") for i in range(200)]
+    rows += [(400, None, None), (401, "", None), (402, f"{WORDS} {WORDS} {WORDS}", "en"), (402, "a b c d e a b c d e a b c d e f", "en")]
+    documents(spark, rows).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    name = "op1_quality_rules"
+    assert difference(spark_rows(QUERIES[name](spark, str(tmp_path))), duck_rows(con, ORACLE_SQL[name])) is None
+
+
 def test_there_is_a_query_for_every_operator():
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
