@@ -167,9 +167,12 @@ def _in_turns(lengths: list[int]):
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """A payload for each block of ids below 2^16."""
+    """A payload for each block of ids below 2^16. Others would come back as other ids, so they are an error."""
     if not blocks:
         return []
+    for block in blocks:
+        if len(block) and (min(block) < 0 or max(block) >= 1 << sum(PARTS)):
+            raise ValueError(f"ids must be from 0 to {(1 << sum(PARTS)) - 1}")
     order, at_work = _in_turns([len(b) for b in blocks])
     ids = np.zeros((len(at_work), len(blocks)), np.int32)
     for lane, b in enumerate(order):

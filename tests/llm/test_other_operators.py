@@ -386,6 +386,13 @@ def test_blocks_come_back():
     assert len(id_coder.encode_blocks(repeated)[0]) < 1000
 
 
+@pytest.mark.parametrize("odd", [70000, 1 << 16, -1])
+def test_ids_that_do_not_fit_are_an_error(odd):
+    with pytest.raises(ValueError, match="65535"):
+        id_coder.encode_blocks([np.array([5, 6]), np.array([1, odd, 5])])
+    assert [x.tolist() for x in id_coder.decode_blocks(id_coder.encode_blocks([np.array([1, 65535, 0])]), [3])] == [[1, 65535, 0]]
+
+
 def test_joined_checksums():
     rnd = random.Random(2)
     for _ in range(50):
