@@ -128,12 +128,20 @@ def _with_window_hashes(parts: DataFrame) -> DataFrame:
 def repeated_words(words: Column, hashes: Column) -> Column:
     """Words inside a window of WINDOW words that the array holds twice or more, the first occurrence included.
 
-    Distinct hashes prove distinct windows, so most texts stop there; only texts with an equal pair of hashes have
-    their windows compared word for word.
+    Distinct hashes prove distinct windows, so most texts stop there; in the others the windows whose hash another has
+    as well, and no more, are compared word for word.
     """
-    positions = F.sequence(F.lit(0), F.size(words) - WINDOW)
+    def hashed_twice(held: Column) -> Column:
+        """Places of hashes equal to a neighbour in sorted order."""
+        same = lambda x, y: F.coalesce(y["h"] == x["h"], F.lit(False))
+        alike = F.filter(held, lambda x, j: same(x, F.get(held, j - 1)) | same(x, F.get(held, j + 1)))
+        return F.transform(alike, lambda x: x["i"])
+
+    # the arrays around them bind sorted arrays once instead of sorting for every element
+    by_hash = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    places = F.flatten(F.transform(F.array(by_hash), hashed_twice))
     spelled = F.sort_array(
-        F.transform(positions, lambda i: F.struct(F.slice(words, i + 1, WINDOW).alias("w"), i.alias("i")))
+        F.transform(places, lambda i: F.struct(F.slice(words, i + 1, WINDOW).alias("w"), i.alias("i")))
     )
 
     def twice(held: Column) -> Column:
@@ -147,7 +155,6 @@ def repeated_words(words: Column, hashes: Column) -> Column:
             lambda x: x["i"],
         )
 
-    # the array around it binds the sorted windows once instead of sorting for every element
     starts = F.sort_array(F.flatten(F.transform(F.array(spelled), twice)))
     covered = F.aggregate(
         starts,
