@@ -17,7 +17,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -91,6 +91,9 @@ class ByteBpe:
         self._met: set[str] = set()
         # one object for each id, shared by all pieces
         self._number = list(range(size))
+        self._model = self.tokenizer.model  # asking the tokenizer for it makes a new object every time
+        self._sizes: dict[str, int] = {}
+        self._shown = str.maketrans({b: c for b, c in enumerate(map(self._char_of.__getitem__, range(256)))})
 
     # pieces
 
@@ -136,14 +139,14 @@ class ByteBpe:
 
     def _merged(self, shown: str) -> list[int]:
         if len(shown) <= self.leaf:
-            return [t.id for t in self.tokenizer.model.tokenize(shown)]
+            return [t.id for t in self._model.tokenize(shown)]
         middle = len(shown) // 2
         left, right = self._merged(shown[:middle]), self._merged(shown[middle:])
         reach = 4
         while True:
             i, j = min(reach, len(left)), min(reach, len(right))
             text = b"".join(self.bytes_of[t] for t in (*left[-i:], *right[:j]))
-            window = [t.id for t in self.tokenizer.model.tokenize("".join(map(self._char_of.__getitem__, text)))]
+            window = [t.id for t in self._model.tokenize("".join(map(self._char_of.__getitem__, text)))]
             left_agrees = i == len(left) or window[0] == left[-i]
             right_agrees = j == len(right) or window[-1] == right[j - 1]
             if left_agrees and right_agrees:
@@ -174,6 +177,25 @@ class ByteBpe:
         known = self._ids if not own_ids else {p: self._ids[p] for p in used - own_ids.keys()} | own_ids
         return [list(chain.from_iterable(map(known.__getitem__, own))) for own in split]
 
+    def count_all(self, texts: list[str | None]) -> list[int]:
+        """The number of ids of every text. Only numbers are remembered, so a worker holds no id lists."""
+        counts = []
+        for text in texts:
+            own = self._pieces_and_added(text or "")
+            new = [piece for piece in set(own) if piece not in self._sizes]
+            for piece in new:
+                self._sizes[piece] = 1 if piece in self._added else self._size(piece)
+            counts.append(sum(map(self._sizes.__getitem__, own)))
+            if len(self._sizes) > REMEMBERED:
+                # those of this text, and the later half: what was met lately is likely to be met again
+                late = islice(self._sizes.items(), len(self._sizes) - REMEMBERED // 2, None)
+                self._sizes = dict(late) | {piece: self._sizes[piece] for piece in set(own)}
+        return counts
+
+    def _size(self, piece: str) -> int:
+        shown = piece.encode().decode("latin-1").translate(self._shown)
+        return len(self._model.tokenize(shown)) if len(piece) <= self.leaf else len(self._merged(shown))
+
     def _pieces_and_added(self, text: str) -> list[str]:
         """The pieces in order. An added token is a piece of its own, which the pattern never makes of its text."""
         if not self._added_pattern or not self._added_pattern.search(text):
@@ -240,7 +262,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(None, LEAF_CHARS)
         for batch in batches:
-            lengths = [len(ids) + 1 for ids in bpe.encode_all(batch.column("text").to_pylist())]
+            lengths = [n + 1 for n in bpe.count_all(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lengths, pa.int64())], ["doc_id", "length"])
 
     return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, length long")
