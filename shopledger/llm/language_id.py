@@ -27,8 +27,8 @@ EMBED_RATE = 16.0
 @dataclass(frozen=True)
 class Training:
     """sample: documents the model is fitted on, at most twice as many; they are cut into lines of `chunk` characters
-    at most, of which `steps` batches of `batch` are drawn. reject: share of rightly named held-back lines of the
-    sample that the rejection threshold may cost."""
+    at most, of which `steps` batches of `batch` are drawn. reject: share of rightly named held-back texts of the
+    sample that the rejection threshold may cost; and of their lines, where the texts are too few to tell."""
 
     sample: int = 3000
     buckets: int = 1 << 16
@@ -149,8 +149,11 @@ def fit(texts: list[str], languages: list[str], training: Training = Training())
     label_of = {name: i for i, name in enumerate(names)}
     parts: tuple[list[str], list[str]] = ([], [])
     labels: tuple[list[int], list[int]] = ([], [])
+    whole: list[tuple[str, int]] = []
     for n, (text, language) in enumerate(zip(texts, languages)):
         held = n % 8 == 7
+        if held and has_letter(text):
+            whole.append((text, label_of[language]))
         for chunk in _chunks(text, training.chunk):
             parts[held].append(chunk)
             labels[held].append(label_of[language])
@@ -176,25 +179,32 @@ def fit(texts: list[str], languages: list[str], training: Training = Training())
         first = np.flatnonzero(np.diff(buckets[order], prepend=-1))
         embed[buckets[order[first]]] -= rate * EMBED_RATE * np.add.reduceat(back[owner[order]], first, axis=0)
     model = Model(names, (embed @ layer + offset).astype(np.float32))
-    return _calibrated(model, parts[1], np.array(labels[1], np.int64), training.reject)
+    return _calibrated(model, parts[1], labels[1], whole, training.reject)
 
 
-def _calibrated(model: Model, parts: list[str], gold: np.ndarray, reject: float) -> Model:
-    """Temperature of least loss on the held-back chunks, and the threshold that costs a share `reject` of the right
-    ones, but never above one and a half times the chance of a blind guess."""
+def _calibrated(
+    model: Model, parts: list[str], labels: list[int], whole: list[tuple[str, int]], reject: float
+) -> Model:
+    """Temperature of least loss on the held-back chunks, and the threshold that costs a share `reject` of the rightly
+    named held-back texts, as they are, whole. Texts are judged whole, but a few hundred of them don't show where the
+    rarest lie; their chunks are many and score lower, so the threshold is not above what costs that share of them."""
     if not parts:
         return model
-    raw = scores(parts, model)
+    raw, gold = scores(parts, model), np.array(labels, np.int64)
     grid = np.geomspace(0.02, 5, 60)
 
     def loss(t: float) -> float:
         return float(-np.log(np.maximum(_softmax(raw / t)[np.arange(len(gold)), gold], 1e-12)).mean())
 
     model.temperature = float(min(grid, key=loss))
-    chance = _softmax(raw / model.temperature)
-    right = chance.argmax(axis=1) == gold
-    if right.any():
-        model.threshold = float(min(1.5 / len(model.languages), np.quantile(chance.max(axis=1)[right], reject)))
+    texts, names = zip(*whole)
+    levels = []
+    for raw, gold in ((raw, gold), (scores(list(texts), model), np.array(names, np.int64))):
+        chance = _softmax(raw / model.temperature)
+        right = chance.argmax(axis=1) == gold
+        if right.any():
+            levels.append(float(np.quantile(chance.max(axis=1)[right], reject)))
+    model.threshold = min(levels, default=0.0)
     return model
 
 

@@ -1,6 +1,8 @@
 """Every operator on documents: plain versions of the same, and rows that are hard on purpose."""
 
+import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -159,6 +161,54 @@ def test_language_alone_and_in_company_are_the_same():
     assert language_id.predict(["text"], language_id.fit([], []))[0] == ["und"]
 
 
+def _plain_subwords(text, buckets):
+    """All runs of 2 to 4 signs of every word, an end mark on both of its sides."""
+    out = []
+    for word in re.split(r"[^a-zà-öø-ÿ日本]+", text.lower()):
+        signs = [0, *map(ord, word), 0] if word else []
+        for n in (2, 3, 4):
+            for start in range(len(signs) - n + 1):
+                value = n * 0x9E3779B1 & 0xFFFFFFFF
+                for sign in signs[start : start + n]:
+                    value = (value ^ sign) * 0x01000193 & 0xFFFFFFFF
+                    value ^= value >> 15
+                out.append(value % buckets)
+    return out
+
+
+def test_scores_equal_a_plain_mean_over_subwords():
+    texts = ["The house.", "über  die\nBerge", "x", "a b 1 a", "ß und ÉCOLE 12ab3", "日本 x", "the " * 500]
+    model = language_id.fit(["the house is here"] * 9 + ["die Berge sind über"] * 9, ["en"] * 9 + ["de"] * 9)
+    names, chances = language_id.predict(texts, model)
+    for text, name, chance in zip(texts, names, chances):
+        found = _plain_subwords(text, len(model.table))
+        mean = [sum(float(model.table[b, k]) for b in found) / len(found) / model.temperature for k in (0, 1)]
+        share = [math.exp(m) / sum(map(math.exp, mean)) for m in mean]
+        assert chance == pytest.approx(max(share), abs=1e-6)
+        if abs(share[0] - share[1]) > 1e-6:
+            assert name == model.languages[share.index(max(share))]
+
+
+FOREIGN = [
+    "Suomen kieli on uralilaisten kielten itämerensuomalaiseen ryhmään kuuluva kieli, jota puhuvat pääosin suomalaiset.",
+    "Język polski należy do grupy zachodniosłowiańskiej rodziny języków indoeuropejskich.",
+    "Türkçe, Güneydoğu Avrupa ve Batı Asya'da konuşulan, Türk dilleri dil ailesine ait sondan eklemeli bir dildir.",
+    "日本語は日本国内や日本人同士の間で使われている言語", "Русский язык один из восточнославянских языков",
+]
+
+
+def test_foreign_and_random_text_is_rejected_and_clean_text_kept(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = language_id.train(docs)
+    rnd = random.Random(1)
+    odd = FOREIGN + ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=400)) for _ in range(20)]
+    odd += [base64.b64encode(rnd.randbytes(300)).decode() for _ in range(20)]
+    rows = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    assert [r.rejected for r in language_id.identify(rows, model).collect()] == [True] * len(odd)
+    clean = language_id.identify(docs.filter("text IS NOT NULL AND lang IS NOT NULL AND length(text) >= 20"), model)
+    assert clean.filter("held_out AND rejected").count() <= 0.01 * clean.filter("held_out").count()
+
+
 def _plain_fingerprint(text, shingle=3):
     text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = WORD.findall(text)
