@@ -113,6 +113,10 @@ def rollup_grains(
     The rows are shuffled once, by entity, and only then copied for each grain: an entity's copies are where they are
     needed, so the step that makes one row of an entity in a group takes no exchange, and what leaves it is added up
     per group before the last, small one. Rows without an entity add to the sums only; they are spread by their keys.
+
+    A task holds the copies of its entities in memory, a row for each grain, so there are as many times the session's
+    number of tasks as there are grains. That number is given, as Spark would merge partitions by their size before
+    the copies are made.
     """
     keys = list(dict.fromkeys(key for grain in grains for key in grain.keys))
     spread = F.when(F.col(entity).isNotNull(), F.xxhash64(F.lit(0), entity)).otherwise(F.xxhash64(F.lit(1), *keys))
@@ -131,7 +135,8 @@ def rollup_grains(
         copy = F.struct(F.lit(grain.name).alias("grain"), *own)
         copies.append(copy if grain.rows is None else F.when(F.col(f"__r_{grain.name}"), copy))
     measures = [c for c in narrow.columns if c.startswith(("__s_", "__f_"))]
-    copied = narrow.repartition("__spread").select(
+    tasks = len(grains) * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copied = narrow.repartition(tasks, "__spread").select(
         "__entity", "__spread", *measures, F.explode(F.array_compact(F.array(*copies))).alias("__copy")
     )
     placed = copied.select("__entity", "__spread", *measures, "__copy.*")

@@ -79,3 +79,14 @@ def test_orders_are_read_once_and_shuffled_once(spark, tmp_path):
     assert plan.count("Exchange hashpartitioning") == 2, threshold
     below = plan.split("Exchange hashpartitioning(__spread")[0]
     assert "HashAggregate(keys=[grain" in below and "__entity" in below
+
+
+def test_the_copies_of_a_small_shuffle_stay_in_many_tasks(spark):
+    """Each task holds a few entities' copies, however small the rows are before they are copied."""
+    df = _rows(spark, [(e, "x", e % 7, e) for e in range(2000)])
+    totals = rollup_grains(df, _grains(), "e", *_measures())
+    totals.collect()
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("Generate explode")[1].split("Exchange hashpartitioning(__spread")[0]
+    assert "coalesced" not in above
+    assert re.search(r"Exchange hashpartitioning\(__spread#\d+L, 16\), REPARTITION_BY_NUM", plan)
