@@ -65,6 +65,15 @@ def choose(index: str, *values: str) -> str:
     return f"element_at(array({', '.join(values)}), CAST({index} AS INT) + 1)"
 
 
+def cents(amount: str) -> str:
+    """An amount of two decimals as whole cents, whose sums take fewer bytes than those of decimals on their way."""
+    return f"CAST({amount} * 100 AS BIGINT)"
+
+
+def from_cents(total: str, kind: str) -> str:
+    return f"CAST({total} * 0.01BD AS {kind})"
+
+
 def text(*values: str) -> list[str]:
     return [f"'{v}'" for v in values]
 
@@ -277,11 +286,19 @@ class SampleRetail:
             .groupBy("o_orderkey")
             .agg(
                 F.min("l_suppkey").alias("store_id"),
-                F.sum("price").alias("subtotal"),
-                F.sum(F.expr("round(price * rate, 2)")).alias("discount"),
-                F.sum(F.expr("round(price * 0.6, 2)")).alias("cost"),
+                F.sum(F.expr(cents("price"))).alias("subtotal"),
+                F.sum(F.expr(cents("round(price * rate, 2)"))).alias("discount"),
+                F.sum(F.expr(cents("round(price * 0.6, 2)"))).alias("cost"),
                 F.sum("quantity").alias("items"),
             )
+            .selectExpr(
+                "o_orderkey",
+                "store_id",
+                from_cents("subtotal", "DECIMAL(20,2)") + " AS subtotal",
+                from_cents("discount", "DECIMAL(24,2)") + " AS discount",
+                from_cents("cost", "DECIMAL(22,2)") + " AS cost",
+                "items",
+            )
         )
         return (
             self.read("orders")

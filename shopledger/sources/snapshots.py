@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopledger.sources.writer import Folder, enter
+from shopledger.sources.writer import COMPRESSION, Folder, enter
 
 LOG = "_snapshots"
 
@@ -106,7 +106,7 @@ class Build:
             F.bit_xor(hashed).alias("mixed"),
         )
         self._written.append(folder)
-        writer = observed.write
+        writer = observed.write.option("compression", COMPRESSION)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self._store.root}/{folder}")

@@ -1,6 +1,9 @@
 import datetime as dt
 import json
+import re
+from decimal import Decimal
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -18,6 +21,8 @@ from shopledger.sources.reader import (
     row_counts,
     snake_case,
 )
+from shopledger.sources.sample import SampleRetail
+from shopledger.sources.snapshots import SnapshotStore
 from shopledger.sources.writer import read_table, write_table
 
 
@@ -277,3 +282,36 @@ def test_a_declared_landing_keeps_what_does_not_fit(spark, tmp_path):
     assert kept == {"x": '{"note":"y"}', "z": '{"category_id":"bad"}'}
     assert lake.table("silver_dim_category").columns == ["category_id", "category_name"]
     assert lake.table("silver_dim_category_alt").columns == ["category_id", "category_name"]
+
+
+def test_stored_files_are_compressed_with_zstd(spark, tmp_path):
+    write_table(spark.range(50), str(tmp_path / "table"))
+    with SnapshotStore(spark, str(tmp_path / "store")).begin() as build:
+        build.write("rows", spark.range(50))
+    files = list(tmp_path.rglob("*.parquet"))
+    found = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).metadata.num_row_groups}
+    assert found == {"ZSTD"}
+
+
+def test_orders_add_up_their_lines_exactly(spark, tmp_path):
+    """Sums of lines in cents: half a cent rounded per line, lines without a price, orders without lines."""
+    lines = [(1, 7, 10.05, 0.1, 2.0), (1, 3, 0.05, 0.1, 1.0), (2, 4, None, 0.1, 5.0), (4, 5, 99999999.99, 0.07, 1.0), (4, 5, 99999999.99, 0.07, 1.0)]
+    columns = "l_orderkey long, l_suppkey long, l_extendedprice double, l_discount double, l_quantity double"
+    orders = [(k, 1, "O", 0.0, dt.datetime(2000, 1, 1), "1") for k in (1, 2, 3, 4)]
+    ddl = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    spark.createDataFrame(lines, columns).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame(orders, ddl).write.parquet(str(tmp_path / "orders.parquet"))
+    made = SampleRetail(spark, str(tmp_path), dirt=False).fact_transaction()
+    money = {r.transaction_id: (r.store_id, r.transaction_subtotal, r.transaction_discount_applied, r.transaction_cost, r.items_count) for r in made.collect()}
+    assert money == {
+        # 10.05 * 0.1 = 1.005 and 0.05 * 0.1 = 0.005 are rounded up each; so are the costs 6.03 and 0.03
+        1: (3, Decimal("10.10"), Decimal("1.02"), Decimal("6.06"), 3),
+        2: (4, None, None, None, 5),
+        3: (None, None, None, None, None),
+        4: (5, Decimal("199999999.98"), Decimal("14000000.00"), Decimal("119999999.98"), 2),
+    }
+    kinds = dict(made.dtypes)
+    assert [kinds[f"transaction_{c}"] for c in ("subtotal", "discount_applied", "cost")] == ["decimal(20,2)", "decimal(24,2)", "decimal(22,2)"]
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    # what is shuffled are whole numbers
+    assert len(set(re.findall(r"partial_sum\(cast\(.*? as bigint\)\)", plan))) == 3 and "partial_sum(price" not in plan
