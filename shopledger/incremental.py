@@ -19,7 +19,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.lakehouse import AS_OF, DATASETS, STORED_CLUSTERING, Lakehouse
+from shopledger.lakehouse import AS_OF, DATASETS, Lakehouse
 from shopledger.sources.snapshots import Build, Snapshot, SnapshotStore, TableVersion
 
 RAW = "bronze."
@@ -157,9 +157,7 @@ def refresh(
                     done.append(Refreshed(name, False, False))
                     continue
                 finish = partial(prepare, name) if prepare else None
-                written = pool.submit(
-                    build.write, name, reading.define(name), inputs, STORED_CLUSTERING.get(name, ()), finish=finish
-                )
+                written = pool.submit(build.write, name, reading.define(name), inputs, finish=finish)
                 tasks.append((name, stale, written))
             done += [Refreshed(name, True, written.result(), stale) for name, stale, written in tasks]
             for name in (x for x in wave if x in names):
