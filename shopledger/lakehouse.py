@@ -21,10 +21,6 @@ from shopledger.sources.writer import current_version, enter, write_table
 LAYERS = ("bronze", "silver", "gold", "mart")
 AS_OF = "as_of"
 
-# Most marts count distinct orders: with an order's lines in one file, each task sends one row per
-# order and group to the shuffle instead of one per line.
-STORED_CLUSTERING = {"gold_fact_sale": ["transaction_id"], "gold_fact_sale_alt": ["transaction_id"]}
-
 
 @dataclass(frozen=True)
 class Dataset:
@@ -141,15 +137,14 @@ class Lakehouse:
         Order matters only for speed: a table stored earlier is read, not recomputed, by the next.
         Storing a table again rebuilds it from its definition.  ``prepare(name, df)`` may attach
         something to the rows on their way, such as expectations.
+
+        Rows are written as their definition lays them out.  ``gold_fact_sale`` comes from the join of
+        lines and orders, so an order's lines share a file without another exchange of the widest rows
+        there are, and a very long order, which the skew-join rule splits, is spread.
         """
         for name in names:
-            stored = write_table(
-                self.define(name),
-                self.path(name),
-                cluster_by=STORED_CLUSTERING.get(name, ()),
-                finish=partial(prepare, name) if prepare else None,
-            )
-            self.keep(name, stored)
+            finish = partial(prepare, name) if prepare else None
+            self.keep(name, write_table(self.define(name), self.path(name), finish=finish))
         return self
 
     def store_raw(self, names: Iterable[str]) -> "Lakehouse":

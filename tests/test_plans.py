@@ -91,3 +91,15 @@ def test_lines_are_reduced_before_a_look_up(shuffled, mart, link, suffix):
     assert re.search(rf"HashAggregate\(keys=\[{link}#\d+L, transaction_id#\d+L\], functions=\[partial", join)
     facts = join.split("FileScan")[0]
     assert facts.rfind("HashAggregate") > facts.rfind("Exchange")
+
+
+@pytest.mark.parametrize("suffix", ["", "_alt"])
+def test_lines_are_stored_as_the_order_join_lays_them_out(shuffled, suffix):
+    """An order's lines share a file, without an exchange beyond those of the join."""
+    written = []
+    lake = spec.lakehouse(shuffled, SMALL).store([f"silver_fact_sale{suffix}", f"silver_fact_transaction{suffix}"])
+    lake.store([f"gold_fact_sale{suffix}"], prepare=lambda name, df: written.append(df) or df)
+    assert physical(written[0]).count("Exchange hashpartitioning(transaction_id") == 2
+    assert "REBALANCE" not in physical(written[0])
+    stored = lake.table(f"gold_fact_sale{suffix}").selectExpr("transaction_id", "input_file_name() AS file").distinct()
+    assert stored.count() == stored.select("transaction_id").distinct().count()
