@@ -14,7 +14,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -148,6 +148,156 @@ def word_features(raw: str) -> tuple[list[int], list[int], list[int], list[int],
     )
 
 
+#: What a character says about a token that holds it; the first ones in the order of the marks of `kinds`.
+_UPPER, _LOWER, _DIGIT, _SUM, _JOINT, _SIGN, _WIDE, _NO_HEX, _IS_LOWER, _IS_UPPER, _IS_DIGIT, _PUNCTUATION = (
+    1 << bit for bit in range(12)
+)
+_KNOWN = 1 << 15
+_KINDS = 1 << 7
+#: By code point, filled in as characters are met; 0 is one not met yet.
+_CHARACTERS = np.zeros(0x110000, np.uint16)
+
+
+def _character(c: str) -> int:
+    says = (
+        (_UPPER, c != c.lower()),
+        (_LOWER, c != c.upper()),
+        (_DIGIT, "0" <= c <= "9"),
+        (_SUM, c in "+/="),
+        (_JOINT, c in "_.-"),
+        (_SIGN, c in "!#$%&*?@^~|"),
+        (_WIDE, not c.isascii()),
+        (_NO_HEX, any(x not in "0123456789abcdef" for x in c.lower())),
+        (_IS_LOWER, c.islower()),
+        (_IS_UPPER, c.isupper()),
+        (_IS_DIGIT, c.isdigit()),
+        (_PUNCTUATION, not (c.isalnum() or c == "_")),
+    )
+    return _KNOWN + sum(flag for flag, there in says if there)
+
+
+def _characters(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of a text, and what each says."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    flags = _CHARACTERS[points]
+    new = points[flags == 0]
+    if len(new):
+        for point in set(new.tolist()):
+            _CHARACTERS[point] = _character(chr(point))
+        flags = _CHARACTERS[points]
+    return points, flags
+
+
+def _half_bits(words: list[str], points: np.ndarray, lengths: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """int(2 * _entropy(word[:256])) of every word."""
+    kept = np.minimum(lengths, 256)
+    n = np.repeat(np.arange(len(words)), kept)
+    at = np.arange(len(n)) + (starts - (np.cumsum(kept) - kept))[n]
+    keys = np.sort(n << 21 | points[at])
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    counts = np.diff(first, append=len(keys))
+    more = counts > 1
+    terms = np.bincount(keys[first[more]] >> 21, counts[more] * np.log2(counts[more]), len(words))
+    halves = 2 * (np.log2(kept) - terms / kept)
+    out = halves.astype(np.int64)
+    # rounding decides next to a whole number, so there the sum is done as it is for a single word
+    for i in np.flatnonzero(np.abs(halves - np.rint(halves)) < 1e-9):
+        out[i] = round(halves[i]) if not terms[i] and not kept[i] & kept[i] - 1 else int(2 * _entropy(words[i][:256]))
+    return out
+
+
+def _table(names: Iterable[str]) -> np.ndarray:
+    return np.array([_feature(name) for name in names])
+
+
+_MARKS = ["".join(mark for bit, mark in enumerate("Aa9+_!u") if kinds >> bit & 1) for kinds in range(_KINDS)]
+_KIND = _table(f"kinds:{marks}" for marks in _MARKS)
+_LENGTH = _table(f"length:{n}" for n in range(13))
+_KIND_LENGTH = _table(f"kinds+length:{marks}{n}" for marks in _MARKS for n in range(7)).reshape(_KINDS, 7)
+_HEXADECIMAL = _table(f"hex:{there}:{n}" for there in (False, True) for n in range(7)).reshape(2, 7)
+_ENTROPY = _table(f"entropy:{n}" for n in range(17))
+_SWITCHES = _table(f"switches:{n}" for n in range(9))
+_HUMPS = _table(f"humps:{n}" for n in range(5))
+_PLAIN_END = _table(f"before+mark:{asks}" for asks in (False, True))
+_SECOND_ASKS = _table(f"second before asks:{asks}" for asks in (False, True))
+_BEFORE, _SECOND, _AFTER, _PREFIX = (zlib.crc32(name) for name in (b"before:", b"second before:", b"after:", b"prefix:"))
+#: By length in bytes: how the checksums of a text behind one name and behind another differ, whatever the text is.
+_SECOND_BEFORE, _AFTER_BEFORE = (
+    np.array([zlib.crc32(bytes(n), name) ^ zlib.crc32(bytes(n), _BEFORE) for n in range(4 * 16 + 1)]) for name in (_SECOND, _AFTER)
+)
+#: Words of `_ASKS` at the ends of lines.
+_ASKS_IN_LINES = re.compile(_ASKS.pattern.replace(r"\A", "^").replace(r"\W{0,3}\Z", r"[^\w\n]{0,3}$"), re.M)
+
+
+def _spelled(texts: list[str]) -> list[bytes]:
+    try:
+        return [text.encode() for text in texts]
+    except UnicodeEncodeError:
+        return [text.encode("utf-8", "surrogatepass") for text in texts]
+
+
+def _hashed(texts: list[bytes], name: int) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, texts, repeat(name)), np.int64, len(texts))
+
+
+def all_word_features(raws: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    """What `word_features` says of every word, none of them empty or with white space: features by role, one row for
+    each word, and whether it asks."""
+    words = [raw.lstrip(_OPENS).rstrip(_CLOSES) or raw for raw in raws]
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    points, flags = _characters("".join(words))
+    any_of = np.bitwise_or.reduceat(flags, starts)
+    kinds = (any_of & _KINDS - 1).astype(np.int64)
+    hexadecimal = (any_of & _NO_HEX == 0).astype(np.int64)
+
+    def pairs(there: np.ndarray) -> np.ndarray:
+        """Number of places by word, of those where two characters of the text meet; not those between words."""
+        there[ends[:-1] - 1] = False
+        return np.add.reduceat(np.append(there, False), starts, dtype=np.int64)
+
+    digit, lower, upper = flags & _IS_DIGIT != 0, flags & _IS_LOWER != 0, flags & _IS_UPPER != 0
+    switches = pairs(digit[1:] != digit[:-1])
+    humps = pairs(lower[:-1] & upper[1:])
+    # there are letters that count as upper case but have no lower case; alone they make no hump
+    humps[pairs(flags[1:] & _UPPER != 0) == 0] = 0
+    quarter = np.minimum(lengths // 4, 12)
+    eighth = quarter // 2
+
+    lowers = [raw.lower() for raw in raws]
+    tails = [low[-16:] for low in lowers]
+    asks = np.zeros(len(raws), np.int64)
+    lines = np.cumsum(np.fromiter(map(len, tails), np.int64, len(tails)) + 1)
+    found = [match.end() for match in _ASKS_IN_LINES.finditer("\n".join(tails))]
+    asks[np.searchsorted(lines, found, side="right")] = 1
+    marked = _PLAIN_END[asks]
+    last = _characters("".join([low[-1] for low in lowers]))[1]
+    for i in np.flatnonzero(last & _PUNCTUATION):
+        marked[i] = _few(f"before+mark:{bool(asks[i])}{_MARK.search(tails[i])[0]}")
+
+    spelled = _spelled(tails)
+    sizes = np.fromiter(map(len, spelled), np.int64, len(spelled))
+    before = _hashed(spelled, _BEFORE)
+    after = before ^ _AFTER_BEFORE[sizes]
+    long = np.flatnonzero(np.fromiter(map(len, lowers), np.int64, len(lowers)) > 16)
+    after[long] = _hashed(_spelled([lowers[i][:16] for i in long]), _AFTER)
+    prefix = _hashed(_spelled([word[:4] for word in words]), _PREFIX)
+    shape = (
+        _KIND[kinds],
+        _LENGTH[quarter],
+        _KIND_LENGTH[kinds, eighth],
+        _HEXADECIMAL[hexadecimal, eighth],
+        _ENTROPY[_half_bits(words, points, lengths, starts)],
+        _SWITCHES[np.minimum(switches, 8)],
+        _HUMPS[np.minimum(humps, 4)],
+        prefix % BUCKETS,
+    )
+    second = before ^ _SECOND_BEFORE[sizes]
+    roles = (shape, (before % BUCKETS, marked), (second % BUCKETS, _SECOND_ASKS[asks]), (after % BUCKETS,))
+    return [np.stack(role, axis=1) for role in roles], asks.astype(bool)
+
+
 def gap_features(gap: str) -> tuple[int, int]:
     """Features that a gap gives to the token behind it and to the one before it."""
     kind = re.sub(r"[^\S\n]+", " ", gap)[:4]
@@ -172,7 +322,7 @@ def _asked(asks: np.ndarray, quotes: np.ndarray, breaks: np.ndarray) -> tuple[np
     return np.where(near, at - last, 0), np.where(near, np.minimum(seen - seen[last], 2), 0)
 
 
-#: Tokens and gaps that a reader remembers; beyond, it forgets all of them.
+#: Tokens and gaps that a reader remembers; beyond, it forgets the tokens that came in one batch only, and all gaps.
 REMEMBERED = 200_000
 _END = ""
 
@@ -182,30 +332,52 @@ class Reader:
 
     def __init__(self, field: "Field"):
         self.field = field
+        self._weights = field.weights.astype(np.float64)
+        self._asked = self._weights[_ASK_FEATURES.ravel()]
         self._forget()
 
     def _forget(self) -> None:
         self._word: dict[str, int] = {}
-        self._gap: dict[str, int] = {}
         #: by word: what it adds to its own scores, to those of the next two tokens and to those before it
         self._own = [np.empty((0, 3)) for _ in range(4)]
         self._asks = np.empty(0, bool)
+        # whether it came again in a later batch, since some were last forgotten
+        self._again = np.empty(0, bool)
+        self._forget_gaps()
+
+    def _forget_gaps(self) -> None:
+        self._gap: dict[str, int] = {}
         self._beside = [np.empty((0, 3)) for _ in range(2)]
         self._quotes = np.empty(0, np.int64)
         self._breaks = np.empty(0, bool)
 
+    def _forget_some(self) -> None:
+        kept = np.flatnonzero(self._again)
+        if len(kept) > REMEMBERED // 2:
+            kept = kept[:0]
+        words = list(self._word)
+        self._word = {words[i]: n for n, i in enumerate(kept.tolist())}
+        self._own = [own[kept] for own in self._own]
+        self._asks, self._again = self._asks[kept], np.zeros(len(kept), bool)
+
     def learn(self, texts: list[tuple[list[str], list[str]]]) -> None:
-        if len(self._word) > REMEMBERED or len(self._gap) > REMEMBERED:
-            self._forget()
+        if len(self._word) > REMEMBERED:
+            self._forget_some()
+        if len(self._gap) > REMEMBERED:
+            self._forget_gaps()
         weights = self.field.weights
-        new = {_END}.union(*(words for words, _ in texts)) - self._word.keys()
+        used = {_END}.union(*(words for words, _ in texts))
+        new = used - self._word.keys()
+        old = used - new
+        self._again[np.fromiter(map(self._word.__getitem__, old), np.int64, len(old))] = True
         if new:
-            found = [word_features(word) if word else word_features("\x00") for word in new]
+            found, asks = all_word_features([word or "\x00" for word in new])
             self._word.update(zip(new, range(len(self._word), len(self._word) + len(new))))
-            for role in range(4):
-                own = weights[np.array([f[role] for f in found])].sum(axis=1, dtype=np.float64)
+            for role, features in enumerate(found):
+                own = sum(self._weights.take(column, axis=0) for column in features.T)
                 self._own[role] = np.concatenate([self._own[role], own])
-            self._asks = np.concatenate([self._asks, [f[4] for f in found]])
+            self._asks = np.concatenate([self._asks, asks])
+            self._again = np.concatenate([self._again, np.zeros(len(asks), bool)])
         gaps = set().union(*(gaps for _, gaps in texts)) - self._gap.keys()
         if gaps:
             self._gap.update(zip(gaps, range(len(self._gap), len(self._gap) + len(gaps))))
@@ -221,10 +393,11 @@ class Reader:
         ids = np.fromiter((end, end, *map(number, words), end), np.int64, n + 3)
         beside = np.fromiter(map(self._gap.__getitem__, gaps), np.int64, n + 1)
         shape, before, second, after = self._own
-        out = shape[ids[2:-1]] + before[ids[1:-2]] + second[ids[:-3]] + after[ids[3:]]
-        out += self._beside[0][beside[:-1]] + self._beside[1][beside[1:]]
+        out = shape.take(ids[2:-1], axis=0) + before.take(ids[1:-2], axis=0)
+        out += second.take(ids[:-3], axis=0) + after.take(ids[3:], axis=0)
+        out += self._beside[0].take(beside[:-1], axis=0) + self._beside[1].take(beside[1:], axis=0)
         far, between = _asked(self._asks[ids[2:-1]], self._quotes[beside[:-1]], self._breaks[beside[:-1]])
-        out += self.field.weights[_ASK_FEATURES][far, between]
+        out += self._asked.take(3 * far + between, axis=0)
         return out + self.field.weights[file_features(words, text)].sum(axis=0, dtype=np.float64)
 
 

@@ -175,6 +175,46 @@ def test_a_reader_adds_up_what_the_features_say():
         assert reader.scores(words, gaps, text) == pytest.approx(field.scores(plain), abs=1e-4)
 
 
+def test_features_of_many_words_equal_those_of_each():
+    rnd = random.Random(12)
+    parts = [*"aabzZAF0159+/=_.-!#$%&*(){}[]<>;:,|~", "é", "ß", "ſ", "İ", "Σ", "𝐀", "Ⓐ", "²", "五", "٠", "ǅ", "\x00", "\ud800"]
+    parts += "password passwd pass_phrase key api_key apikey token bearer secret credentials pwd phrase".split()
+    words = ["".join(rnd.choices(parts, k=rnd.randint(1, rnd.choice([3, 9, 40])))) for _ in range(4000)]
+    words += ["aB" * 200, "a" * 600, "x" * 255 + "Yz9", "(((", ")", "a𝐀", "a𝐀B", "aaabbb", "abcd", "aabbccdd", "aaabbbcccccc"]
+    for some in ([words[0]], words[-3:], words):
+        roles, asks = secrets_crf.all_word_features(some)
+        each = [secrets_crf.word_features(word) for word in some]
+        for role, features in enumerate(roles):
+            assert features.tolist() == [found[role] for found in each]
+        assert asks.tolist() == [found[4] for found in each]
+    assert 100 < sum(asks) < 4000
+
+
+def test_new_words_are_learned_together(monkeypatch):
+    def one_by_one(word):
+        raise AssertionError(f"{word} by itself")
+
+    reader, text = secrets_crf.Reader(secrets_crf.Field.empty()), "my token is ab cd"
+    monkeypatch.setattr(secrets_crf, "word_features", one_by_one)
+    assert secrets_crf.all_spans([text, ""], reader) == [([], []), ([], [])]
+
+
+def test_a_reader_that_forgets_finds_the_same(monkeypatch):
+    rnd, field = random.Random(13), secrets_crf.Field.empty()
+    field.weights = np.random.default_rng(14).standard_normal(field.weights.shape).astype(np.float32)
+    words = ["the", "key", "of", *(f"w{i}" for i in range(300))]
+    batches = [[" \n"[rnd.random() < 0.1].join(rnd.choices(words, k=20)) + " " * rnd.randint(0, 40)] for _ in range(60)]
+    whole = secrets_crf.Reader(field)
+    expected = [secrets_crf.all_spans(batch, whole) for batch in batches]
+    for most in (10, 100):
+        monkeypatch.setattr(secrets_crf, "REMEMBERED", most)
+        reader = secrets_crf.Reader(field)
+        for batch, found in zip(batches, expected):
+            assert secrets_crf.all_spans(batch, reader) == found
+            assert len(reader._word) <= most + 21 and len(reader._own[0]) == len(reader._asks) == len(reader._word)
+    assert any(spans for found in expected for _, spans in found)
+
+
 # pages
 
 
