@@ -134,8 +134,8 @@ class ByteBpe:
     # tokens
 
     def merge(self, piece: str) -> list[int]:
-        """The ids of one long piece, from the ids of its halves."""
-        return self._merged("".join(map(self._char_of.__getitem__, piece.encode())))
+        """The ids of one piece, of a long one from the ids of its halves."""
+        return self._merged(piece.encode().decode("latin-1").translate(self._shown))
 
     def _merged(self, shown: str) -> list[int]:
         if len(shown) <= self.leaf:
@@ -160,14 +160,11 @@ class ByteBpe:
             self._met = set()
         new = used - self._ids.keys()
         self._met |= used - new
-        short = [p for p in new if len(p) <= self.leaf]
-        encoded = self.tokenizer.encode_batch_fast(short, add_special_tokens=False)
-        number = self._number.__getitem__
-        self._ids.update((p, tuple(map(number, e.ids))) for p, e in zip(short, encoded))
-        self._ids.update((p, tuple(map(number, self.merge(p)))) for p in new if len(p) > self.leaf)
+        number = self._number
+        self._ids.update((p, tuple([number[i] for i in self.merge(p)])) for p in new)
 
-    def encode_all(self, texts: list[str | None]) -> list[list[int]]:
-        """The ids of every text; all the leaves' unknown pieces go to the library in one parallel call."""
+    def _known(self, texts: list[str | None]) -> tuple[list[list[str]], set[str], dict[str, tuple[int, ...]]]:
+        """The pieces of every text, all of them once, and their ids."""
         split = [self._pieces_and_added(text or "") for text in texts]
         used: set[str] = set()
         for own in split:
@@ -175,8 +172,28 @@ class ByteBpe:
         own_ids = {p: (self._added[p],) for p in used & self._added.keys()}
         self._learn(used - own_ids.keys())
         known = self._ids if not own_ids else {p: self._ids[p] for p in used - own_ids.keys()} | own_ids
+        return split, used, known
+
+    def encode_all(self, texts: list[str | None]) -> list[list[int]]:
+        """The ids of every text."""
+        split, _, known = self._known(texts)
         return [list(chain.from_iterable(map(known.__getitem__, own))) for own in split]
 
+    def encode_arrays(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of every text as arrays, put together from those of its pieces without lists of ids."""
+        split, used, known = self._known(texts)
+        place = dict(zip(used, range(len(used))))
+        sizes = np.fromiter((len(known[p]) for p in place), np.int64, len(place))
+        flat = np.fromiter(chain.from_iterable(map(known.__getitem__, place)), np.int32, sizes.sum())
+        starts = np.cumsum(sizes) - sizes
+        out = []
+        for own in split:
+            at = np.fromiter(map(place.__getitem__, own), np.int64, len(own))
+            n = sizes.take(at)
+            ends = np.cumsum(n)
+            out.append(flat.take(np.repeat(starts.take(at) - ends + n, n) + np.arange(n.sum())))
+        return out
+
     def count_all(self, texts: list[str | None]) -> list[int]:
         """The number of ids of every text. Only numbers are remembered, so a worker holds no id lists."""
         counts = []

@@ -28,17 +28,53 @@ _FULL = np.uint64((1 << 48) - 1)
 _SMALL = np.uint64(1 << 32)
 
 
+class _Counts:
+    """Adaptive frequencies of symbols in many contexts, kept as running sums: a row has the total in front, then the
+    sums before each symbol but the first."""
+
+    def __init__(self, contexts: int, symbols: int, longest: int):
+        self.kind = np.uint16 if STEP * longest + symbols < 1 << 16 else np.uint32
+        row = np.arange(symbols, dtype=self.kind)
+        self.steps = STEP * (row > row[:, None]).astype(self.kind)
+        row[0], self.steps[:, 0] = symbols, STEP
+        self.symbols = symbols
+        self.sums = np.tile(row, (contexts, 1))
+        self.bits = np.dtype(f"u{symbols // 8}") if symbols >= 8 else None
+
+    def rows(self, contexts: np.ndarray) -> np.ndarray:
+        return self.sums.take(contexts, axis=0)
+
+    def bounds(self, rows: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sum before the symbol of each row, and the symbol's own frequency."""
+        starts, flat = np.arange(0, rows.size, self.symbols), rows.ravel()
+        low = flat.take(starts + symbol) * (symbol > 0)
+        # behind the last symbol stands the total, at the front
+        return low, flat.take(starts + (symbol + 1) % self.symbols) - low
+
+    def symbol(self, rows: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """The symbol in whose part of each row's sums `share` lies, which is below the total."""
+        reached = rows <= share.astype(self.kind)[:, None]
+        if self.bits is None:
+            return reached.sum(axis=1)
+        # one bit for each sum, and the number of bits set
+        return np.bitwise_count(np.packbits(reached).view(self.bits)).astype(np.int64)
+
+    def add(self, contexts: np.ndarray, rows: np.ndarray, symbol: np.ndarray) -> None:
+        rows += self.steps.take(symbol, axis=0)
+        self.sums[contexts] = rows
+
+
 class _Model:
     """What all lanes have seen so far; lanes that have ended are at the end and are left out by `n`."""
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, longest: int):
         self.slot_base = np.arange(lanes) * SLOTS
         # what followed last, and in the two lowest bits how sure that is
         self.held = [np.full(lanes * SLOTS, -4, np.int32) for _ in range(2)]
-        self.which = np.ones((lanes * (MOST_SURE + 1) ** 2, 3), np.uint16)
+        self.which = _Counts(lanes * (MOST_SURE + 1) ** 2, 3, longest)
         self.which_base = np.arange(lanes) * (MOST_SURE + 1) ** 2
         above = [1 << sum(PARTS[:k]) for k in range(len(PARTS))]
-        self.part = [np.ones((lanes * a, 1 << bits), np.uint16) for a, bits in zip(above, PARTS)]
+        self.part = [_Counts(lanes * a, 1 << bits, longest) for a, bits in zip(above, PARTS)]
         self.part_base = [np.arange(lanes) * a for a in above]
         self.last = np.zeros((2, lanes), np.int64)
 
@@ -75,31 +111,19 @@ def _parts(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-#: Running sums as a product: exact in single precision, as no sum reaches 2^24, and much faster along short rows.
-_SUMS = {width: np.triu(np.ones((width, width), np.float32)) for width in (3, *(1 << bits for bits in PARTS))}
-
-
-def _running(rows: np.ndarray) -> np.ndarray:
-    return rows.astype(np.float32) @ _SUMS[rows.shape[1]]
-
-
-def _unsigned(x: np.ndarray) -> np.ndarray:
-    return x.astype(np.uint64)
-
-
 class _Writer:
     def __init__(self, lanes: int):
         self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, _FULL)
         self.lanes: list[np.ndarray] = []
         self.words: list[np.ndarray] = []
 
-    def put(self, rows: np.ndarray, symbol: np.ndarray, lanes: np.ndarray) -> None:
-        """Code one symbol a lane, with the counts in `rows`."""
-        sums = _running(rows)
-        at = np.arange(len(rows)) * rows.shape[1] + symbol
-        freq = _unsigned(rows.ravel().take(at))
-        unit = self.range.take(lanes) // _unsigned(sums[:, -1])
-        low = self.low.take(lanes) + unit * (_unsigned(sums.ravel().take(at)) - freq)
+    def put(self, counts: _Counts, contexts: np.ndarray, symbol: np.ndarray, lanes: np.ndarray) -> None:
+        """Code one symbol a lane, with the counts of its context, and count it."""
+        rows = counts.rows(contexts)
+        before, freq = counts.bounds(rows, symbol)
+        unit = self.range.take(lanes) // rows[:, 0]
+        counts.add(contexts, rows, symbol)
+        low = self.low.take(lanes) + unit * before
         width = unit * freq
         small = np.flatnonzero(width < _SMALL)
         if len(small):
@@ -138,16 +162,15 @@ class _Reader:
             self.value = self.value << _SHIFT16 | self.words[self.next]
             self.next += 1
 
-    def get(self, rows: np.ndarray, lanes: np.ndarray) -> np.ndarray:
-        sums = _running(rows)
-        total = sums[:, -1]
-        unit = self.range.take(lanes) // _unsigned(total)
+    def get(self, counts: _Counts, contexts: np.ndarray, lanes: np.ndarray) -> np.ndarray:
+        rows = counts.rows(contexts)
+        total = rows[:, 0]
+        unit = self.range.take(lanes) // total
         value = self.value.take(lanes)
-        share = np.minimum((value // unit).astype(np.float32), total - 1)
-        symbol = np.count_nonzero(sums <= share[:, None], axis=1)
-        each = np.arange(len(rows)) * rows.shape[1] + symbol
-        freq = _unsigned(rows.ravel().take(each))
-        value = value - unit * (_unsigned(sums.ravel().take(each)) - freq)
+        symbol = counts.symbol(rows, np.minimum(value // unit, total - 1))
+        before, freq = counts.bounds(rows, symbol)
+        counts.add(contexts, rows, symbol)
+        value = value - unit * before
         width = unit * freq
         small = np.flatnonzero(width < _SMALL)
         if len(small):
@@ -171,25 +194,22 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     if not blocks:
         return []
     for block in blocks:
-        if len(block) and (min(block) < 0 or max(block) >= 1 << sum(PARTS)):
+        if len(block) and (np.min(block) < 0 or np.max(block) >= 1 << sum(PARTS)):
             raise ValueError(f"ids must be from 0 to {(1 << sum(PARTS)) - 1}")
     order, at_work = _in_turns([len(b) for b in blocks])
     ids = np.zeros((len(at_work), len(blocks)), np.int32)
     for lane, b in enumerate(order):
         ids[: len(blocks[b]), lane] = blocks[b]
-    model, writer, all_lanes = _Model(len(blocks)), _Writer(len(blocks)), np.arange(len(blocks))
+    model, writer, all_lanes = _Model(len(blocks), len(at_work)), _Writer(len(blocks)), np.arange(len(blocks))
     for position, n in enumerate(at_work):
         now = ids[position, :n]
         model.look(n)
         which = np.where(model.two == now, 0, np.where(model.one == now, 1, 2))
-        writer.put(model.which.take(model.row, axis=0), which, all_lanes[:n])
-        model.which[model.row, which] += STEP
+        writer.put(model.which, model.row, which, all_lanes[:n])
         lanes = np.flatnonzero(which == 2)
         if len(lanes):
             for k, (above, part) in enumerate(_parts(now[lanes])):
-                row = model.part_base[k][lanes] + above
-                writer.put(model.part[k].take(row, axis=0), part, lanes)
-                model.part[k][row, part] += STEP
+                writer.put(model.part[k], model.part_base[k][lanes] + above, part, lanes)
         model.learn(now)
     payloads = writer.finish()
     out = [b""] * len(blocks)
@@ -204,19 +224,16 @@ def decode_blocks(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]
         return []
     order, at_work = _in_turns(lengths)
     ids = np.zeros((len(at_work), len(payloads)), np.int32)
-    model, reader, all_lanes = _Model(len(payloads)), _Reader([payloads[b] for b in order]), np.arange(len(payloads))
+    model, reader, all_lanes = _Model(len(payloads), len(at_work)), _Reader([payloads[b] for b in order]), np.arange(len(payloads))
     for position, n in enumerate(at_work):
         model.look(n)
-        which = reader.get(model.which.take(model.row, axis=0), all_lanes[:n])
-        model.which[model.row, which] += STEP
+        which = reader.get(model.which, model.row, all_lanes[:n])
         now = np.where(which == 0, model.two, model.one)
         lanes = np.flatnonzero(which == 2)
         if len(lanes):
             above = np.zeros(len(lanes), np.int64)
             for k, bits in enumerate(PARTS):
-                row = model.part_base[k][lanes] + above
-                part = reader.get(model.part[k].take(row, axis=0), lanes)
-                model.part[k][row, part] += STEP
+                part = reader.get(model.part[k], model.part_base[k][lanes] + above, lanes)
                 above = above << bits | part
             now[lanes] = above
         model.learn(now)

@@ -61,10 +61,9 @@ def _blocks(vocabulary: str | None, block_ids: int, lanes: int):
 
         for batch in batches:
             for doc_id, own in zip(
-                batch.column("doc_id").to_pylist(), encoder.encode_all(batch.column("text").to_pylist())
+                batch.column("doc_id").to_pylist(), encoder.encode_arrays(batch.column("text").to_pylist())
             ):
-                own.append(END)
-                rest, piece = np.array(own, np.int32), 0
+                rest, piece = np.append(own, np.int32(END)), 0
                 while len(rest):
                     some, rest = rest[:room], rest[room:]
                     ids[-1].append(some)

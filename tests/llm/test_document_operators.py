@@ -121,6 +121,18 @@ def test_ids_and_texts_equal_the_library(spark):
     assert {t or "" for _, t, _ in TEXTS} == back
 
 
+def test_arrays_of_ids_equal_the_library():
+    library = Tokenizer.from_file(bpe.default_vocabulary())
+    texts = [None, "", "a", *(text for _, text, _ in TEXTS), "the house <|endoftext|> the house\n\n  12,5 \u4e94\u00e9" * 3, "x" * 300]
+    for leaf in (8, bpe.LEAF_CHARS):
+        encoder = bpe.ByteBpe(bpe.default_vocabulary(), leaf)
+        for some in (texts, texts[:2], []):
+            arrays = encoder.encode_arrays(some)
+            assert all(ids.dtype == "int32" for ids in arrays)
+            assert [ids.tolist() for ids in arrays] == encoder.encode_all(some)
+            assert [ids.tolist() for ids in arrays] == [library.encode(t or "", add_special_tokens=False).ids for t in some]
+
+
 @pytest.mark.parametrize("leaf", [6, 17, 64])
 def test_halves_agree_with_the_whole(leaf):
     rnd, encoder = random.Random(leaf), bpe.ByteBpe(bpe.default_vocabulary(), leaf)

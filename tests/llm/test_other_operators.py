@@ -426,6 +426,30 @@ def test_blocks_come_back():
     assert len(id_coder.encode_blocks(repeated)[0]) < 1000
 
 
+def test_running_sums_equal_plain_counts():
+    rng, step = np.random.default_rng(15), id_coder.STEP
+    for symbols, longest in ((3, 100), (32, 100), (64, 20_000)):
+        counts, plain = id_coder._Counts(5, symbols, longest), np.ones((5, symbols), np.int64)
+        assert step * longest + symbols <= np.iinfo(counts.kind).max
+        for _ in range(100):
+            contexts = rng.permutation(5)[:3]
+            symbol, rows = rng.integers(0, symbols, 3), counts.rows(contexts)
+            before = np.array([plain[c, :s].sum() for c, s in zip(contexts, symbol)])
+            low, freq = counts.bounds(rows, symbol)
+            assert (low == before).all() and (freq == plain[contexts, symbol]).all()
+            assert (rows[:, 0] == plain[contexts].sum(axis=1)).all()
+            for share in (low, low + freq - 1):
+                assert (counts.symbol(rows, share.astype(np.uint64)) == symbol).all()
+            counts.add(contexts, rows, symbol)
+            plain[contexts, symbol] += step
+
+
+def test_long_blocks_come_back():
+    blocks = [np.full(30_000, 7, np.int32), np.arange(12_000, dtype=np.int32) % 3]
+    back = id_coder.decode_blocks(id_coder.encode_blocks(blocks), [len(b) for b in blocks])
+    assert [b.tolist() for b in back] == [b.tolist() for b in blocks]
+
+
 @pytest.mark.parametrize("odd", [70000, 1 << 16, -1])
 def test_ids_that_do_not_fit_are_an_error(odd):
     with pytest.raises(ValueError, match="65535"):
