@@ -29,7 +29,7 @@ from shopledger.llm.tables import small_batches
 
 #: Characters behind a piece's end that may have decided where it ends.
 LOOK = 3
-#: Texts and pieces of more characters are done in halves.
+#: Pieces, and texts that the library splits, of more characters are done in halves.
 LEAF_CHARS = 4096
 #: Pieces whose ids a worker remembers; beyond, it forgets those not met since it last forgot some.
 REMEMBERED = 250_000
@@ -53,6 +53,19 @@ def _pattern() -> re.Pattern[str]:
 _PIECE = _pattern()
 
 
+class _Numbers(dict):
+    """Numbers of pieces in the order they are first asked for; `new` are those that came since it was last emptied."""
+
+    def __init__(self, known: Iterable[tuple[str, int]] = ()):
+        super().__init__(known)
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self)
+        self.new.append(piece)
+        return number
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -93,6 +106,10 @@ class ByteBpe:
         self._number = list(range(size))
         self._model = self.tokenizer.model  # asking the tokenizer for it makes a new object every time
         self._sizes: dict[str, int] = {}
+        # pieces by number: all their ids in one array, where each begins and how many it has, whether it came again
+        self._numbers = _Numbers()
+        self._flat, self._starts, self._counts = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self._again = np.empty(0, bool)
         self._shown = str.maketrans({b: c for b, c in enumerate(map(self._char_of.__getitem__, range(256)))})
 
     # pieces
@@ -101,8 +118,8 @@ class ByteBpe:
         return [text[s:e] for _, (s, e) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
     def pieces(self, text: str) -> list[str]:
-        """What the vocabulary's pattern splits `text` into."""
-        return self._tree(text, self._library_pieces if _OTHER.search(text) else _PIECE.findall)
+        """What the vocabulary's pattern splits `text` into. One pass over all of it, but for the library's halves."""
+        return self._tree(text, self._library_pieces) if _OTHER.search(text) else _PIECE.findall(text)
 
     def _tree(self, text: str, split: Callable[[str], list[str]]) -> list[str]:
         if len(text) <= self.leaf:
@@ -163,8 +180,8 @@ class ByteBpe:
         number = self._number
         self._ids.update((p, tuple([number[i] for i in self.merge(p)])) for p in new)
 
-    def _known(self, texts: list[str | None]) -> tuple[list[list[str]], set[str], dict[str, tuple[int, ...]]]:
-        """The pieces of every text, all of them once, and their ids."""
+    def _known(self, texts: list[str | None]) -> tuple[list[list[str]], dict[str, tuple[int, ...]]]:
+        """The pieces of every text, and the ids of each."""
         split = [self._pieces_and_added(text or "") for text in texts]
         used: set[str] = set()
         for own in split:
@@ -172,27 +189,58 @@ class ByteBpe:
         own_ids = {p: (self._added[p],) for p in used & self._added.keys()}
         self._learn(used - own_ids.keys())
         known = self._ids if not own_ids else {p: self._ids[p] for p in used - own_ids.keys()} | own_ids
-        return split, used, known
+        return split, known
 
     def encode_all(self, texts: list[str | None]) -> list[list[int]]:
         """The ids of every text."""
-        split, _, known = self._known(texts)
+        split, known = self._known(texts)
         return [list(chain.from_iterable(map(known.__getitem__, own))) for own in split]
 
     def encode_arrays(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of every text as arrays, put together from those of its pieces without lists of ids."""
-        split, used, known = self._known(texts)
-        place = dict(zip(used, range(len(used))))
-        sizes = np.fromiter((len(known[p]) for p in place), np.int64, len(place))
-        flat = np.fromiter(chain.from_iterable(map(known.__getitem__, place)), np.int32, sizes.sum())
-        starts = np.cumsum(sizes) - sizes
-        out = []
-        for own in split:
-            at = np.fromiter(map(place.__getitem__, own), np.int64, len(own))
-            n = sizes.take(at)
-            ends = np.cumsum(n)
-            out.append(flat.take(np.repeat(starts.take(at) - ends + n, n) + np.arange(n.sum())))
-        return out
+        """The ids of every text as arrays, put together from those of its numbered pieces without lists of ids."""
+        if not texts:
+            return []
+        known = len(self._numbers)
+        numbers = []
+        for text in texts:
+            own = self._pieces_and_added(text or "")
+            numbers.append(np.fromiter(map(self._numbers.__getitem__, own), np.int32, len(own)))
+        used = np.concatenate(numbers)
+        self._again[used[used < known]] = True
+        self._learn_numbered()
+        ids, counts = self._ids_of(used)
+        ends = np.append(0, np.cumsum(counts)).take(np.cumsum([len(n) for n in numbers]))
+        if len(self._numbers) > REMEMBERED:
+            self._forget(used)
+        return np.split(ids, ends[:-1])
+
+    def _ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces with these numbers, one behind the other, and how many each has."""
+        counts = self._counts.take(numbers)
+        ends = np.cumsum(counts)
+        at = np.repeat(self._starts.take(numbers) - ends + counts, counts)
+        return self._flat.take(at + np.arange(len(at))), counts
+
+    def _learn_numbered(self) -> None:
+        new, self._numbers.new = self._numbers.new, []
+        merged = [(self._added[p],) if p in self._added else self.merge(p) for p in new]
+        counts = np.fromiter(map(len, merged), np.int64, len(new))
+        flat = np.fromiter(chain.from_iterable(merged), np.int32, counts.sum())
+        self._starts = np.concatenate((self._starts, len(self._flat) + np.cumsum(counts) - counts))
+        self._flat = np.concatenate((self._flat, flat))
+        self._counts = np.concatenate((self._counts, counts))
+        self._again = np.concatenate((self._again, np.zeros(len(new), bool)))
+
+    def _forget(self, used: np.ndarray) -> None:
+        """Keep only pieces that came again, or if these are too many those just used, and number them anew."""
+        kept = np.flatnonzero(self._again)
+        if len(kept) > REMEMBERED // 2:
+            kept = np.unique(used)
+        pieces = list(self._numbers)
+        self._numbers = _Numbers(zip(map(pieces.__getitem__, kept.tolist()), range(len(kept))))
+        self._flat, self._counts = self._ids_of(kept)
+        self._starts = np.cumsum(self._counts) - self._counts
+        self._again = np.zeros(len(kept), bool)
 
     def count_all(self, texts: list[str | None]) -> list[int]:
         """The number of ids of every text. Only numbers are remembered, so a worker holds no id lists."""

@@ -1,31 +1,47 @@
-"""Adaptive context-mixing range coder for token ids, many blocks at a time.
+"""Adaptive context-mixing coder for token ids, all streams of a block at a time.
 
 Each block begins with an empty model, so it can be decoded alone. Three orders predict the next id: order 2 and order 1
-each the id that last followed the last two ids, or the last one, in the block, and order 0 a frequency for every id.
-How far each is trusted is learned: which of them is right is coded with frequencies counted for every combination of
-the two predictors' confidences; where neither is, the id follows in three parts with their own adaptive frequencies.
+each the id that last followed the last two ids, or the last one, in the block, and order 0 a frequency for every id met
+in it. Their distributions are mixed to one: each combination of the two predictors' confidences has shares for order 2,
+order 1 and order 0, which are learned from how often they were right. The id is coded with its part of that mixture by
+rANS. An id that no order knows is coded as an escape, and stands by itself behind the words.
 
-numpy works on one position of all blocks at once; a block is a lane.
+A block is cut to streams of neighbouring ids, which share the model; numpy works on one position of all streams at
+once. The model learns after every position; frequencies and shares are counted anew each time the ids seen since have
+reached a share of all before, so their cost is the logarithm of the block's length.
+
+A payload is the number of escapes (4 bytes), the last state of each stream (8 each), words (4 each), escaped ids (2 each).
 """
 
 from __future__ import annotations
 
 import zlib
+from math import isqrt
 
 import numpy as np
 
-#: Ids are coded in parts of so many bits, highest first; 16 bits in all.
-PARTS = (5, 5, 6)
-SLOTS = 4096
-MOST_SURE = 3
+#: Ids are below this number, which itself stands for an escape.
+IDS = ESCAPE = 1 << 16
+#: Order-0 frequencies of a block add up to 2^TABLE_BITS, the shares of the orders to 2^TRUST_BITS.
+TABLE_BITS, TRUST_BITS = 18, 12
+SCALE_BITS = TABLE_BITS + TRUST_BITS
+#: Slots of order 2.
+SLOTS = 1 << 18
+#: How sure a prediction can be, in SURE_BITS bits; 0 where nothing has followed yet.
+SURE_BITS = 3
+MOST_SURE = (1 << SURE_BITS) - 1
+#: Combinations of both confidences, and whether both predict the same id.
+_TRUSTS = 2 << 2 * SURE_BITS
 #: What an occurrence adds to a count that starts with 1; a block's counts then stay below 2^16.
 STEP = 6
-BLOCK_IDS = 8192
-LANES = 1024
-_LOW32 = np.uint64(0xFFFFFFFF)
-_SHIFT16, _SHIFT32 = np.uint64(16), np.uint64(32)
-_FULL = np.uint64((1 << 48) - 1)
-_SMALL = np.uint64(1 << 32)
+#: Most positions of a stream. A block of BLOCK_IDS then has 4,096 streams.
+ROUNDS = 1024
+BLOCK_IDS = 1 << 22
+_LOW32 = (1 << 32) - 1
+_LOWEST, _WORD, _SCALE = np.uint64(1 << 31), np.uint64(32), np.uint64(SCALE_BITS)
+_FULL, _BELOW = np.uint64(1 << SCALE_BITS), np.uint64((1 << SCALE_BITS) - 1)
+#: A state times this stays below 2^63 after an id is coded if it was below this times the id's part.
+_MOST = np.uint64(63 - SCALE_BITS)
 
 
 class _Counts:
@@ -65,183 +81,184 @@ class _Counts:
 
 
 class _Model:
-    """What all lanes have seen so far; lanes that have ended are at the end and are left out by `n`."""
-
-    def __init__(self, lanes: int, longest: int):
-        self.slot_base = np.arange(lanes) * SLOTS
-        # what followed last, and in the two lowest bits how sure that is
-        self.held = [np.full(lanes * SLOTS, -4, np.int32) for _ in range(2)]
-        self.which = _Counts(lanes * (MOST_SURE + 1) ** 2, 3, longest)
-        self.which_base = np.arange(lanes) * (MOST_SURE + 1) ** 2
-        above = [1 << sum(PARTS[:k]) for k in range(len(PARTS))]
-        self.part = [_Counts(lanes * a, 1 << bits, longest) for a, bits in zip(above, PARTS)]
-        self.part_base = [np.arange(lanes) * a for a in above]
-        self.last = np.zeros((2, lanes), np.int64)
-
-    def look(self, n: int) -> None:
-        """Predictions for the next id of the first n lanes."""
-        one, two = self.last[0, :n], self.last[1, :n]
-        first = self.slot_base[:n] + (one * 0x9E3779B1 >> 12 & SLOTS - 1)
-        second = self.slot_base[:n] + ((one * 0x9E3779B1 + two * 0x85EBCA6B) >> 13 & SLOTS - 1)
-        self.at = (first, second)
-        self.found = (self.held[0].take(first), self.held[1].take(second))
-        self.one, self.two = self.found[0] >> 2, self.found[1] >> 2
-        self.sures = (self.found[0] & MOST_SURE, self.found[1] & MOST_SURE)
-        self.row = self.which_base[:n] + self.sures[0] + (MOST_SURE + 1) * self.sures[1]
-
-    def learn(self, ids: np.ndarray) -> None:
-        n = len(ids)
-        fresh = ids.astype(np.int32) << 2
-        for k, guess in enumerate((self.one, self.two)):
-            found, sure = self.found[k], self.sures[k]
+    """What a block has shown so far: followers in orders 1 and 2, frequencies of ids, and how often each was right."""
+
+    def __init__(self) -> None:
+        # what followed last, and in the lowest bits how sure that is
+        self.held = [np.zeros(IDS, np.int64), np.zeros(SLOTS, np.int64)]
+        # times that order 2, else order 1, else neither predicted the id
+        self.right = np.tile(np.array([1, 1, 2]), (_TRUSTS, 1))
+        self.counts = np.zeros(IDS, np.int64)
+        self.seen = self.fresh = 0
+        self.ids: list[np.ndarray] = []
+        self.outcomes: list[np.ndarray] = []
+        self.size = np.zeros(IDS + 1, np.int64)
+        self.size[ESCAPE] = 1 << TABLE_BITS
+        self._tables()
+
+    def _tables(self) -> None:
+        # first place of each id in the table and, in the low 32 bits, its places
+        self.span = (np.cumsum(self.size) - self.size) << 32 | self.size
+        self.id_at = np.repeat(np.arange(IDS + 1, dtype=np.int32), self.size)
+        shares = 1 + self.right[:, :2] * ((1 << TRUST_BITS) - 3) // self.right.sum(axis=1, keepdims=True)
+        self.share_two, self.share_one = np.ascontiguousarray(shares.T) << TABLE_BITS
+        self.share_table = (1 << TRUST_BITS) - shares.sum(axis=1)
+
+    def look(self, last: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, ...]:
+        """What orders 1 and 2 predict behind the last id and the one before, their shares of the whole, and how
+        much of it each place in the table has."""
+        second = (last * 0x9E3779B1 + before * 0x85EBCA6B) >> 13 & SLOTS - 1
+        self.at = last, second
+        one, two = self.found = self.held[0].take(last), self.held[1].take(second)
+        self.sures = one & MOST_SURE, two & MOST_SURE
+        one, two = one >> SURE_BITS, two >> SURE_BITS
+        self.row = row = (self.sures[0] << SURE_BITS + 1) + (self.sures[1] << 1) + (one == two)
+        return one, two, self.share_one.take(row), self.share_two.take(row), self.share_table.take(row)
+
+    def learn(self, ids: np.ndarray, is_one: np.ndarray, is_two: np.ndarray) -> None:
+        new = ids << SURE_BITS | 1
+        for held, at, found, sure, right in zip(self.held, self.at, self.found, self.sures, (is_one, is_two)):
             # a wrong guess is given up once little speaks for it any more
-            wrong = np.where(sure > 1, found - 1, fresh)
-            self.held[k][self.at[k]] = np.where(guess == ids, found + (sure < MOST_SURE), wrong)
-        self.last[1, :n] = self.last[0, :n]
-        self.last[0, :n] = ids
-
-
-def _parts(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each part of the ids: what stands above it, and the part."""
-    out, rest = [], sum(PARTS)
-    for bits in PARTS:
-        above = ids >> rest
-        rest -= bits
-        out.append((above, ids >> rest & (1 << bits) - 1))
+            wrong = np.where(sure > 2, found - 2, new)
+            held[at] = np.where(right, found + (sure < MOST_SURE), wrong)
+        self.outcomes.append(np.where(is_two, self.row, np.where(is_one, self.row + _TRUSTS, self.row + 2 * _TRUSTS)))
+        self.ids.append(ids)
+        self.fresh += len(ids)
+        if 2 * self.fresh >= self.seen:
+            self._settle()
+
+    def _settle(self) -> None:
+        """Count what was seen since the last time, and share out the table anew."""
+        outcomes = np.bincount(np.concatenate(self.outcomes), minlength=3 * _TRUSTS)
+        self.right += outcomes.reshape(3, _TRUSTS).T
+        counts = np.bincount(np.concatenate(self.ids), minlength=IDS)
+        unknown = np.count_nonzero(counts[self.counts == 0])
+        self.counts += counts
+        self.seen += self.fresh
+        # an escape is as likely as new ids were of late, and at most a quarter of the table
+        known = self.counts > 0
+        places = (1 << TABLE_BITS) - 1 - (unknown << TABLE_BITS - 2) // self.fresh
+        self.size[:IDS] = self.counts * (places - np.count_nonzero(known)) // self.seen + known
+        self.size[ESCAPE] = (1 << TABLE_BITS) - self.size[:IDS].sum()
+        self.ids, self.outcomes, self.fresh = [], [], 0
+        self._tables()
+
+
+def _shape(n: int) -> tuple[int, int, int]:
+    """Positions of a stream of a block of n ids, streams, and positions of the last one, which may be shorter."""
+    rounds = min(ROUNDS, isqrt(4 * n) + 1)
+    streams = -(-n // rounds)
+    return rounds, streams, n - (streams - 1) * rounds
+
+
+def _turned(grid: np.ndarray) -> np.ndarray:
+    out = np.empty(grid.shape[::-1], grid.dtype)
+    for at in range(0, len(grid), 64):
+        out[:, at : at + 64] = grid[at : at + 64].T
     return out
 
 
-class _Writer:
-    def __init__(self, lanes: int):
-        self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, _FULL)
-        self.lanes: list[np.ndarray] = []
-        self.words: list[np.ndarray] = []
-
-    def put(self, counts: _Counts, contexts: np.ndarray, symbol: np.ndarray, lanes: np.ndarray) -> None:
-        """Code one symbol a lane, with the counts of its context, and count it."""
-        rows = counts.rows(contexts)
-        before, freq = counts.bounds(rows, symbol)
-        unit = self.range.take(lanes) // rows[:, 0]
-        counts.add(contexts, rows, symbol)
-        low = self.low.take(lanes) + unit * before
-        width = unit * freq
-        small = np.flatnonzero(width < _SMALL)
-        if len(small):
-            # the carry stays in the word, above its 16 bits, until the block is finished
-            self.lanes.append(lanes[small].astype(np.int16))
-            self.words.append((low[small] >> _SHIFT32).astype(np.uint32))
-            low[small] = (low[small] & _LOW32) << _SHIFT16
-            width[small] <<= _SHIFT16
-        self.low[lanes], self.range[lanes] = low, width
-
-    def finish(self) -> list[bytes]:
-        n = len(self.low)
-        for _ in range(3):
-            self.lanes.append(np.arange(n, dtype=np.int16))
-            self.words.append((self.low >> _SHIFT32).astype(np.uint32))
-            self.low = (self.low & _LOW32) << _SHIFT16
-        lanes, words = np.concatenate(self.lanes), np.concatenate(self.words)
-        order = np.argsort(lanes, kind="stable")
-        lanes, words = lanes[order], words[order]
-        while (carry := words >> 16).any():
-            words &= 0xFFFF
-            # a lane's first word has no carry, so none crosses to the lane before
-            words[:-1] += carry[1:]
-        ends = np.searchsorted(lanes, np.arange(n), side="right")
-        short = words.astype("<u2")
-        return [short[s:e].tobytes() for s, e in zip([0, *ends[:-1]], ends)]
-
-
-class _Reader:
-    def __init__(self, payloads: list[bytes]):
-        sizes = np.array([len(p) // 2 for p in payloads])
-        self.words = np.concatenate([np.frombuffer(p, "<u2") for p in payloads] + [np.zeros(1, "<u2")]).astype(np.uint64)
-        self.next = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
-        self.value, self.range = np.zeros(len(payloads), np.uint64), np.full(len(payloads), _FULL)
-        for _ in range(3):
-            self.value = self.value << _SHIFT16 | self.words[self.next]
-            self.next += 1
-
-    def get(self, counts: _Counts, contexts: np.ndarray, lanes: np.ndarray) -> np.ndarray:
-        rows = counts.rows(contexts)
-        total = rows[:, 0]
-        unit = self.range.take(lanes) // total
-        value = self.value.take(lanes)
-        symbol = counts.symbol(rows, np.minimum(value // unit, total - 1))
-        before, freq = counts.bounds(rows, symbol)
-        counts.add(contexts, rows, symbol)
-        value = value - unit * before
-        width = unit * freq
-        small = np.flatnonzero(width < _SMALL)
-        if len(small):
-            at = lanes[small]
-            value[small] = value[small] << _SHIFT16 | self.words[self.next[at]]
-            width[small] <<= _SHIFT16
-            self.next[at] += 1
-        self.value[lanes], self.range[lanes] = value, width
-        return symbol
-
-
-def _in_turns(lengths: list[int]):
-    """Lanes by falling length, and for each position how many of them are still at work."""
-    order = np.argsort(-np.array(lengths), kind="stable")
-    sizes = np.array(lengths)[order]
-    return order, [int(n) for n in np.searchsorted(-sizes, -np.arange(sizes[0] if len(sizes) else 0), side="left")]
+def _encode_block(ids: np.ndarray) -> bytes:
+    if not len(ids):
+        return b""
+    rounds, streams, last_rounds = _shape(len(ids))
+    grid = np.zeros((streams, rounds), np.int32)
+    grid.ravel()[: len(ids)] = ids
+    model, parts, escaped = _Model(), [], []
+    last = before = np.zeros(streams, np.int64)
+    for position, row in enumerate(_turned(grid)):
+        now = row[: streams - (position >= last_rounds)].astype(np.int64)
+        one, two, share_one, share_two, share_table = model.look(last[: len(now)], before[: len(now)])
+        span = share_table * model.span.take(now)
+        is_one, is_two = one == now, two == now
+        # an id's part of the mixture, behind those of all smaller ids
+        size = (span & _LOW32) + share_one * is_one + share_two * is_two
+        start = (span >> 32) + share_one * (one < now) + share_two * (two < now)
+        unknown = np.flatnonzero(size == 0)
+        if len(unknown):
+            escaped.append(now[unknown])
+            span = share_table[unknown] * model.span[ESCAPE]
+            size[unknown] = span & _LOW32
+            start[unknown] = (span >> 32) + share_one[unknown] + share_two[unknown]
+        parts.append((start.astype(np.uint32), size.astype(np.uint32)))
+        model.learn(now, is_one, is_two)
+        last, before = now, last
+    # rANS gives back last what was coded first, so it goes from the end to the beginning
+    states, words = np.full(streams, _LOWEST), []
+    for start, size in reversed(parts):
+        size, state = size.astype(np.uint64), states[: len(size)]
+        large = np.flatnonzero(state >= size << _MOST)
+        word = state[large]
+        words.append(word.astype(np.uint32))
+        state[large] = word >> _WORD
+        # state // size * 2^SCALE_BITS + state % size + start
+        state += state // size * (_FULL - size) + start
+    words.reverse()
+    arrays = [np.array([sum(map(len, escaped))]), states, np.concatenate(words), np.concatenate([*escaped, ids[:0]])]
+    return b"".join(a.astype(kind).tobytes() for a, kind in zip(arrays, ("<u4", "<u8", "<u4", "<u2")))
+
+
+def _decode_block(payload: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.empty(0, np.int32)
+    rounds, streams, last_rounds = _shape(n)
+    escapes = int(np.frombuffer(payload, "<u4", 1)[0])
+    ends = 4 + 8 * streams, len(payload) - 2 * escapes
+    states = np.frombuffer(payload[4 : ends[0]], "<u8").astype(np.uint64)
+    words = np.frombuffer(payload[ends[0] : ends[1]], "<u4").astype(np.uint64)
+    escaped = np.frombuffer(payload[ends[1] :], "<u2").astype(np.int64)
+    next_word = next_escape = 0
+    grid, model = np.zeros((rounds, streams), np.int32), _Model()
+    last = before = np.zeros(streams, np.int64)
+    for position in range(rounds):
+        m = streams - (position >= last_rounds)
+        one, two, share_one, share_two, share_table = model.look(last[:m], before[:m])
+        state = states[:m]
+        place = (state & _BELOW).view(np.int64)
+        # where in the mixture the predicted ids begin and end
+        span = share_table * model.span.take(one)
+        one_start = (span >> 32) + share_two * (two < one)
+        one_end = one_start + (span & _LOW32) + share_one
+        span = share_table * model.span.take(two)
+        two_start = (span >> 32) + share_one * (one < two)
+        two_end = two_start + (span & _LOW32) + share_two
+        rest = place - share_one * (place >= one_end) - share_two * (place >= two_end)
+        # a quotient of such small numbers is never rounded up to the next whole one
+        at = np.minimum((rest / share_table).astype(np.int64), (1 << TABLE_BITS) - 1)
+        now = model.id_at.take(at).astype(np.int64)
+        one_end += share_two * (one == two)
+        now = np.where((place >= one_start) & (place < one_end), one, now)
+        now = np.where((place >= two_start) & (place < two_end), two, now)
+        span = share_table * model.span.take(now)
+        is_one, is_two = one == now, two == now
+        size = (span & _LOW32) + share_one * is_one + share_two * is_two
+        start = (span >> 32) + share_one * (one < now) + share_two * (two < now)
+        state = (state >> _SCALE) * size.view(np.uint64) + (place - start).view(np.uint64)
+        small = np.flatnonzero(state < _LOWEST)
+        state[small] = state[small] << _WORD | words[next_word : next_word + len(small)]
+        next_word += len(small)
+        states[:m] = state
+        unknown = np.flatnonzero(now == ESCAPE)
+        if len(unknown):
+            now[unknown] = escaped[next_escape : next_escape + len(unknown)]
+            next_escape += len(unknown)
+        model.learn(now, is_one, is_two)
+        grid[position, :m] = now
+        last, before = now, last
+    return _turned(grid).ravel()[:n]
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """A payload for each block of ids below 2^16. Others would come back as other ids, so they are an error."""
-    if not blocks:
-        return []
     for block in blocks:
-        if len(block) and (np.min(block) < 0 or np.max(block) >= 1 << sum(PARTS)):
-            raise ValueError(f"ids must be from 0 to {(1 << sum(PARTS)) - 1}")
-    order, at_work = _in_turns([len(b) for b in blocks])
-    ids = np.zeros((len(at_work), len(blocks)), np.int32)
-    for lane, b in enumerate(order):
-        ids[: len(blocks[b]), lane] = blocks[b]
-    model, writer, all_lanes = _Model(len(blocks), len(at_work)), _Writer(len(blocks)), np.arange(len(blocks))
-    for position, n in enumerate(at_work):
-        now = ids[position, :n]
-        model.look(n)
-        which = np.where(model.two == now, 0, np.where(model.one == now, 1, 2))
-        writer.put(model.which, model.row, which, all_lanes[:n])
-        lanes = np.flatnonzero(which == 2)
-        if len(lanes):
-            for k, (above, part) in enumerate(_parts(now[lanes])):
-                writer.put(model.part[k], model.part_base[k][lanes] + above, part, lanes)
-        model.learn(now)
-    payloads = writer.finish()
-    out = [b""] * len(blocks)
-    for lane, b in enumerate(order):
-        out[b] = payloads[lane]
-    return out
+        if len(block) and (np.min(block) < 0 or np.max(block) >= IDS):
+            raise ValueError(f"ids must be from 0 to {IDS - 1}")
+    return [_encode_block(block) for block in blocks]
 
 
 def decode_blocks(payloads: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     """The ids of each block again."""
-    if not payloads:
-        return []
-    order, at_work = _in_turns(lengths)
-    ids = np.zeros((len(at_work), len(payloads)), np.int32)
-    model, reader, all_lanes = _Model(len(payloads), len(at_work)), _Reader([payloads[b] for b in order]), np.arange(len(payloads))
-    for position, n in enumerate(at_work):
-        model.look(n)
-        which = reader.get(model.which, model.row, all_lanes[:n])
-        now = np.where(which == 0, model.two, model.one)
-        lanes = np.flatnonzero(which == 2)
-        if len(lanes):
-            above = np.zeros(len(lanes), np.int64)
-            for k, bits in enumerate(PARTS):
-                part = reader.get(model.part[k], model.part_base[k][lanes] + above, lanes)
-                above = above << bits | part
-            now[lanes] = above
-        model.learn(now)
-        ids[position, :n] = now
-    out: list[np.ndarray] = [np.empty(0, np.int32)] * len(payloads)
-    for lane, b in enumerate(order):
-        out[b] = ids[: lengths[b], lane].copy()
-    return out
+    return [_decode_block(payload, n) for payload, n in zip(payloads, lengths)]
 
 
 # checksums of parts

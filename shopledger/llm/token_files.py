@@ -5,7 +5,7 @@ A folder of files is a Parquet table, so that Spark's committer decides which at
     block      number of the block in its part
     n_ids      ids in the block, at most BLOCK_IDS
     crc        unsigned CRC-32 of the payload, checked before it is decoded
-    payload    the ids by the context-mixing range coder, from an empty model
+    payload    the ids by the context-mixing coder, from an empty model
     docs       whose ids they are, in order: seq (number in the part), doc_id, at (place of the first of these ids in
                the part), piece (0 for the first ids of a document, counting on in later blocks), n
 """
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopledger.llm import bpe
-from shopledger.llm.id_coder import BLOCK_IDS, LANES, crc32_ids, crc32_joined, decode_blocks, encode_blocks
+from shopledger.llm.id_coder import BLOCK_IDS, crc32_ids, crc32_joined, decode_blocks, encode_blocks
 from shopledger.llm.tables import small_batches
 
 END = 0
@@ -91,12 +91,13 @@ def write(
     vocabulary: str | None = None,
     parts: int | None = None,
     block_ids: int = BLOCK_IDS,
-    lanes: int = LANES,
+    lanes: int = 1,
 ) -> None:
     """Encode every document, append END to it, and write the files to `path`, which must not exist.
 
     Documents are dealt to parts by range of their id, then of a hash of their text, so that an id that many rows have
-    fills several parts. Rows without an id come first. Two attempts of a task write the same file.
+    fills several parts. Rows without an id come first. Two attempts of a task write the same file. A task keeps `lanes`
+    blocks until they are coded.
     """
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
@@ -129,14 +130,9 @@ def _decoded(lanes: int):
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        waiting: list[dict] = []
         for batch in batches:
-            waiting += batch.to_pylist()
-            while len(waiting) >= lanes:
-                yield pieces(waiting[:lanes])
-                del waiting[:lanes]
-        if waiting:
-            yield pieces(waiting)
+            for at in range(0, batch.num_rows, lanes):
+                yield pieces(batch.slice(at, lanes).to_pylist())
 
     return run
 
@@ -149,7 +145,7 @@ def _place_arrays(out: dict) -> list[pa.Array]:
     return [pa.array(out[c], k) for c, k in zip(("part", "seq", "doc_id", "at", "piece", "n"), kinds)]
 
 
-def read_pieces(spark: SparkSession, path: str, lanes: int = LANES) -> DataFrame:
+def read_pieces(spark: SparkSession, path: str, lanes: int = 1) -> DataFrame:
     """(part, seq, doc_id, at, piece, n, ids): the ids of every document, one row for each block it has ids in."""
     small_batches(spark)
     names = ["part", "seq", "doc_id", "at", "piece", "n", "ids"]
@@ -164,7 +160,7 @@ def read_pieces(spark: SparkSession, path: str, lanes: int = LANES) -> DataFrame
     return spark.read.schema(_BLOCK).parquet(path).mapInArrow(run, f"{_PLACE}, ids array<int>")
 
 
-def read_digests(spark: SparkSession, path: str, lanes: int = LANES) -> DataFrame:
+def read_digests(spark: SparkSession, path: str, lanes: int = 1) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files alone.
 
     A block is decoded where it is read; of a document in several blocks only their checksums meet. The driver sees

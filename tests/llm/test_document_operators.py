@@ -133,6 +133,18 @@ def test_arrays_of_ids_equal_the_library():
             assert [ids.tolist() for ids in arrays] == [library.encode(t or "", add_special_tokens=False).ids for t in some]
 
 
+@pytest.mark.parametrize("most", [4, 40, 1000])
+def test_numbered_pieces_are_bounded(monkeypatch, most):
+    monkeypatch.setattr(bpe, "REMEMBERED", most)
+    rnd, encoder = random.Random(most), bpe.ByteBpe(bpe.default_vocabulary())
+    library = Tokenizer.from_file(bpe.default_vocabulary())
+    for _ in range(60):
+        texts = [" ".join(rnd.choice(["the", "house", f"w{rnd.randint(0, 999)}", "\u00e9t\u00e9"]) for _ in range(9)) for _ in range(4)]
+        found = [ids.tolist() for ids in encoder.encode_arrays([*texts, "a<|endoftext|>b"])]
+        assert found == [library.encode(t, add_special_tokens=False).ids for t in [*texts, "a<|endoftext|>b"]]
+        assert len(encoder._numbers) == len(encoder._starts) <= most + 45
+
+
 @pytest.mark.parametrize("leaf", [6, 17, 64])
 def test_halves_agree_with_the_whole(leaf):
     rnd, encoder = random.Random(leaf), bpe.ByteBpe(bpe.default_vocabulary(), leaf)

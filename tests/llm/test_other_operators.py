@@ -450,6 +450,20 @@ def test_long_blocks_come_back():
     assert [b.tolist() for b in back] == [b.tolist() for b in blocks]
 
 
+def test_streams_of_a_block_share_a_model(monkeypatch):
+    steps, look = [], id_coder._Model.look
+    monkeypatch.setattr(id_coder._Model, "look", lambda model, *last: steps.append(0) or look(model, *last))
+    rng = np.random.default_rng(4)
+    ids = rng.permutation(1 << 16)[(3000 * rng.random(60_000) ** 4).astype(int)].astype(np.int32)
+    payload = id_coder.encode_blocks([ids])[0]
+    # positions one after another, not ids
+    assert len(steps) < 1000
+    _, counts = np.unique(ids, return_counts=True)
+    entropy = -(counts * np.log2(counts / len(ids))).sum()
+    assert 8 * len(payload) < 1.2 * entropy
+    assert id_coder.decode_blocks([payload], [len(ids)])[0].tolist() == ids.tolist()
+
+
 @pytest.mark.parametrize("odd", [70000, 1 << 16, -1])
 def test_ids_that_do_not_fit_are_an_error(odd):
     with pytest.raises(ValueError, match="65535"):
