@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from shopledger.llm.piece_table import END, PieceTable, keys_of, kinds_of_characters, room_for, starts_of_pieces
 from shopledger.llm.tables import small_batches
 
 #: Characters behind a piece's end that may have decided where it ends.
@@ -33,6 +34,8 @@ LOOK = 3
 LEAF_CHARS = 4096
 #: Pieces whose ids a worker remembers; beyond, it forgets those not met since it last forgot some.
 REMEMBERED = 250_000
+#: The same for numbered pieces, which take some 200 bytes each.
+NUMBERED = 1_000_000
 
 #: Texts of characters up to LAST only are split here; others by the library, whose character tables decide.
 LAST = 0x24F
@@ -51,6 +54,7 @@ def _pattern() -> re.Pattern[str]:
 
 
 _PIECE = _pattern()
+_KINDS = kinds_of_characters(LAST)
 
 
 class _Numbers(dict):
@@ -106,10 +110,11 @@ class ByteBpe:
         self._number = list(range(size))
         self._model = self.tokenizer.model  # asking the tokenizer for it makes a new object every time
         self._sizes: dict[str, int] = {}
-        # pieces by number: all their ids in one array, where each begins and how many it has, whether it came again
-        self._numbers = _Numbers()
+        # pieces by number: all their ids in one array, where each begins and how many it has, whether it came again;
+        # the arrays have room for more
+        self._numbers, self._table = _Numbers(), PieceTable()
         self._flat, self._starts, self._counts = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
-        self._again = np.empty(0, bool)
+        self._again, self._used = np.empty(0, bool), 0
         self._shown = str.maketrans({b: c for b, c in enumerate(map(self._char_of.__getitem__, range(256)))})
 
     # pieces
@@ -201,19 +206,46 @@ class ByteBpe:
         if not texts:
             return []
         known = len(self._numbers)
-        numbers = []
-        for text in texts:
-            own = self._pieces_and_added(text or "")
-            numbers.append(np.fromiter(map(self._numbers.__getitem__, own), np.int32, len(own)))
+        numbers = self._numbers_of(["" if text is None else text for text in texts])
         used = np.concatenate(numbers)
         self._again[used[used < known]] = True
-        self._learn_numbered()
+        self._learn_numbered(known)
         ids, counts = self._ids_of(used)
         ends = np.append(0, np.cumsum(counts)).take(np.cumsum([len(n) for n in numbers]))
-        if len(self._numbers) > REMEMBERED:
+        if len(self._numbers) > NUMBERED:
             self._forget(used)
         return np.split(ids, ends[:-1])
 
+    def _numbers_of(self, texts: list[str]) -> list[np.ndarray]:
+        """The numbers of the pieces of every text; pieces not met before get theirs."""
+        out: list[np.ndarray] = [np.empty(0, np.int32)] * len(texts)
+        plain = []
+        for at, text in enumerate(texts):
+            if _OTHER.search(text) or self._added_pattern and self._added_pattern.search(text):
+                own = self._pieces_and_added(text)
+                out[at] = np.fromiter(map(self._numbers.__getitem__, own), np.int32, len(own))
+            else:
+                plain.append(at)
+        if plain:
+            for at, own in zip(plain, self._plain_numbers([texts[at] for at in plain])):
+                out[at] = own
+        return out
+
+    def _plain_numbers(self, texts: list[str]) -> list[np.ndarray]:
+        joined = "".join(text + END for text in texts)
+        starts = starts_of_pieces(joined, _KINDS)
+        ends = np.append(starts[1:], len(joined))
+        last = np.searchsorted(starts, np.cumsum([len(text) + 1 for text in texts]) - 1)
+        keys = keys_of(joined, starts)
+        numbers = self._table.find(keys)
+        numbers[last] = 0
+        unknown = np.flatnonzero(numbers < 0)
+        places = zip(starts[unknown].tolist(), ends[unknown].tolist())
+        numbers[unknown] = [self._numbers[joined[start:end]] for start, end in places]
+        new, where = np.unique(numbers[unknown], return_index=True)
+        self._table.put(len(self._numbers), new, keys.take(unknown[where], axis=1))
+        return [own[:-1] for own in np.split(numbers, last[:-1] + 1)]
+
     def _ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the pieces with these numbers, one behind the other, and how many each has."""
         counts = self._counts.take(numbers)
@@ -221,25 +253,29 @@ class ByteBpe:
         at = np.repeat(self._starts.take(numbers) - ends + counts, counts)
         return self._flat.take(at + np.arange(len(at))), counts
 
-    def _learn_numbered(self) -> None:
+    def _learn_numbered(self, known: int) -> None:
         new, self._numbers.new = self._numbers.new, []
         merged = [(self._added[p],) if p in self._added else self.merge(p) for p in new]
         counts = np.fromiter(map(len, merged), np.int64, len(new))
-        flat = np.fromiter(chain.from_iterable(merged), np.int32, counts.sum())
-        self._starts = np.concatenate((self._starts, len(self._flat) + np.cumsum(counts) - counts))
-        self._flat = np.concatenate((self._flat, flat))
-        self._counts = np.concatenate((self._counts, counts))
-        self._again = np.concatenate((self._again, np.zeros(len(new), bool)))
+        ends, total = self._used + np.cumsum(counts), known + len(new)
+        self._flat = room_for(self._flat, int(self._used + counts.sum()))
+        self._starts, self._counts = room_for(self._starts, total), room_for(self._counts, total)
+        self._again = room_for(self._again, total)
+        start, self._used = self._used, self._used + int(counts.sum())
+        self._flat[start : self._used] = np.fromiter(chain.from_iterable(merged), np.int32, self._used - start)
+        self._starts[known:total], self._counts[known:total] = ends - counts, counts
 
     def _forget(self, used: np.ndarray) -> None:
         """Keep only pieces that came again, or if these are too many those just used, and number them anew."""
         kept = np.flatnonzero(self._again)
-        if len(kept) > REMEMBERED // 2:
+        if len(kept) > NUMBERED // 2:
             kept = np.unique(used)
+        self._table.put(len(self._numbers), kept[:0], np.empty((3, 0), np.uint64))
         pieces = list(self._numbers)
         self._numbers = _Numbers(zip(map(pieces.__getitem__, kept.tolist()), range(len(kept))))
+        self._table = PieceTable(self._table.keys.take(kept, axis=1))
         self._flat, self._counts = self._ids_of(kept)
-        self._starts = np.cumsum(self._counts) - self._counts
+        self._starts, self._used = np.cumsum(self._counts) - self._counts, len(self._flat)
         self._again = np.zeros(len(kept), bool)
 
     def count_all(self, texts: list[str | None]) -> list[int]:

@@ -224,8 +224,8 @@ def _decode_block(payload: bytes, n: int) -> np.ndarray:
         two_end = two_start + (span & _LOW32) + share_two
         rest = place - share_one * (place >= one_end) - share_two * (place >= two_end)
         # a quotient of such small numbers is never rounded up to the next whole one
-        at = np.minimum((rest / share_table).astype(np.int64), (1 << TABLE_BITS) - 1)
-        now = model.id_at.take(at).astype(np.int64)
+        at = (rest / share_table).astype(np.int64)
+        now = model.id_at.take(at, mode="clip").astype(np.int64)
         one_end += share_two * (one == two)
         now = np.where((place >= one_start) & (place < one_end), one, now)
         now = np.where((place >= two_start) & (place < two_end), two, now)

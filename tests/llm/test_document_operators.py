@@ -8,12 +8,13 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from tokenizers import Tokenizer
 
 from rows import LONG, TEXTS, clashing, collected, documents
-from shopledger.llm import bpe, language_id, packing, secrets_crf, simhash, token_files
+from shopledger.llm import bpe, language_id, packing, piece_table, secrets_crf, simhash, token_files
 from shopledger.llm.quality_rules import quality_rules
 from shopledger.llm.tables import fresh_path
 
@@ -133,16 +134,38 @@ def test_arrays_of_ids_equal_the_library():
             assert [ids.tolist() for ids in arrays] == [library.encode(t or "", add_special_tokens=False).ids for t in some]
 
 
+def test_pieces_of_many_texts_equal_the_pattern():
+    rnd, kinds = random.Random(8), piece_table.kinds_of_characters(bpe.LAST)
+    common = [chr(c) for c in (*range(bpe.LAST + 1), *range(0x2010, 0x2028), 0x20AC)]
+    sources = [common, "aeiou   \n\n''''sltrevmd  1!", "ab'sl !", "abé ", " \n'", "'sretvl m"]
+    table, numbers = piece_table.PieceTable(), {}
+    for n in range(1500):
+        texts = ["".join(rnd.choice(sources[n % 6]) for _ in range(rnd.choice([0, 1, 2, 5, 30, 100]))) for _ in range(3)]
+        joined = "".join(t + piece_table.END for t in texts)
+        starts = piece_table.starts_of_pieces(joined, kinds)
+        pieces = [joined[s:e] for s, e in zip(starts, [*starts[1:], len(joined)])]
+        assert pieces == [p for t in texts for p in [*bpe._PIECE.findall(t), piece_table.END]]
+        keys = piece_table.keys_of(joined, starts)
+        for piece, key, number in zip(pieces, keys.T.tolist(), table.find(keys).tolist()):
+            size = len(piece.encode())
+            short = size <= piece_table.KEY_BYTES
+            assert key[2] >> 56 == (size if short else 0)
+            assert number == (numbers.get(piece, -1) if short else -1)
+        new = {p: at for at, p in enumerate(pieces) if p not in numbers}
+        numbers.update(zip(new, range(len(numbers), len(numbers) + len(new))))
+        table.put(len(numbers), np.array([numbers[p] for p in new], np.int64), keys.take(list(new.values()), axis=1))
+
+
 @pytest.mark.parametrize("most", [4, 40, 1000])
 def test_numbered_pieces_are_bounded(monkeypatch, most):
-    monkeypatch.setattr(bpe, "REMEMBERED", most)
+    monkeypatch.setattr(bpe, "NUMBERED", most)
     rnd, encoder = random.Random(most), bpe.ByteBpe(bpe.default_vocabulary())
     library = Tokenizer.from_file(bpe.default_vocabulary())
     for _ in range(60):
         texts = [" ".join(rnd.choice(["the", "house", f"w{rnd.randint(0, 999)}", "\u00e9t\u00e9"]) for _ in range(9)) for _ in range(4)]
         found = [ids.tolist() for ids in encoder.encode_arrays([*texts, "a<|endoftext|>b"])]
         assert found == [library.encode(t, add_special_tokens=False).ids for t in [*texts, "a<|endoftext|>b"]]
-        assert len(encoder._numbers) == len(encoder._starts) <= most + 45
+        assert len(encoder._numbers) <= most + 45
 
 
 @pytest.mark.parametrize("leaf", [6, 17, 64])
