@@ -157,7 +157,8 @@ def refresh(
                     done.append(Refreshed(name, False, False))
                     continue
                 finish = partial(prepare, name) if prepare else None
-                written = pool.submit(build.write, name, reading.define(name), inputs, finish=finish)
+                rows, sort_by = reading.define(name), DATASETS[name].sort_by
+                written = pool.submit(build.write, name, rows, inputs, finish=finish, sort_by=sort_by)
                 tasks.append((name, stale, written))
             done += [Refreshed(name, True, written.result(), stale) for name, stale, written in tasks]
             for name in (x for x in wave if x in names):

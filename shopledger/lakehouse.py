@@ -28,20 +28,26 @@ class Dataset:
     layer: str
     build: Callable[["Lakehouse"], DataFrame]
     order: Callable[[], list[Column]] | None = None
+    sort_by: tuple[str, ...] = ()
 
 
 DATASETS: dict[str, Dataset] = {}
 
 
-def dataset(name: str, layer: str, order: Callable[[], list[Column]] | None = None):
-    """Register a dataset function; a name can be defined only once."""
+def dataset(
+    name: str, layer: str, order: Callable[[], list[Column]] | None = None, sort_by: Iterable[str] = ()
+):
+    """Register a dataset function; a name can be defined only once.
+
+    ``order`` is for its readers; ``sort_by`` is how the rows of each task lie in the files, where it is stored.
+    """
 
     def register(build):
         if name in DATASETS:
             raise ValueError(f"dataset {name!r} is already defined")
         if layer not in LAYERS:
             raise ValueError(f"unknown layer {layer!r}")
-        DATASETS[name] = Dataset(name, layer, build, order)
+        DATASETS[name] = Dataset(name, layer, build, order, tuple(sort_by))
         return build
 
     return register
@@ -144,7 +150,8 @@ class Lakehouse:
         """
         for name in names:
             finish = partial(prepare, name) if prepare else None
-            self.keep(name, write_table(self.define(name), self.path(name), finish=finish))
+            rows, sort_by = self.define(name), DATASETS[name].sort_by
+            self.keep(name, write_table(rows, self.path(name), finish=finish, sort_by=sort_by))
         return self
 
     def store_raw(self, names: Iterable[str]) -> "Lakehouse":

@@ -18,6 +18,7 @@ from shopledger.plans.gold import (
     with_net_amounts,
     with_product_names,
 )
+from shopledger.plans.silver import STOCK_ORDER
 from shopledger.sources.reader import RESCUED, normalise_headers
 
 # Bands.
@@ -90,7 +91,7 @@ def silver_dim_promotion(lake):
     return lake.raw("dim_promotion").drop(RESCUED).withColumn("is_active", running)
 
 
-@dataset("silver_fact_inventory_alt", "silver")
+@dataset("silver_fact_inventory_alt", "silver", sort_by=STOCK_ORDER)
 def silver_fact_inventory(lake):
     return lake.raw("inventory").drop(RESCUED).withColumn("snapshot_month_id", month_id(F.col("snapshot_month")))
 

@@ -28,6 +28,10 @@ INCOME_BANDS = [
 HIGHEST_INCOME = "High Income"
 
 
+# Stock snapshots come out of a grouping in no order; those of one product lie together in the files.
+STOCK_ORDER = ["product_id", "store_id", "snapshot_month"]
+
+
 def _titled(*names):
     return dict.fromkeys(names, F.initcap)
 
@@ -136,7 +140,7 @@ def silver_fact_clickstream(lake):
     )
 
 
-@dataset("silver_fact_inventory", "silver")
+@dataset("silver_fact_inventory", "silver", sort_by=STOCK_ORDER)
 def silver_fact_inventory(lake):
     snapshots = conform(lake.raw("inventory"), RAW_TABLES["inventory"])
     return snapshots.withColumn("snapshot_month_id", month_id(F.col("snapshot_month")))

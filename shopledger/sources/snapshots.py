@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopledger.sources.writer import COMPRESSION, Folder, enter
+from shopledger.session import shuffles_released
+from shopledger.sources.writer import Folder, enter, file_options
 
 LOG = "_snapshots"
 
@@ -85,15 +86,19 @@ class Build:
         cluster_by: Sequence[str] = (),
         partition_by: Sequence[str] = (),
         finish: Callable[[DataFrame], DataFrame] | None = None,
+        sort_by: Sequence[str] = (),
     ) -> bool:
         """Write a new version of a table; False if its rows are those of the version before, which then stays.
 
         Rows are counted and summed up by the tasks that write them, after any exchange that clustering needs, so a
-        task or executor that is lost and run again counts once. ``finish`` is applied there too.
+        task or executor that is lost and run again counts once. ``finish`` is applied there too, and ``sort_by`` orders
+        the rows of each task.
         """
         folder = f"{name}/version-{uuid.uuid4().hex}"
         if cluster_by:
             df = df.hint("rebalance", *cluster_by)
+        if sort_by:
+            df = df.sortWithinPartitions(*sort_by)
         if finish:
             df = finish(df)
         seen = Observation()
@@ -106,10 +111,11 @@ class Build:
             F.bit_xor(hashed).alias("mixed"),
         )
         self._written.append(folder)
-        writer = observed.write.option("compression", COMPRESSION)
+        writer = observed.write.options(**file_options(df.schema))
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self._store.root}/{folder}")
+        with shuffles_released(self._store.spark):
+            writer.parquet(f"{self._store.root}/{folder}")
         found = seen.get
         content = f"{found['total']}:{found['mixed']}"
         made = TableVersion(folder, df.schema.json(), found["rows"], content, dict(inputs or {}))

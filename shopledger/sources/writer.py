@@ -12,10 +12,23 @@ from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from shopledger.session import shuffles_released
 
 CURRENT = "_current"
 #: How the files of stored tables are compressed: to seven tenths of Spark's default for the facts.
 COMPRESSION = "zstd"
+#: Finds the repeats of wide ids at some twentieth less bytes than the default of 3, and takes hardly longer; from 10 on it would.
+LEVEL = 9
+
+
+def file_options(schema: T.StructType) -> dict[str, str]:
+    """How the files of a stored table are written. Ids are written as they are: where equal ones lie together that
+    compresses better than a dictionary of nearly all of them."""
+    ids = [f.name for f in schema.fields if f.name.endswith("_id") and isinstance(f.dataType, T.LongType)]
+    plain = {f"parquet.enable.dictionary#{name}": "false" for name in ids}
+    return {"compression": COMPRESSION, "parquet.compression.codec.zstd.level": str(LEVEL), **plain}
 
 
 class Folder:
@@ -137,6 +150,7 @@ def write_table(
     buckets: int = 0,
     partition_by: Sequence[str] = (),
     finish: Callable[[DataFrame], DataFrame] | None = None,
+    sort_by: Sequence[str] = (),
 ) -> DataFrame:
     """Replace the table at ``path`` by ``df`` and return a reader of it.
 
@@ -148,6 +162,8 @@ def write_table(
     bucketed alike on a key join and group on it without a shuffle, but one task reads a whole
     bucket: use it for keys without a dominant value.
 
+    ``sort_by`` orders the rows of each task, which makes files smaller where equal values come together.
+
     ``finish`` is applied to the rows as they are written, above any exchange; what it observes is counted by the
     tasks that write, once each, also where a task before them has to run again.
 
@@ -159,19 +175,22 @@ def write_table(
         raise ValueError("a bucketed table needs a table name")
     if cluster_by:
         df = df.hint("rebalance", *cluster_by)
+    if sort_by:
+        df = df.sortWithinPartitions(*sort_by)
     if finish:
         df = finish(df)
-    writer = df.write.format("parquet").option("compression", COMPRESSION)
+    writer = df.write.format("parquet").options(**file_options(schema))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     folder = Folder(spark, path)
     before = folder.read(CURRENT)
     name = f"version-{uuid.uuid4().hex}"
     version = f"{path}/{name}"
-    if bucket_by:
-        _enter_bucketed(spark, writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by), version, table)
-    else:
-        writer.save(version)
+    with shuffles_released(spark):
+        if bucket_by:
+            _enter_bucketed(spark, writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by), version, table)
+        else:
+            writer.save(version)
     folder.replace(CURRENT, name)
     if table and not bucket_by:
         enter(spark, version, table)
