@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from shopledger.lakehouse import AS_OF, DATASETS, Lakehouse
 from shopledger.sources.snapshots import Build, Snapshot, SnapshotStore, TableVersion
+from shopledger.sources.writer import Buckets
 
 RAW = "bronze."
 UNKNOWN = "unknown"
@@ -130,13 +131,15 @@ def refresh(
     again: Iterable[str] = (),
     prepare: Callable[[str, DataFrame], DataFrame] | None = None,
     together: int = 4,
+    laid_out: Mapping[str, Buckets] | None = None,
 ) -> tuple[Snapshot, list[Refreshed]]:
     """Bring the stored datasets `names` up to date in one snapshot, and say what was done to each, in build order.
 
     Datasets that are not among `names` are views: plans inside those that are. `raw_version` gives the version of a
     raw table; without it that is a mark of its files. `again` rebuilds datasets whose definition has changed, which no
     version shows. ``prepare(name, df)`` may attach something to the rows on their way, such as expectations. Up to
-    `together` tables that don't depend on each other are written at the same time.
+    `together` tables that don't depend on each other are written at the same time. `laid_out` names datasets to be stored
+    in buckets of a key that their plan lays them out by, or their inputs' buckets do.
 
     Names from earlier snapshots that are not among `names` leave the snapshot, as nothing keeps them up to date. If
     anything fails, the last snapshot stays the last.
@@ -157,8 +160,9 @@ def refresh(
                     done.append(Refreshed(name, False, False))
                     continue
                 finish = partial(prepare, name) if prepare else None
-                rows, sort_by = reading.define(name), DATASETS[name].sort_by
-                written = pool.submit(build.write, name, rows, inputs, finish=finish, sort_by=sort_by)
+                rows = reading.define(name)
+                layout = {"sort_by": DATASETS[name].sort_by, "laid_out": (laid_out or {}).get(name)}
+                written = pool.submit(build.write, name, rows, inputs, finish=finish, **layout)
                 tasks.append((name, stale, written))
             done += [Refreshed(name, True, written.result(), stale) for name, stale, written in tasks]
             for name in (x for x in wave if x in names):

@@ -16,7 +16,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from shopledger.session import app_dir, apply_runtime_defaults
-from shopledger.sources.writer import current_version, enter, write_table
+from shopledger.sources.writer import Buckets, current_version, enter, write_table
 
 LAYERS = ("bronze", "silver", "gold", "mart")
 AS_OF = "as_of"
@@ -136,7 +136,10 @@ class Lakehouse:
         return f"{self.root}/{layer}/{name.removeprefix('bronze.')}"
 
     def store(
-        self, names: Iterable[str], prepare: Callable[[str, DataFrame], DataFrame] | None = None
+        self,
+        names: Iterable[str],
+        prepare: Callable[[str, DataFrame], DataFrame] | None = None,
+        laid_out: Mapping[str, Buckets] | None = None,
     ) -> "Lakehouse":
         """Write datasets as Parquet tables; from then on their name means the stored table.
 
@@ -146,12 +149,13 @@ class Lakehouse:
 
         Rows are written as their definition lays them out.  ``gold_fact_sale`` comes from the join of
         lines and orders, so an order's lines share a file without another exchange of the widest rows
-        there are, and a very long order, which the skew-join rule splits, is spread.
+        there are, and a very long order, which the skew-join rule splits, is spread.  ``laid_out`` names those to
+        be stored in buckets of a key that their plan, or their inputs' buckets, lay them out by.
         """
         for name in names:
             finish = partial(prepare, name) if prepare else None
-            rows, sort_by = self.define(name), DATASETS[name].sort_by
-            self.keep(name, write_table(rows, self.path(name), finish=finish, sort_by=sort_by))
+            layout = {"sort_by": DATASETS[name].sort_by, "laid_out": (laid_out or {}).get(name)}
+            self.keep(name, write_table(self.define(name), self.path(name), finish=finish, **layout))
         return self
 
     def store_raw(self, names: Iterable[str]) -> "Lakehouse":

@@ -325,15 +325,17 @@ class SampleRetail:
         )
 
     def fact_sale(self) -> DataFrame:
-        lines = self.read("lineitem").selectExpr(
+        lines = self.read("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+        orders = self.read("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+        unit_cents = "(2 * cents + pieces) DIV (2 * nullif(pieces, 0))"
+        # what is made of a line's columns doesn't travel to its order beside them
+        placed = lines.join(orders, "l_orderkey").selectExpr(
             "*",
             "CAST(l_extendedprice AS DECIMAL(10,2)) AS price",
             "CAST(round(l_extendedprice * 100) AS BIGINT) AS cents",
             "CAST(l_quantity AS BIGINT) AS pieces",
         )
-        orders = self.read("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-        unit_cents = "(2 * cents + pieces) DIV (2 * nullif(pieces, 0))"
-        return lines.join(orders, "l_orderkey").selectExpr(
+        return placed.selectExpr(
             key_id(("l_orderkey", 14), ("l_linenumber", 2), ("l_partkey", 11), ("cents", 11)) + " AS sale_id",
             "l_orderkey AS transaction_id",
             "CASE WHEN l_orderkey % 2 = 0 THEN l_orderkey END AS session_id",

@@ -14,14 +14,14 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopledger.session import shuffles_released
-from shopledger.sources.writer import Folder, enter, file_options
+from shopledger.sources.writer import Buckets, Folder, enter, file_options
 
 LOG = "_snapshots"
 
@@ -33,13 +33,15 @@ class Conflict(RuntimeError):
 @dataclass(frozen=True)
 class TableVersion:
     """`folder` is relative to the root. `inputs` says which version of what the table was built from. `content` is a
-    sum of hashes of the rows, equal for equal rows in any order."""
+    sum of hashes of the rows, equal for equal rows in any order. Its files are in `buckets` by the hash of `bucket_key`, if any."""
 
     folder: str
     schema: str
     rows: int
     content: str
     inputs: Mapping[str, str] = field(default_factory=dict)
+    bucket_key: str = ""
+    buckets: int = 0
 
 
 class Snapshot:
@@ -55,6 +57,8 @@ class Snapshot:
         """Opened without reading a footer: the snapshot has the schema."""
         found = self.tables[name]
         schema = T.StructType.fromJson(json.loads(found.schema))
+        if found.buckets:
+            return Buckets(found.bucket_key, found.buckets).open(self._spark, schema, self.path(name))
         return self._spark.read.schema(schema).parquet(self.path(name))
 
     def path(self, name: str) -> str:
@@ -87,12 +91,13 @@ class Build:
         partition_by: Sequence[str] = (),
         finish: Callable[[DataFrame], DataFrame] | None = None,
         sort_by: Sequence[str] = (),
+        laid_out: Buckets | None = None,
     ) -> bool:
         """Write a new version of a table; False if its rows are those of the version before, which then stays.
 
         Rows are counted and summed up by the tasks that write them, after any exchange that clustering needs, so a
         task or executor that is lost and run again counts once. ``finish`` is applied there too, and ``sort_by`` orders
-        the rows of each task.
+        the rows of each task. ``laid_out`` buckets rows that their plan has laid out by a key.
         """
         folder = f"{name}/version-{uuid.uuid4().hex}"
         if cluster_by:
@@ -114,16 +119,21 @@ class Build:
         writer = observed.write.options(**file_options(df.schema))
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        with shuffles_released(self._store.spark):
-            writer.parquet(f"{self._store.root}/{folder}")
+        spark, path = self._store.spark, f"{self._store.root}/{folder}"
+        with shuffles_released(spark):
+            if laid_out:
+                laid_out.write(observed, path)
+            else:
+                writer.parquet(path)
         found = seen.get
         content = f"{found['total']}:{found['mixed']}"
-        made = TableVersion(folder, df.schema.json(), found["rows"], content, dict(inputs or {}))
+        layout = {"bucket_key": laid_out.key, "buckets": laid_out.n} if laid_out else {}
+        made = TableVersion(folder, df.schema.json(), found["rows"], content, dict(inputs or {}), **layout)
         before = self.tables.get(name)
         same = before is not None and (before.schema, before.rows, before.content) == (made.schema, made.rows, content)
         if same:
             self._drop(folder)
-            made = TableVersion(before.folder, before.schema, before.rows, before.content, made.inputs)
+            made = replace(before, inputs=made.inputs)
         self.tables[name] = made
         return not same
 

@@ -6,12 +6,16 @@ version and switches the file only after every row is written, so a rebuild that
 
 from __future__ import annotations
 
+import math
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopledger.session import shuffles_released
@@ -31,6 +35,67 @@ def file_options(schema: T.StructType) -> dict[str, str]:
     return {"compression": COMPRESSION, "parquet.compression.codec.zstd.level": str(LEVEL), **plain}
 
 
+#: Tables of fewer rows a bucket gain nothing by buckets; of more, one task has too much to sort.
+BUCKET_ROWS, BUCKET_MOST = 50_000, 2_000_000
+#: A bucket stands out from so many times the mean on, as for Spark's splitting of skewed partitions.
+SKEWED = 5
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """Rows by the hash of ``key`` in ``n`` buckets. Tables bucketed alike join and group by the key without a shuffle."""
+
+    key: str
+    n: int
+
+    @classmethod
+    def for_keys(cls, key: str, *columns: DataFrame) -> "Buckets | None":
+        """Buckets for tables whose keys are those of one of the ``columns``; their largest has as many rows as tables have.
+
+        There are as many as the session's shuffles have partitions, or a multiple of that, so that rows that a shuffle
+        by the key laid out are written as one file a bucket. None where that is too many for so few rows, or one
+        bucket would hold much of them: rows of such a key, or without one, are better left to shuffles, which can be
+        split.
+        """
+        shuffled = int(columns[0].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        most = max(column.count() for column in columns)
+        if most < shuffled * BUCKET_ROWS:
+            return None
+        n = shuffled * max(1, math.ceil(most / (shuffled * BUCKET_MOST)))
+        for column in columns:
+            counted = column.groupBy(F.pmod(F.hash(*column.columns), F.lit(n)).alias("bucket")).count()
+            largest, total = counted.agg(F.max("count"), F.sum("count")).first()
+            if total and largest > SKEWED * max(total / n, BUCKET_ROWS):
+                return None
+        return cls(key, n)
+
+    @contextmanager
+    def _entered(self, spark: SparkSession, schema: T.StructType, version: str) -> Iterator[str]:
+        """The folder's name in the catalogue for a moment, as Spark knows buckets of catalogue tables only."""
+        name = f"bucketed_{uuid.uuid4().hex}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        options = ", ".join(f"'{k}' '{v}'" for k, v in file_options(schema).items())
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS ({options})"
+            f" CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {self.n} BUCKETS LOCATION '{version}'"
+        )
+        try:
+            yield name
+        finally:
+            # a table with a path of its own: its files stay
+            spark.sql(f"DROP TABLE {name}")
+
+    def write(self, df: DataFrame, version: str) -> None:
+        """Write rows to the new folder ``version``. Each task writes a file for each bucket that it has rows of, so
+        give rows laid out by the key."""
+        with self._entered(df.sparkSession, df.schema, version) as name:
+            df.write.insertInto(name)
+
+    def open(self, spark: SparkSession, schema: T.StructType, version: str) -> DataFrame:
+        with self._entered(spark, schema, version) as name:
+            return spark.table(name)
+
+
 class Folder:
     """A folder on whatever file system its path names."""
 
@@ -151,6 +216,7 @@ def write_table(
     partition_by: Sequence[str] = (),
     finish: Callable[[DataFrame], DataFrame] | None = None,
     sort_by: Sequence[str] = (),
+    laid_out: Buckets | None = None,
 ) -> DataFrame:
     """Replace the table at ``path`` by ``df`` and return a reader of it.
 
@@ -162,6 +228,9 @@ def write_table(
     bucketed alike on a key join and group on it without a shuffle, but one task reads a whole
     bucket: use it for keys without a dominant value.
 
+    ``laid_out`` buckets rows that their plan has laid out by a key, for the reader that is returned and without a
+    name in the catalogue.
+
     ``sort_by`` orders the rows of each task, which makes files smaller where equal values come together.
 
     ``finish`` is applied to the rows as they are written, above any exchange; what it observes is counted by the
@@ -187,7 +256,9 @@ def write_table(
     name = f"version-{uuid.uuid4().hex}"
     version = f"{path}/{name}"
     with shuffles_released(spark):
-        if bucket_by:
+        if laid_out:
+            laid_out.write(df, version)
+        elif bucket_by:
             _enter_bucketed(spark, writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by), version, table)
         else:
             writer.save(version)
@@ -198,6 +269,8 @@ def write_table(
     for old in folder.versions():
         if old.startswith("version-") and old not in (name, before):
             folder.drop(old)
+    if laid_out:
+        return laid_out.open(spark, schema, version)
     return spark.table(table) if bucket_by else spark.read.schema(schema).parquet(version)
 
 
