@@ -75,9 +75,11 @@ class Buckets:
         name = f"bucketed_{uuid.uuid4().hex}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         options = ", ".join(f"'{k}' '{v}'" for k, v in file_options(schema).items())
+        # the catalogue has its own idea of what a path without a file system is relative to
+        location = Folder(spark, version).qualified().replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS ({options})"
-            f" CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {self.n} BUCKETS LOCATION '{version}'"
+            f" CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) INTO {self.n} BUCKETS LOCATION '{location}'"
         )
         try:
             yield name
@@ -107,6 +109,9 @@ class Folder:
         self._conf = spark._jsparkSession.sessionState().newHadoopConf()
         self._fs = self.path.getFileSystem(self._conf)
 
+    def qualified(self) -> str:
+        return self._fs.makeQualified(self.path).toString()
+
     def _at(self, name: str):
         return self._hadoop.Path(self.path, name)
 

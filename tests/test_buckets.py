@@ -1,6 +1,7 @@
 """Orders and their lines stored in buckets by order: joins and groupings of them without a shuffle, the same rows."""
 
 import json
+import os
 
 import pytest
 
@@ -82,6 +83,15 @@ def test_a_refresh_keeps_the_buckets_in_its_snapshot(shuffled, tmp_path):
     assert "Exchange" not in _plan(last.table(ORDERS).groupBy(KEY).count())
 
 
+def test_buckets_in_any_folder(spark, tmp_path):
+    rows = spark.range(100).withColumnRenamed("id", KEY)
+    for folder in (f"{tmp_path}/it's 50 % done", f"file:{tmp_path}/b", os.path.relpath(tmp_path / "relative")):
+        stored = writer.write_table(rows, folder, laid_out=Buckets(KEY, 3))
+        assert sorted(r[0] for r in stored.collect()) == list(range(100))
+        assert "Exchange" not in _plan(stored.groupBy(KEY).count())
+    assert len(list((tmp_path / "relative").rglob("*.parquet"))) > 0
+
+
 def test_snapshots_from_before_there_were_buckets(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path))
     with store.begin() as build:
